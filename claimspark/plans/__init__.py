@@ -1,0 +1,21 @@
+"""The query catalogue: every query with its SQL twin where SQL can say it."""
+
+from __future__ import annotations
+
+from claimspark.plans import hierarchy_queries
+
+_MODULES = (hierarchy_queries,)
+
+
+def queries():
+    out = {}
+    for m in _MODULES:
+        out |= m.queries()
+    return out
+
+
+def oracle_sql():
+    out = {}
+    for m in _MODULES:
+        out |= m.oracle_sql()
+    return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,23 @@ def spread(df: DataFrame) -> DataFrame:
     n = parallelism(df.sparkSession)
     have = df._jdf.queryExecution().toRdd().getNumPartitions()
     return df.repartition(n) if have < n else df
+
+
+_SHIPPED = "_claimspark_shipped"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, _SHIPPED, False):
+        return
+    setattr(sc, _SHIPPED, True)
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="claimspark-"), "claimspark.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("claimspark", os.path.relpath(path, root)))
+    sc.addPyFile(target)
