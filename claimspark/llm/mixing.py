@@ -44,6 +44,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 BLOCK_ROWS = 20_000
 #: A table of targets is a setting; a larger one is an error.
 MOST_TARGETS = 100_000
+FILL_PASSES = 2
 
 
 def encoder(path: str):
@@ -130,7 +131,7 @@ def plan(natural: dict[str, int], targets: dict[str, float], repeats: dict[str,
     return Plan(low, budget, at(low))
 
 
-def _prefix(rows: DataFrame, quota: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
+def _prefix(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
     """rows (doc_id, source, tokens, copy, rest): those whose running token sum by hash order is within rest."""
     h = F.xxhash64("doc_id", "copy", F.lit(seed))
     keyed = rows.join(blocks, "source").withColumn("h", h).withColumn("block", F.pmod(F.shiftrightunsigned("h", 1), F.col("blocks")))
@@ -176,7 +177,14 @@ def _mixture(sizes: DataFrame, rows: list, natural: dict[str, int], found: Plan,
     joined = sizes.join(F.broadcast(quota), "source")  # at most MOST_TARGETS rows
     whole = joined.where("passes > 0").select("doc_id", "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("copy"))
     part = joined.where("rest > 0").select("doc_id", "source", "tokens", (F.col("passes") + 1).alias("copy"), "rest")
-    return whole.unionByName(_prefix(part, quota, F.broadcast(quota.select("source", "blocks")), seed)).select("doc_id", "source", "copy", "tokens")
+    blocks = F.broadcast(quota.select("source", "blocks"))
+    taken = cut(_prefix(part, blocks, seed))
+    for again in range(1, FILL_PASSES + 1):
+        # where the next document was too long for what is left of the quota, smaller ones fill it
+        left = part.join(taken.groupBy("source").agg(F.sum("tokens").alias("sum")), "source", "left").withColumn("rest", F.col("rest") - F.coalesce("sum", F.lit(0))).drop("sum")
+        small = left.where("tokens <= rest").join(taken.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti")
+        taken = cut(taken.unionByName(_prefix(small, blocks, seed + again)))
+    return whole.unionByName(taken).select("doc_id", "source", "copy", "tokens")
 
 
 def share_report(documents: DataFrame, targets: DataFrame, budget: int | None = None, tokenizer: str = TOKENIZER, seed: int = 0) -> DataFrame:
