@@ -28,7 +28,7 @@ EDGES = r"^[ .,:;\"'`()\[\]{}]+|[ .,:;\"'`()\[\]{}]+$"
 
 def sentence_list(text: Column | str) -> Column:
     """Sentences of a text: heading lines removed, cut after . ! ? before blanks or line ends."""
-    prose = F.regexp_replace(text, r"(?m)^#{1,6}\s+.*$", "")
+    prose = F.regexp_replace(text, r"(?md)^#{1,6}\s+.*$", "")
     return F.filter(F.transform(F.split(prose, r"(?<=[.!?])(?:[ \t]+|\r?\n+)"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), lambda s: s != "")
 
 
@@ -49,8 +49,9 @@ def definitions(sents: DataFrame) -> DataFrame:
 
 def relations(sents: DataFrame) -> DataFrame:
     """sents with subject, predicate and object where the relation pattern matches."""
-    part = lambda i: F.regexp_extract("sentence", RELATION, i)
-    return sents.where(part(2) != "").select("*", F.trim(part(1)).alias("subject"), F.lower(part(2)).alias("predicate"), F.trim(F.regexp_replace(part(3), r"(?i)^the\s+", "")).alias("object"))
+    # (?u): letters of any script have their case folded, as in the SQL twin and in Python
+    part = lambda i: F.regexp_extract("sentence", RELATION.replace("(?i)", "(?iu)"), i)
+    return sents.where(part(2) != "").select("*", F.trim(part(1)).alias("subject"), F.replace(F.lower(part(2)), F.lit("ſ"), F.lit("s")).alias("predicate"), F.trim(F.regexp_replace(part(3), r"(?i)^the\s+", "")).alias("object"))
 
 
 def models(sents: DataFrame) -> DataFrame:
