@@ -7,8 +7,9 @@ to the smallest identifier of its component.
 A large-star joins every node's larger neighbours to the smallest node of the
 neighbourhood, a small-star its smaller ones.  The neighbourhood is never
 gathered: its minimum comes from a partially aggregated ``min`` and is joined
-back to the edges.  Hubs (nodes with more than 1 / HUB_SHARE of all edges, so
-at most 2 * HUB_SHARE of them) are salted on both sides of that join.
+back to the edges.  The edges of hubs (nodes with more than 1 / HUB_SHARE of all
+edges, so at most HUB_SHARE of them) stay where they are and get the minimum by
+a broadcast; no task receives a hub's edges.
 
 Defined results: a null or blank side links nothing; a pair of equal keys and
 repeated pairs add nothing; an empty table gives no rows; keys compare by code
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from claimspark.runtime import cut
 
-HUB_SHARE = 512
-SALTS = 32
+#: A key with more than 1 / HUB_SHARE of all edges is a hub, so there are at most HUB_SHARE of them.
+HUB_SHARE = 16_384
+#: Fewer edges than this are never a hub's.
+LEAST_HUB = 100_000
 
 
 _OUTER = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
@@ -49,18 +52,21 @@ def cluster_links(clusters: DataFrame) -> DataFrame:
     return clusters.select(keys.alias("keys")).where(F.size("keys") > 1).select(F.array_min("keys").alias("a"), F.explode("keys").alias("b"))
 
 
-def _to_minimum(edges: DataFrame, hubs: DataFrame) -> DataFrame:
-    """edges (u, v) -> (u, v, m): m is the smallest of u and all v of u."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    hub = F.broadcast(hubs)  # at most 2 * HUB_SHARE keys, see hub_keys
-    salted = edges.join(hub, "u", "left").withColumn("salt", F.when(F.col("hub"), F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("hub")
-    copies = least.join(hub, "u", "left").withColumn("salt", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hub")
-    return salted.join(copies, ["u", "salt"]).drop("salt")
+def _to_minimum(edges: DataFrame, n: int) -> DataFrame:
+    """edges (u, v) -> (u, v, m): m is the smallest of u and all v of u.
 
-
-def _hub_keys(edges: DataFrame, n: int) -> DataFrame:
-    """Keys at more than n / HUB_SHARE edge ends: by counting at most 2 * HUB_SHARE of them."""
-    return edges.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") > max(n // HUB_SHARE, 1_000)).select("u", F.lit(True).alias("hub"))
+    A hub's minimum goes to its edges by a broadcast of the hubs, which are at
+    most n / (n / HUB_SHARE) = HUB_SHARE keys; every other key's edges, at most
+    n / HUB_SHARE of them, meet their minimum in a join on the key.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("d")).select("u", F.least("u", "m").alias("m"), "d")
+    most = max(n // HUB_SHARE, LEAST_HUB)
+    if n <= most:
+        return edges.join(least.select("u", "m"), "u")
+    hubs = F.broadcast(least.where(F.col("d") > most).select("u", F.col("m").alias("hub_m")))
+    marked = edges.join(hubs, "u", "left")
+    at_hubs = marked.where("hub_m is not null").select("u", "v", F.col("hub_m").alias("m"))
+    return at_hubs.unionByName(marked.where("hub_m is null").select("u", "v").join(least.select("u", "m"), "u"))
 
 
 def _state(edges: DataFrame) -> tuple[int, object]:
@@ -71,12 +77,12 @@ def _state(edges: DataFrame) -> tuple[int, object]:
 
 def large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _to_minimum(both, _hub_keys(both, 2 * n)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _to_minimum(both, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    starred = _to_minimum(down, _hub_keys(down, n))
+    starred = _to_minimum(down, n)
     return starred.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
 
 
