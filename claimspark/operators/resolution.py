@@ -53,15 +53,18 @@ def occurrences(terms: DataFrame) -> DataFrame:
 def similar_names(names: DataFrame, threshold: float = LEXICAL) -> DataFrame:
     """(source_id, left, right, score) of distinct names of a source with score >= threshold, left < right.
 
-    A similarity of t means at most (1 - t)(a + b) insertions and deletions, each
-    of which destroys two letter pairs at most, so both names share at least
-    (t - 0.5)(a + b) - 1 of their pairs.  The rarest pairs of each name, one more
-    than may be missing, therefore have one in common.  Words are sorted first;
-    names also meet in their given order, as the score takes the higher of both.
+    A similarity of t means at most (1 - t)(a + b) insertions and deletions.  A
+    deletion destroys two letter pairs of the one name and one of the other, so on
+    average both names share at least (1.5 t - 1)(a + b) - 1 of their pairs.  The
+    rarest pairs of each name, one more than may be missing, therefore have one in
+    common; names so short that this proves nothing also meet by single letters.
+    Names meet with their words sorted and as given, as the score takes the higher
+    of both.
     """
-    if threshold <= 55:
-        raise ValueError("letter pairs prove nothing for a threshold of 55 or less")
+    if threshold <= 70:
+        raise ValueError("letter pairs prove nothing for a threshold of 70 or less")
     t = threshold / 100
+    short = 2 / (1.5 * t - 1)
     forms = names.where("name <> ''").select("source_id", "name", F.explode(F.array_distinct(F.array(F.col("name"), F.array_join(F.array_sort(F.split("name", " ")), " ")))).alias("form"))
     # repeated pairs are told apart by their number
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("form") - 1, F.lit(1))), lambda i: F.substring(F.col("form"), i, F.lit(2)))
@@ -71,9 +74,11 @@ def similar_names(names: DataFrame, threshold: float = LEXICAL) -> DataFrame:
     counts = flat.groupBy("source_id", "gram").agg(F.count("*").alias("n"))
     order = W.partitionBy("source_id", "name", "form").orderBy("n", "gram")
     # the partner has at least size * t / (2 - t) letters
-    shared = F.ceil((t - 0.5) * (F.col("size") + F.col("size") * t / (2 - t)) - 1 - 1e-9)
+    shared = F.ceil((1.5 * t - 1) * (F.col("size") + F.col("size") * t / (2 - t)) - 1 - 1e-9)
     ranked = flat.join(counts, ["source_id", "gram"]).withColumn("rank", F.row_number().over(order))
     prefix = ranked.where((F.col("rank") <= F.greatest(F.col("size") - 1, F.lit(1)) - F.greatest(shared, F.lit(1)) + 1) | (shared < 1)).select("source_id", "name", "size", "gram").distinct()
+    letters = forms.where(F.length("form") < short).select("source_id", "name", F.length("form").alias("size"), F.explode(F.array_distinct(F.split("form", ""))).alias("gram"))
+    prefix = prefix.unionByName(letters.where("gram <> ''").distinct())
     other = prefix.select("source_id", "gram", F.col("name").alias("right"), F.col("size").alias("right_size"))
     near = F.least("size", "right_size") >= F.greatest("size", "right_size") * (t / (2 - t)) - 1e-9
     pairs = prefix.join(other, ["source_id", "gram"]).where(F.col("name") < F.col("right")).where(near).select("source_id", F.col("name").alias("left"), "right").distinct()
