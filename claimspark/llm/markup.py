@@ -157,7 +157,6 @@ def parse(text: str) -> tuple[list[dict], list[tuple[int, str]]]:
     nodes: list[dict] = []
     skip_to = 0
     previous = ""  # kind of the line before
-    first_text = 0  # first line of the paragraph that is open
 
     def node(line: int, kind: str, style: str, body: str, level: int = 0) -> None:
         nodes.append({"line": line, "kind": kind, "style": style, "level": level, "body": body})
@@ -184,11 +183,10 @@ def parse(text: str) -> tuple[list[dict], list[tuple[int, str]]]:
             node(n, "heading", "wiki", raw[i].strip().strip("=").strip(), len(m.group(1)))
             previous = "heading"
         elif (m := _UNDER.match(line)) and previous == "text":
-            found.add((first_text, "heading"))
-            body = []
-            while nodes and nodes[-1]["line"] >= first_text:
-                body.append(nodes.pop()["body"])
-            node(first_text, "heading", "underlined", " ".join(x.strip() for x in reversed(body)), 1 if m.group(1)[0] == "=" else 2)
+            # the heading is the line above, whatever stands before it
+            title = nodes.pop()
+            found.add((title["line"], "heading"))
+            node(title["line"], "heading", "underlined", title["body"], 1 if m.group(1)[0] == "=" else 2)
             previous = "heading"
         elif _RULE.match(line) or _UNDER.match(line):
             previous = "rule"
@@ -223,8 +221,6 @@ def parse(text: str) -> tuple[list[dict], list[tuple[int, str]]]:
             elif regex.fullmatch(r"\s*(?:</?(?:ul|ol|div|p|section|article|body|html|tr|td|th|br|span)(?:\s[^<>]*)?/?>\s*)+", line, regex.I) or regex.fullmatch(r"\s*\\(?:begin|end)\{[^}]*\}(?:\[[^\]]*\])?\s*", line):
                 previous = "tag"
             else:
-                if previous != "text":
-                    first_text = n
                 node(n, "text", "more" if previous == "text" else "p", raw[i])
                 previous = "text"
     return nodes, sorted(found)
