@@ -37,6 +37,9 @@ from claimspark.runtime import cut, spread
 
 VOCABULARY_SHARE = 1e-5
 LEAST_COUNT = 3
+MISREAD_RATIO = 50
+#: Characters that a line of print has at most.
+PRINT_WIDTH = 120
 
 # What print looks like when it is misread (as read, as meant).
 CONFUSIONS = (
@@ -121,13 +124,27 @@ def explained(read: str, meant: str) -> tuple[int, int] | None:
     return found if found and found[0] else None
 
 
+def one_confusion(read: str) -> Iterator[str]:
+    """What a word may have been before one confusion."""
+    for a, b in CONFUSIONS:
+        at = read.find(a)
+        while at >= 0:
+            yield read[:at] + b + read[at + len(a) :]
+            at = read.find(a, at + 1)
+
+
 class Lexicon:
-    """The bounded tables: words, compounds and word pairs with their counts."""
+    """The bounded tables: words, compounds and word pairs with their counts.
+
+    A very common word is also often misread, and often in the same way; a word
+    that confusions explain by one MISREAD_RATIO times as common is no word.
+    """
 
     def __init__(self, words: dict[str, int], compounds: dict[str, int], pairs: dict[str, int]) -> None:
-        self.words, self.compounds, self.pairs = words, compounds, pairs
+        self.words = {w: n for w, n in words.items() if not any(words.get(v, 0) >= MISREAD_RATIO * n for v in one_confusion(w))}
+        self.compounds, self.pairs = compounds, pairs
         self.heads = {c.split("-")[0] for c in compounds}
-        self.trie = Trie(words)
+        self.trie = Trie(self.words)
         self.memo: dict[str, list[tuple[int, int, str, int]]] = {}
 
     def knows(self, word: str) -> bool:
@@ -175,12 +192,24 @@ def title_key(line: str) -> str:
     return t
 
 
+_PIPES = regex.compile(r"(?m)^[ \t]*\|.*\|[ \t\r]*$")
+
+
 def is_scan(text: str) -> bool:
-    """Whether a text may come from a scanned page: no markup, and no line longer than print has."""
-    if not text or not text.strip() or _MARKUP.search(text):
+    """Whether a text may come from a scanned page: no markup but ruled tables, and paragraphs wrapped like print.
+
+    A single long line (a page without line breaks) doesn't speak against wrapped
+    paragraphs elsewhere; a text of one-line blocks is a scan if they are short.
+    """
+    if not text or not text.strip():
+        return False
+    prose = _PIPES.sub("", text)
+    if _MARKUP.search(prose):
         return False
-    lines = [x for x in text.split("\n") if x.strip()]
-    return max(len(x) for x in lines) <= 120
+    lines = [x.strip() for x in prose.split("\n")]
+    if any(a and b and len(a) <= PRINT_WIDTH and len(b) <= PRINT_WIDTH and not _is_table(a) and not _is_table(b) for a, b in zip(lines, lines[1:])):
+        return True
+    return 0 < max(len(x) for x in lines) <= PRINT_WIDTH
 
 
 def blocks(lines: list[str]) -> list[list[int]]:
@@ -273,7 +302,7 @@ def furniture(lines: list[str], headers: set[str]) -> set[int]:
 
 
 def _is_table(line: str) -> bool:
-    return len(regex.findall(r"\S\s{2,}\d", line)) > 0 or bool(regex.match(r"^\s*(?:Table|Tabelle|Tableau|Tabla)\s+\d+\.", line))
+    return bool(_PIPES.match(line)) or len(regex.findall(r"\S\s{2,}\d", line)) > 0 or bool(regex.match(r"^\s*(?:Table|Tabelle|Tableau|Tabla)\s+\d+\.", line))
 
 
 def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[int, str]], str]:
@@ -423,7 +452,8 @@ def records(converted: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def lexicon_tables(texts: DataFrame, share: float = VOCABULARY_SHARE) -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
     """(words, compounds, pairs) with at least ``share`` of all words: at most 1 / share entries each."""
-    lower = F.lower("text")
+    # the two parts of a word that is broken over lines are no words
+    lower = F.regexp_replace(F.lower("text"), r"[\p{L}\p{M}]+[-‐‑¬\u00ad][ \t\r]*\n\s*[\p{L}\p{M}]+", " ")
     words = F.regexp_extract_all(lower, F.lit(_SQL_WORD), F.lit(0))
     compounds = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{M}]+(?:-[\p{L}\p{M}]+)+"), F.lit(0))
     pairs = F.regexp_extract_all(lower, F.lit(r"(?=(?<![\p{L}\p{M}])([\p{L}\p{M}]+ [\p{L}\p{M}]+)(?![\p{L}\p{M}]))[\p{L}\p{M}]+"), F.lit(1))
