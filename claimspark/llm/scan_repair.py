@@ -229,7 +229,8 @@ def blocks(lines: list[str]) -> list[list[int]]:
 
 def _title_like(line: str) -> bool:
     words = regex.findall(r"[^\s]+", line.strip())
-    if not 1 <= len(words) <= 14 or line.strip()[-1] in ".,;:!?-‐¬":
+    # a title is no sentence: it neither ends nor pauses with a mark
+    if not 1 <= len(words) <= 14 or line.strip()[-1] in ".,;:!?-‐¬" or regex.search(r"[.,;:!?]\s", line):
         return False
     letters = [w for w in words if any(c.isalpha() for c in w)]
     if not letters:
