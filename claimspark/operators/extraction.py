@@ -100,3 +100,51 @@ def contradictions(axs: DataFrame) -> DataFrame:
         .agg(F.sum((~F.col("negated")).cast("int")).alias("n_affirmed"), F.sum(F.col("negated").cast("int")).alias("n_negated"), F.when(F.max(F.col("modality") == "causal"), "causal").otherwise("empirical").alias("kind"))
         .where("n_affirmed > 0 and n_negated > 0")
     )
+
+
+def without_heading_prefix(chunks: DataFrame) -> DataFrame:
+    """chunks whose text has lost the leading lines that only repeat a heading of heading_path (or are blank)."""
+    bare = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    expected = F.transform(F.coalesce("heading_path", F.array().cast("array<string>")), bare)
+    line = lambda x: bare(F.regexp_replace(F.regexp_replace(x, r"^\s+|\s+$", ""), r"^#{1,6}\s+", ""))
+    lines = F.split("text", "\n")
+    # the number of leading lines that are blank or a heading
+    lead = F.aggregate(
+        lines,
+        F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")),
+        lambda a, x: F.when(a["on"] & ((F.trim(x) == "") | F.array_contains(expected, line(x))), F.struct((a["n"] + 1).alias("n"), F.lit(True).alias("on"))).otherwise(F.struct(a["n"].alias("n"), F.lit(False).alias("on"))),
+        lambda a: a["n"],
+    )
+    stripped = F.array_join(F.slice(lines, lead + 1, F.size(lines)), "\n")
+    return chunks.withColumn("text", F.when(F.size(expected) > 0, stripped).otherwise(F.col("text")))
+
+
+def known_terms(found: DataFrame, least: float = 0.55, budget: int = 250) -> DataFrame:
+    """(source_id, label_key, label, definition, confidence, n_evidence, rank) of a source's extracted terms."""
+    rows = found.withColumn("label_key", fold_label("label")).where("label_key <> '' and source_id is not null")
+    merged = rows.groupBy("source_id", "label_key").agg(
+        F.min_by("label", F.struct(F.length("label"), F.col("label"))).alias("label"),
+        F.min_by("definition", F.struct(-F.length("definition"), F.col("definition"))).alias("definition"),
+        F.max("confidence").alias("confidence"),
+        F.count_distinct("chunk_id", F.sha2("quote", 256)).alias("n_evidence"),
+    )
+    rank = F.row_number().over(W.partitionBy("source_id").orderBy(F.desc("confidence"), F.desc("n_evidence"), "label_key"))
+    return merged.where(F.col("confidence") >= least).withColumn("rank", rank).where(F.col("rank") <= budget)
+
+
+def reduced_relations(found: DataFrame, terms_kept: DataFrame, budget: int = 400) -> DataFrame:
+    """(source_id, subject_key, predicate, object_key, n_evidence, rank): equal relations as one, both ends surviving terms."""
+    keyed = found.where("source_id is not null").select("source_id", "chunk_id", fold_label(F.regexp_replace("subject", EDGES, "")).alias("subject_key"), "predicate", fold_label(F.regexp_replace("object", EDGES, "")).alias("object_key"), "quote")
+    alive = terms_kept.select("source_id", "label_key")
+    both = keyed.join(alive.withColumnRenamed("label_key", "subject_key"), ["source_id", "subject_key"], "left_semi").join(alive.withColumnRenamed("label_key", "object_key"), ["source_id", "object_key"], "left_semi")
+    merged = both.groupBy("source_id", "subject_key", "predicate", "object_key").agg(F.count_distinct("chunk_id", F.sha2("quote", 256)).alias("n_evidence"))
+    rank = F.row_number().over(W.partitionBy("source_id").orderBy(F.desc("n_evidence"), "predicate", "subject_key", "object_key"))
+    return merged.withColumn("rank", rank).where(F.col("rank") <= budget)
+
+
+def reduced_models(found: DataFrame, budget: int = 60) -> DataFrame:
+    """(source_id, name_key, name, purpose, n_evidence, rank): a named model once for each source, with its longest purpose."""
+    keyed = found.where("source_id is not null").withColumn("name_key", fold_label("name"))
+    merged = keyed.groupBy("source_id", "name_key").agg(F.min("name").alias("name"), F.min_by("purpose", F.struct(-F.length("purpose"), F.col("purpose"))).alias("purpose"), F.count_distinct("chunk_id", F.sha2("quote", 256)).alias("n_evidence"))
+    rank = F.row_number().over(W.partitionBy("source_id").orderBy(F.desc("n_evidence"), "name_key"))
+    return merged.withColumn("rank", rank).where(F.col("rank") <= budget)

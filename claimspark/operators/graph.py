@@ -8,6 +8,7 @@ its check is a count per subject.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimspark.functions.text import stable_id
 from claimspark.operators.reduction import merged_evidence
 from claimspark.runtime import cut
 
@@ -132,3 +134,41 @@ def parse_nquad(line: str) -> tuple[str, str, str, str, str]:
         return m.group(6), m.group(1), m.group(2), m.group(3), "uri"
     value = re.sub(r"\\(.)", lambda x: {"n": "\n", "r": "\r", "t": "\t"}.get(x.group(1), x.group(1)), m.group(4))
     return m.group(6), m.group(1), m.group(2), value, m.group(5) or "literal"
+
+
+def _node(kind: Column, value: Column) -> Column:
+    literal = F.concat(F.lit('"'), F.replace(F.replace(F.replace(F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t")), F.lit('"'))
+    ref = F.concat(F.lit("<"), value, F.lit(">"))
+    return F.when(kind == "uri", ref).when(kind == "literal", literal).otherwise(F.concat(literal, F.lit("^^<"), kind, F.lit(">")))
+
+
+def turtle(quads: DataFrame) -> DataFrame:
+    """(graph, value): one Turtle statement for each subject of each graph; a subject's triples are its own, so bounded by it."""
+    rows = quads.select("graph", "subject", F.concat(F.lit("<"), F.col("predicate"), F.lit("> "), _node(F.col("object_kind"), F.col("object"))).alias("po"))
+    return rows.groupBy("graph", "subject").agg(F.array_sort(F.collect_set("po")).alias("po")).select("graph", F.concat(F.lit("<"), F.col("subject"), F.lit("> "), F.array_join("po", " ;\n    "), F.lit(" .")).alias("value"))
+
+
+def jsonld(quads: DataFrame) -> DataFrame:
+    """(graph, value): one JSON-LD node object (a JSON line) for each subject of each graph."""
+    value = F.when(F.col("object_kind") == "uri", F.struct(F.col("object").alias("@id"), F.lit(None).cast("string").alias("@value"), F.lit(None).cast("string").alias("@type"))).otherwise(
+        F.struct(F.lit(None).cast("string").alias("@id"), F.col("object").alias("@value"), F.when(F.col("object_kind") != "literal", F.col("object_kind")).alias("@type"))
+    )
+    each = quads.withColumn("v", value).groupBy("graph", "subject", "predicate").agg(F.array_sort(F.collect_set("v")).alias("vs"))
+    nodes = each.groupBy("graph", "subject").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicate", "vs")))).alias("props"))
+    # the members of the map follow the identifier in one object
+    head = F.regexp_replace(F.to_json(F.struct(F.col("subject").alias("@id"))), r"\}$", ",")
+    return nodes.select("graph", F.concat(head, F.expr("substring(to_json(props), 2)")).alias("value"))
+
+
+def with_ids(reduced: DataFrame) -> DataFrame:
+    """reduced terms with their content-derived identifier: equal content gives the same id wherever it is computed."""
+    return reduced.withColumn("term_id", stable_ids(F.lit("term"), F.col("label"), F.struct("label_key", "kind", "definition")))
+
+
+def stable_ids(prefix: Column, label: Column, payload: Column) -> Column:
+    return _stable(prefix, label, F.to_json(payload, {"ignoreNullFields": "false"}))
+
+
+@F.pandas_udf(T.StringType())
+def _stable(prefix: pd.Series, label: pd.Series, payload: pd.Series) -> pd.Series:
+    return pd.Series([stable_id(p, x or "", json.loads(j)) for p, x, j in zip(prefix, label, payload)])

@@ -82,6 +82,23 @@ def _axioms(spark: SparkSession, d: str) -> DataFrame:
     return extraction.axioms(_sentences(spark, d))
 
 
+def body_texts(spark: SparkSession, d: str) -> DataFrame:
+    chunks = load(spark, d, "chunks").where("chunk_id is not null and text is not null").select("chunk_id", "heading_path", "text").distinct()
+    return extraction.without_heading_prefix(chunks).select("chunk_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def known_terms(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.known_terms(extraction.terms(_sentences(spark, d)))
+
+
+def reduced_relations(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.reduced_relations(extraction.relations(_sentences(spark, d)), known_terms(spark, d))
+
+
+def reduced_models(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.reduced_models(extraction.models(_sentences(spark, d)))
+
+
 def reduced_axioms(spark: SparkSession, d: str) -> DataFrame:
     return extraction.reduced_axioms(_axioms(spark, d))
 
@@ -198,6 +215,18 @@ def nquad_lines(spark: SparkSession, d: str) -> DataFrame:
     return graph.nquads(_quads(spark, d))
 
 
+def turtle_statements(spark: SparkSession, d: str) -> DataFrame:
+    return graph.turtle(_quads(spark, d))
+
+
+def jsonld_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return graph.jsonld(_quads(spark, d))
+
+
+def term_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    return graph.with_ids(salient_terms(spark, d)).select("source_id", "label_key", "term_id")
+
+
 def mapping_quads(spark: SparkSession, d: str) -> DataFrame:
     return graph.mapping_quads(concept_mappings(spark, d))
 
@@ -256,8 +285,8 @@ def frame_findings(spark: SparkSession, d: str) -> DataFrame:
 
 _ALL = (
     source_routes, document_fingerprints, duplicate_texts, chunk_token_counts, chunk_split_sizes, source_profiles, heading_counts, document_blocks, heading_groups, layout_chunks, chunk_sentences, definition_statements, relation_statements,
-    named_models, extracted_terms, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
-    source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, mapping_quads,
+    named_models, extracted_terms, body_texts, known_terms, reduced_relations, reduced_models, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
+    source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
     shape_violations, evidence_index, retrieve_evidence, ask_evidence, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
 )
 

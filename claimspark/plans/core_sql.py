@@ -247,6 +247,19 @@ beliefs as (
 """
 _BELIEFS = _AX + "," + CONTRADICTIONS + "," + OPPOSED_ST + "," + DRAFTS + "," + _BELIEVED
 
+_MENTIONS = f"""
+mentions as (
+  select chunk_id, source_id, sentence_no, 0 turn, label, definition, quote from definitions union all
+  select chunk_id, source_id, sentence_no, 1, regexp_replace(subject, {_E}, '', 'g'), '', quote from relations union all
+  select chunk_id, source_id, sentence_no, 2, regexp_replace(object, {_E}, '', 'g'), '', quote from relations),
+first_mentions as (select * from mentions where label <> '' qualify row_number() over (partition by chunk_id, lower(label) order by sentence_no, turn) = 1),
+known as (
+  select source_id, {fold("label")} label_key, arg_min(label, (len(label), label)) as label, arg_min(definition, (-len(definition), definition)) definition, 0.66::double confidence, count(distinct (chunk_id, sha256(quote))) n_evidence,
+    (row_number() over (partition by source_id order by count(distinct (chunk_id, sha256(quote))) desc, {fold("label")}))::int rank
+  from first_mentions where source_id is not null and {fold("label")} <> '' group by source_id, {fold("label")} qualify rank <= 250)
+"""
+_KNOWN = _EX + "," + _MENTIONS
+
 ORACLES = {
     "source_routes": f"select source_id, {_EXT} extension, {_BY(0)} backend, {_BY(1)} media_type from (select distinct * from sources)",
     "document_fingerprints": "select doc_id, sha256(text) content_sha256, strlen(text)::int size_bytes from documents where text is not null",
@@ -264,6 +277,12 @@ ORACLES = {
   select chunk_id, sentence_no, 1, regexp_replace(subject, {_E}, '', 'g'), '', quote from relations union all
   select chunk_id, sentence_no, 2, regexp_replace(object, {_E}, '', 'g'), '', quote from relations)
 select chunk_id, label, definition, sha256(quote) quote_sha256 from mentions where label <> '' qualify row_number() over (partition by chunk_id, lower(label) order by sentence_no, turn) = 1""",
+    "known_terms": _KNOWN + " select * from known",
+    "reduced_relations": _KNOWN + f""", ends as (select source_id, chunk_id, {fold(f"regexp_replace(subject, {_E}, '', 'g')")} subject_key, predicate, {fold(f"regexp_replace(object, {_E}, '', 'g')")} object_key, quote from relations where source_id is not null),
+merged as (select source_id, subject_key, predicate, object_key, count(distinct (chunk_id, sha256(quote))) n_evidence from ends e where exists (select 1 from known k where k.source_id = e.source_id and k.label_key = e.subject_key) and exists (select 1 from known k where k.source_id = e.source_id and k.label_key = e.object_key) group by all)
+select *, (row_number() over (partition by source_id order by n_evidence desc, predicate, subject_key, object_key))::int rank from merged qualify rank <= 400""",
+    "reduced_models": _EX + f""", merged as (select source_id, {fold("name")} name_key, min(name) as name, arg_min(purpose, (-len(purpose), purpose)) purpose, count(distinct (chunk_id, sha256(quote))) n_evidence from models where source_id is not null group by 1, 2)
+select *, (row_number() over (partition by source_id order by n_evidence desc, name_key))::int rank from merged qualify rank <= 60""",
     "reduced_axioms": _AX + " select * from reduced_ax",
     "axiom_contradictions": _AX + "," + CONTRADICTIONS + " select * from contradicting",
     "opposed_statements": _AX + "," + OPPOSED_ST + " select * from opposing",

@@ -233,3 +233,49 @@ def test_stream(spark, tmp_path):
     (src / "b.txt").write_text("two")
     ingest_stream(spark, str(src), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_heading_prefix(spark):
+    df = spark.createDataFrame([("a", ["Trust", "Audit"], "\n# Trust\n\n  audit \n\nBody\n# Trust"), ("b", None, "# Trust\nx"), ("c", ["Z"], "")], "chunk_id string, heading_path array<string>, text string")
+    assert {r.chunk_id: r.text for r in extraction.without_heading_prefix(df).collect()} == {"a": "Body\n# Trust", "b": "# Trust\nx", "c": ""}
+
+
+def test_serialisers_agree(spark):
+    df = spark.createDataFrame([term(0, 'Say "x"\n', definition="d"), term(1, "b", broader=["say x"])], TERM)
+    reduced = reduction.reduced_terms(df)
+    quads = graph.term_quads(reduced, reduction.term_links(df, reduced), reduction.drafts(df))
+    want = {tuple(r) for r in quads.collect()}
+    got = set()
+    for r in graph.jsonld(quads).collect():
+        node = json.loads(r.value)
+        got |= {(r.graph, node["@id"], p, v.get("@id") or v["@value"], "uri" if "@id" in v else v.get("@type", "literal")) for p, vs in node.items() if p != "@id" for v in vs}
+    assert got == want
+    assert sum(r.value.count(" ;\n    ") + 1 for r in graph.turtle(quads).collect()) == len(want)
+    ids = [r.term_id for r in graph.with_ids(reduced).collect()]
+    assert len(set(ids)) == 2 and all(i.startswith("term:") for i in ids)
+
+
+def test_settings(tmp_path):
+    from claimspark import config
+
+    (tmp_path / "s.yaml").write_text("max_tokens: 900\nbudget_terms: 10\n# note: x\n")
+    (tmp_path / ".env").write_text("CLAIMSPARK_MAX_TOKENS=800\nOTHER=1\n")
+    got = config.load(tmp_path / "s.yaml", tmp_path / ".env", {"CLAIMSPARK_MAX_TOKENS": "700"})
+    assert (got.max_tokens, got.budget_terms, got.overlap_tokens) == (700, 10, 150)
+    (tmp_path / "bad.yaml").write_text("nonsense: 1\n")
+    for bad in ((tmp_path / "bad.yaml", None, {}), (None, None, {"CLAIMSPARK_MAX_TOKENS": "100"})):
+        with pytest.raises(ValueError):
+            config.load(*bad)
+
+
+def test_gateway(spark, tmp_path):
+    from claimspark import gateway
+
+    inner = gateway.Scripted({"terms": [["a"]]})
+    cached = gateway.Cached(inner, tmp_path, "test")
+    assert cached.structured("p", "terms") == ["a"] == cached.structured("p", "terms") and len(inner.calls) == 1
+    with pytest.raises(LookupError):
+        cached.structured("other", "terms")
+    chunks = spark.createDataFrame([("c", "s", "Trust is good.")], CHUNK)
+    rows = gateway.extract_with(chunks, lambda x: [{"label": "Trust", "quote": "Trust is good."}, {"label": "X", "quote": "invented"}]).collect()
+    assert [r.label for r in rows] == ["Trust"]
