@@ -337,7 +337,7 @@ def split(text: str, model: Model, learned: frozenset, cache: dict | None = None
 
 def learned_abbreviations(documents: DataFrame) -> frozenset:
     """Words whose full stop is mostly followed by a small letter or a digit, over all documents."""
-    hits = documents.where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6}\.[ \t ]{1,2}[\p{L}\p{N}])"), F.lit(1))).alias("hit"))
+    hits = documents.where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6}\.[ \t\u00a0]{1,2}[\p{L}\p{N}])"), F.lit(1))).alias("hit"))
     word = F.lower(F.substring_index("hit", ".", 1))
     inside = F.regexp_like("hit", F.lit(r"[\p{Ll}\p{N}]$"))
     counts = hits.select(word.alias("word"), inside.cast("int").alias("inside")).groupBy("word").agg(F.count("*").alias("n"), F.sum("inside").alias("k"))
@@ -363,8 +363,14 @@ EXAMPLES = (
 
 
 def fit(documents: DataFrame, learned: frozenset, rows: int = TRAIN_ROWS) -> Model:
-    """Train on a bounded sample: ``rows`` texts of at most TRAIN_CHARS characters, by the hash of their text."""
-    sample = documents.where(F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(rows)
+    """Train on a bounded sample: ``rows`` texts of at most TRAIN_CHARS characters, by the hash of their text.
+
+    Texts are thinned by a hash of their own to about twice as many before the
+    first are taken, so that no partition sends more than its share.
+    """
+    fit_for = documents.where(F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("text", F.xxhash64("text").alias("h"))
+    every = max(1, fit_for.count() // (2 * rows))
+    sample = fit_for.where(F.pmod(F.xxhash64("h"), F.lit(every)) == 0).orderBy("h", "text").limit(rows)
     chains = []
     for text in [*EXAMPLES, *(r["text"] for r in sample.collect())]:
         for s, e in _units(text):
