@@ -24,13 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters that have no shape of their own.
-INVISIBLE = r"[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿]"
+INVISIBLE = r"[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0]"
 # Letters of other scripts that look like a Latin letter.
 CYRILLIC, CYRILLIC_AS = "аеорсухіјѕһԁԛԝАВЕКМНОРСТУХІЈЅԌԚԜӀ", "aeopcyxijshdqwABEKMHOPCTYXIJSGQWI"
 GREEK, GREEK_AS = "οναιρυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovaipuABEZHIKMNOPTYX"
-ARMENIAN, ARMENIAN_AS = "оՕօսԼ", "oOouL"
-# Hyphens that look like the plain one.
-HYPHENS = "‐‑­"
+ARMENIAN, ARMENIAN_AS = "ՕօսԼ", "OouL"
 LIGATURES = (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬆ", "st"))
 # Half-width kana stand in the order of the code table from U+FF61; voiced marks become combining ones.
 KANA = "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン゙゚"
@@ -49,7 +47,7 @@ def plain_form(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     full, half = _widths()
     c = F.regexp_replace(c, INVISIBLE, "")
-    c = F.translate(c, full + "‐‑", half + "--")
+    c = F.translate(c, full + "\u2010\u2011", half + "--")  # hyphens that look like the plain one
     for lig, letters in LIGATURES:
         c = F.replace(c, F.lit(lig), F.lit(letters))
     return F.trim(F.regexp_replace(c, r"[\s\p{Z}\u0085\u001c-\u001f]+", " "))

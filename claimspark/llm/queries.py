@@ -72,7 +72,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
-    return contamination.leak_report(load(spark, d, "documents"), load(spark, d, "eval_items"))
+    return contamination.leak_report(load(spark, d, "documents"), load(spark, d, "eval_items")).select("item_id", "suite", "n_documents")
 
 
 def p8_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -121,8 +121,54 @@ select node occurrence_key, min(other) group_key from reach group by node
 """
 
 
+_FLAT = "lower(nfc_normalize({}))"
+_GRAMS = rf"""
+with docs as (select doc_id, regexp_extract_all({_FLAT.format("text")}, '[\p{{L}}\p{{N}}]+') w from documents where doc_id is not null and text is not null),
+items as (select distinct item_id, lower(trim(coalesce(lang, '')))[1:2] in ('zh', 'ja') spaceless, regexp_extract_all({_FLAT.format("text")}, '[\p{{L}}\p{{N}}]+') w from eval_items where item_id is not null and text is not null),
+item_streams as (select item_id, array_to_string(w, '') s from items where spaceless),
+doc_streams as (select doc_id, array_to_string(w, '') s from docs),
+item_grams as (
+  select item_id, array_to_string(w[i:i + 14], '') g from (select item_id, w, unnest(generate_series(1, len(w) - 14)) i from items where not spaceless and len(w) >= 15)
+),
+doc_grams as (
+  select doc_id, array_to_string(w[i:i + 14], '') g from (select doc_id, w, unnest(generate_series(1, len(w) - 14)) i from docs where len(w) >= 15)
+),
+item_chars as (select item_id, s[i:i + 29] g from (select item_id, s, unnest(generate_series(1, length(s) - 29)) i from item_streams where length(s) >= 30)),
+doc_chars as (select doc_id, s[i:i + 29] g from (select doc_id, s, unnest(generate_series(1, length(s) - 29)) i from doc_streams where length(s) >= 30)),
+found as (
+  select distinct doc_id, item_id from doc_grams join item_grams using (g)
+  union select distinct doc_id, item_id from doc_chars join item_chars using (g)
+)
+"""
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _plain(c: str) -> str:
+    full, half = lookalike._widths()
+    out = rf"regexp_replace({c}, '[\x{{ad}}\x{{34f}}\x{{61c}}\x{{115f}}\x{{1160}}\x{{17b4}}\x{{17b5}}\x{{180b}}-\x{{180e}}\x{{200b}}-\x{{200f}}\x{{202a}}-\x{{202e}}\x{{2060}}-\x{{206f}}\x{{3164}}\x{{fe00}}-\x{{fe0f}}\x{{feff}}\x{{ffa0}}]', '', 'g')"
+    out = f"translate({out}, {_quote(full + chr(0x2010) + chr(0x2011))}, {_quote(half + '--')})"
+    for lig, letters in lookalike.LIGATURES:
+        out = f"replace({out}, '{lig}', '{letters}')"
+    out = rf"trim(regexp_replace({out}, '[\s\p{{Z}}\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}]+', ' ', 'g'))"
+    look, letters = lookalike.CYRILLIC + lookalike.GREEK + lookalike.ARMENIAN, lookalike.CYRILLIC_AS + lookalike.GREEK_AS + lookalike.ARMENIAN_AS
+    return f"translate(nfc_normalize({out}), {_quote(look)}, {_quote(letters)})"
+
+
+_LOOKS = f"""
+with texts as (select distinct chunk_id, text, {_plain("text")} form from chunks where chunk_id is not null and text is not null),
+quotes as (select distinct evidence_id, chunk_id, quote, {_plain("quote")} form from evidence where quote is not null)
+select q.evidence_id from quotes q join texts t using (chunk_id) group by 1 having bool_or(contains(t.form, q.form) and q.form <> '') and not bool_or(contains(t.text, q.quote))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p5_found": _LOOKS,
+        "p8_found": _GRAMS + "select * from found",
+        "p8_report": _GRAMS + "select item_id, suite, count(doc_id) n_documents from (select distinct item_id, suite from eval_items) left join found using (item_id) group by all",
         "p2_found": _COMPONENTS,
         "p2_group_sizes": f"select group_key, count(*) n_keys from ({_COMPONENTS}) group by group_key",
         "p3_found": r"select distinct chunk_id from chunks where chunk_id is not null and len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]')) > 1800",

@@ -47,7 +47,7 @@ CONFUSIONS = (
     ("$", "s"), ("9", "g"), ("q", "g"), ("6", "b"), ("8", "b"), ("b", "h"), ("h", "b"), ("h", "li"), ("li", "h"), ("cl", "d"), ("d", "cl"), ("ii", "u"), ("u", "ii"), ("ii", "ü"), ("vv", "w"), ("w", "vv"), ("rn", "m"), ("m", "rn"), ("m", "in"), ("in", "m"),
     ("ni", "m"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("n", "ri"), ("ri", "n"), ("@", "a"), ("4", "a"), ("7", "t"), ("2", "z"), ("u", "n"), ("n", "u"), ("I", "l"), ("l", "I"), ("I", "i"), ("fi", "ﬁ"), ("nn", "m"), ("tl", "d"), ("iii", "m"), ("lll", "m"),
 )
-BREAKS = "-‐‑¬­"
+BREAKS = "-‐‑¬\u00ad"
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}€!|$@ſ]+(?:['’][\p{L}\p{M}]+)*")
 _SQL_WORD = r"[\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*"
 _PAGE = regex.compile(r"^\W*(?:(?:page|seite|página|pagina|pág\.?|p\.|s\.|стр\.?)\s*)?(?:\d{1,5}(?:\s*(?:of|von|sur|de|di|из|/)\s*\d{1,5})?|[ivxlcdm]{1,9}|[IVXLCDM]{1,9})\W*$", regex.I)
@@ -354,7 +354,7 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
                     split_at = len(lw) if at == nxt else len(word) - len(rw)
                     record(i, s, e, word[:split_at])
                     fixes.setdefault(nxt, []).append((lead, lead + m.end(), word[split_at:]))
-                elif lexicon.knows(lw) and (lexicon.knows(rw) or lexicon.meant(rw, lw, "")) and line[-1] not in "¬­":
+                elif lexicon.knows(lw) and (lexicon.knows(rw) or lexicon.meant(rw, lw, "")) and line[-1] not in "¬\u00ad":
                     joins[i] = (nxt, "compound")
                 else:
                     joins[i] = (nxt, "word")
@@ -364,7 +364,7 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
                     taken[nxt] = lead + m.end()
             elif m is None and nxt is None:
                 # the text ends in the middle of a word
-                if line[-1] in "¬­" or not (lw in lexicon.heads or lexicon.knows(lw)):
+                if line[-1] in "¬\u00ad" or not (lw in lexicon.heads or lexicon.knows(lw)):
                     noise.append((i + 1, "hyphen"))
                     skip_last = True
         first = taken.get(i, 0)

@@ -206,7 +206,7 @@ def test_look_alikes(spark):
     text = "The  résumé of Ｃlaim [1]\nand Москва stays - fine"
     chunks = spark.createDataFrame([("c", text), ("c", text), ("d", None)], "chunk_id string, text string")
     quotes = [
-        "résumé of", "of Сlaim", "Th​e résumé", "Ｃlaim [1] and", "The résumé of Ｃlaim", "resume of", "the résumé", "Claim (1)", "", "Москва  stays", "stays – fine", "stays ‐ fine", "of\nClaim",
+        "résumé of", "of Сlaim", "Th\u200be résumé", "Ｃlaim\u00a0[1] and", "The résumé of Ｃlaim", "resume of", "the résumé", "Claim (1)", "", "Москва  stays", "stays – fine", "stays ‐ fine", "of\nClaim",
     ]
     rows = [(i, "c", q) for i, q in enumerate(quotes)] + [(50, "zz", "The"), (51, None, "The"), (52, "c", None), (0, "c", quotes[0])]
     ev = spark.createDataFrame(rows, "evidence_id bigint, chunk_id string, quote string")
@@ -216,7 +216,7 @@ def test_look_alikes(spark):
 
 
 def test_plain_form(spark):
-    got = spark.createDataFrame([("ＡＢ　ｶﾞ­x ﬁ",), (None,), ("",)], "t string").select(lookalike.plain_form("t")).collect()
+    got = spark.createDataFrame([("ＡＢ\u3000ｶﾞ\u00adx ﬁ",), (None,), ("",)], "t string").select(lookalike.plain_form("t")).collect()
     assert got[0][0] == "AB ガx fi" and got[1][0] is None and got[2][0] == ""
 
 
