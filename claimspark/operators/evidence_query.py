@@ -24,11 +24,19 @@ def _query_words(query: str) -> list[str]:
     return sorted(set(re.findall(r"[a-z0-9]+", query.casefold())))
 
 
-def evidence_index(terms: DataFrame) -> DataFrame:
-    """(source_id, chunk_id, quote_sha256, quote, claims): distinct verified quotations with the labels they support."""
+def _quotations(terms: DataFrame) -> DataFrame:
     rows = drafts(terms)
-    e = rows.select("label_key", F.explode("evidence").alias("e")).where("e.quote is not null").select("label_key", F.col("e.source_id").alias("source_id"), "e.chunk_id", "e.quote_sha256", "e.quote")
-    return e.groupBy("source_id", "chunk_id", "quote_sha256").agg(F.min("quote").alias("quote"), F.array_sort(F.collect_set("label_key")).alias("claims"))
+    return rows.select("label_key", F.explode("evidence").alias("e")).where("e.quote is not null").select("label_key", F.col("e.source_id").alias("source_id"), "e.chunk_id", "e.quote_sha256", "e.quote")
+
+
+def evidence_index(terms: DataFrame) -> DataFrame:
+    """(source_id, chunk_id, quote_sha256, quote, n_claims): distinct verified quotations and how many labels each supports."""
+    return _quotations(terms).groupBy("source_id", "chunk_id", "quote_sha256").agg(F.min("quote").alias("quote"), F.count_distinct("label_key").alias("n_claims"))
+
+
+def evidence_claims(terms: DataFrame) -> DataFrame:
+    """(source_id, chunk_id, quote_sha256, label_key): every label that a quotation supports, one row each."""
+    return _quotations(terms).select("source_id", "chunk_id", "quote_sha256", "label_key").distinct()
 
 
 def retrieve(index: DataFrame, query: str, source_ids: list[str] | None = None) -> DataFrame:
@@ -69,5 +77,5 @@ def conflicts_of(contradictions: DataFrame, links: DataFrame, label: str) -> Dat
 
 
 def ask(index: DataFrame, query: str, size: int = ANSWER_SIZE) -> DataFrame:
-    """The ``size`` best quotations for a question with the claims they support (a top-k report)."""
+    """The ``size`` best quotations for a question (a top-k report); their claims are rows of evidence_claims."""
     return retrieve(index, query).orderBy(F.desc("score"), "source_id", "chunk_id", "quote_sha256").limit(size)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -136,28 +137,57 @@ def parse_nquad(line: str) -> tuple[str, str, str, str, str]:
     return m.group(6), m.group(1), m.group(2), value, m.group(5) or "literal"
 
 
-def _node(kind: Column, value: Column) -> Column:
-    literal = F.concat(F.lit('"'), F.replace(F.replace(F.replace(F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t")), F.lit('"'))
-    ref = F.concat(F.lit("<"), value, F.lit(">"))
-    return F.when(kind == "uri", ref).when(kind == "literal", literal).otherwise(F.concat(literal, F.lit("^^<"), kind, F.lit(">")))
+def _blocks(quads: DataFrame, most: int, render) -> DataFrame:
+    """(graph, value): the triples of each subject in blocks of at most ``most``, rendered one by one.
 
+    The rows are sorted in ranges and streamed, so a subject of any size is
+    written in bounded memory; a subject may stand in several blocks, which both
+    formats read as one node.
+    """
 
-def turtle(quads: DataFrame) -> DataFrame:
-    """(graph, value): one Turtle statement for each subject of each graph; a subject's triples are its own, so bounded by it."""
-    rows = quads.select("graph", "subject", F.concat(F.lit("<"), F.col("predicate"), F.lit("> "), _node(F.col("object_kind"), F.col("object"))).alias("po"))
-    return rows.groupBy("graph", "subject").agg(F.array_sort(F.collect_set("po")).alias("po")).select("graph", F.concat(F.lit("<"), F.col("subject"), F.lit("> "), F.array_join("po", " ;\n    "), F.lit(" .")).alias("value"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for pdf in batches:
+            out = []
+            for g, s, p, o, k in pdf.itertuples(index=False, name=None):
+                if (g, s) != key or len(held) >= most:
+                    if held:
+                        out.append((key[0], render(key[1], held)))
+                    key, held = (g, s), []
+                held.append((p, o, k))
+            yield pd.DataFrame(out, columns=["graph", "value"])
+        if held:
+            yield pd.DataFrame([(key[0], render(key[1], held))], columns=["graph", "value"])
 
+    columns = ["graph", "subject", "predicate", "object", "object_kind"]
+    return quads.select(*columns).repartitionByRange("graph", "subject", "predicate", "object").sortWithinPartitions(*columns).mapInPandas(run, "graph string, value string")
 
-def jsonld(quads: DataFrame) -> DataFrame:
-    """(graph, value): one JSON-LD node object (a JSON line) for each subject of each graph."""
-    value = F.when(F.col("object_kind") == "uri", F.struct(F.col("object").alias("@id"), F.lit(None).cast("string").alias("@value"), F.lit(None).cast("string").alias("@type"))).otherwise(
-        F.struct(F.lit(None).cast("string").alias("@id"), F.col("object").alias("@value"), F.when(F.col("object_kind") != "literal", F.col("object_kind")).alias("@type"))
-    )
-    each = quads.withColumn("v", value).groupBy("graph", "subject", "predicate").agg(F.array_sort(F.collect_set("v")).alias("vs"))
-    nodes = each.groupBy("graph", "subject").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicate", "vs")))).alias("props"))
-    # the members of the map follow the identifier in one object
-    head = F.regexp_replace(F.to_json(F.struct(F.col("subject").alias("@id"))), r"\}$", ",")
-    return nodes.select("graph", F.concat(head, F.expr("substring(to_json(props), 2)")).alias("value"))
+
+def _turtle_block(subject: str, triples: list[tuple[str, str, str]]) -> str:
+    def node(value: str, kind: str) -> str:
+        if kind == "uri":
+            return f"<{value}>"
+        text = json.dumps(value, ensure_ascii=False)
+        return text if kind == "literal" else f"{text}^^<{kind}>"
+
+    return f"<{subject}> " + " ;\n    ".join(f"<{p}> {node(o, k)}" for p, o, k in triples) + " ."
+
+
+def _json_block(subject: str, triples: list[tuple[str, str, str]]) -> str:
+    out: dict = {"@id": subject}
+    for p, o, k in triples:
+        out.setdefault(p, []).append({"@id": o} if k == "uri" else {"@value": o} if k == "literal" else {"@value": o, "@type": k})
+    return json.dumps(out, ensure_ascii=False)
+
+
+def turtle(quads: DataFrame, most: int = 1_000) -> DataFrame:
+    """(graph, value): Turtle statements, one for each subject of a graph (or block of it)."""
+    return _blocks(quads, most, _turtle_block)
+
+
+def jsonld(quads: DataFrame, most: int = 1_000) -> DataFrame:
+    """(graph, value): JSON-LD node objects as JSON lines, one for each subject of a graph (or block of it)."""
+    return _blocks(quads, most, _json_block)
 
 
 def with_ids(reduced: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ each level shortens every chain by a constant factor whatever the layout.
 
 Defined results: null or blank labels make no link; a link of a node to itself
 is ignored; repeated links count once; a node with several parents follows the
-one stated most often (the smallest among equals) and lists the others in
-``other_parents``; an empty table gives no rows; further columns are ignored.
+one stated most often (the smallest among equals); ``n_parents`` counts all of
+them, whose links stay in the table of links; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -164,7 +164,7 @@ def _solve(nodes: DataFrame, level: int, fragment_rows: int) -> DataFrame:
 def forest(links: DataFrame, group: str = "source_id", child: str = "child", parent: str = "parent", weight: str | None = "stated", fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
     """Full hierarchy of parent-child links.
 
-    One row per node: (group, node, root, depth, path, parent, other_parents,
+    One row per node: (group, node, root, depth, path, parent, n_parents,
     cycle_members); path runs from the root to the node.  On or below a cycle depth
     is -1, path null and root the smallest node of the cycle; the cycle's
     members stand on one of its rows.
@@ -178,7 +178,7 @@ def forest(links: DataFrame, group: str = "source_id", child: str = "child", par
     nodes = cut(
         counted.groupBy("grp", "node").agg(
             F.min_by("parent", F.when(F.col("parent").isNotNull(), F.struct(-F.col("w"), F.col("parent")))).alias("parent"),
-            F.array_sort(F.collect_set("parent")).alias("parents"),
+            F.count("parent").alias("n_parents"),
         )
     )
     solved = _solve(nodes.select("grp", "node", "parent", F.array("node").alias("frag")), 0, fragment_rows)
@@ -189,7 +189,7 @@ def forest(links: DataFrame, group: str = "source_id", child: str = "child", par
         F.col("depth").cast("int").alias("depth"),
         F.when(F.col("depth") >= 0, F.reverse("frag")).alias("path"),
         "parent",
-        F.array_except("parents", F.array("parent")).alias("other_parents"),
+        "n_parents",
         F.col("members").alias("cycle_members"),
     )
 

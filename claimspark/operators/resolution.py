@@ -227,11 +227,11 @@ def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float | None
 
 
 def clusters(terms: DataFrame, keyed: DataFrame) -> DataFrame:
-    """(source_id, cluster_key, canonical_label, labels, n_occurrences) of resolved occurrences."""
+    """(source_id, cluster_key, canonical_label, n_labels, n_occurrences) of resolved occurrences."""
     occ = occurrences(terms).select("source_id", "key", F.trim("label").alias("label"), "confidence")
     joined = keyed.join(occ, ["source_id", "key"])
     per = joined.where("label is not null and label <> ''").groupBy("source_id", "cluster_key", "label").agg(F.count("*").alias("n"), F.max("confidence").alias("c"))
-    best = per.groupBy("source_id", "cluster_key").agg(F.min_by("label", F.struct(-F.col("n"), -F.coalesce("c", F.lit(-1.0)), F.length("label"), fold_label("label"), F.col("label"))).alias("canonical_label"), F.array_sort(F.collect_set("label")).alias("labels"))
+    best = per.groupBy("source_id", "cluster_key").agg(F.min_by("label", F.struct(-F.col("n"), -F.coalesce("c", F.lit(-1.0)), F.length("label"), fold_label("label"), F.col("label"))).alias("canonical_label"), F.count("*").alias("n_labels"))
     sizes = joined.groupBy("source_id", "cluster_key").agg(F.count("*").alias("n_occurrences"))
     return sizes.join(best, ["source_id", "cluster_key"], "left")
 

@@ -239,12 +239,16 @@ def evidence_index(spark: SparkSession, d: str) -> DataFrame:
     return evidence_query.evidence_index(load(spark, d, "draft_terms"))
 
 
+def evidence_claims(spark: SparkSession, d: str) -> DataFrame:
+    return evidence_query.evidence_claims(load(spark, d, "draft_terms"))
+
+
 def retrieve_evidence(spark: SparkSession, d: str) -> DataFrame:
-    return evidence_query.retrieve(evidence_index(spark, d), QUESTION).drop("claims")
+    return evidence_query.retrieve(evidence_index(spark, d), QUESTION).drop("n_claims")
 
 
 def ask_evidence(spark: SparkSession, d: str) -> DataFrame:
-    return evidence_query.ask(evidence_index(spark, d), QUESTION).drop("claims")
+    return evidence_query.ask(evidence_index(spark, d), QUESTION).drop("n_claims")
 
 
 def lookup_concept(spark: SparkSession, d: str) -> DataFrame:
@@ -287,7 +291,7 @@ _ALL = (
     source_routes, document_fingerprints, duplicate_texts, chunk_token_counts, chunk_split_sizes, source_profiles, heading_counts, document_blocks, heading_groups, layout_chunks, chunk_sentences, definition_statements, relation_statements,
     named_models, extracted_terms, body_texts, known_terms, reduced_relations, reduced_models, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
     source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
-    shape_violations, evidence_index, retrieve_evidence, ask_evidence, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
+    shape_violations, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
 )
 
 

@@ -206,7 +206,7 @@ quads as (
 """
 INDEX = """
 index_rows as (
-  select e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, min(e.quote) quote, list_sort(list_distinct(list(label_key))) claims
+  select e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, min(e.quote) quote, count(distinct label_key) n_claims
   from (select label_key, unnest(evidence) e from drafts) where e.quote is not null group by 1, 2, 3
 )
 """
@@ -310,6 +310,7 @@ join (select distinct chunk_id, source_id, text from chunks where chunk_id is no
     "quad_counts": _DR + "," + QUADS + " select predicate, count(*) n from quads group by 1",
     "shape_violations": _DR + "," + QUADS + " " + _shape_sql(),
     "evidence_index": _DR + "," + INDEX + " select * from index_rows",
+    "evidence_claims": _DR + " select distinct e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, label_key from (select label_key, unnest(evidence) e from drafts) where e.quote is not null",
     "retrieve_evidence": _DR + "," + INDEX + "," + RETRIEVED + " select * from retrieved",
     "ask_evidence": _DR + "," + INDEX + "," + RETRIEVED + " select * from retrieved order by score desc, source_id, chunk_id, quote_sha256 limit 10",
     "lookup_concept": _DR + f" select source_id, label_key, label, kind, definition, confidence, count(*) over () > 1 ambiguous from salient where label_key = {_KEY}",
