@@ -49,13 +49,13 @@ _REGION = regex.compile(
     r"""(?msx)
     (?P<fence>^[ ]{0,3}(?P<f>`{3,}|~{3,})[^\n`]*$(?:\n.*?^[ ]{0,3}(?P=f)[`~]*[ \t\r]*$|.*\Z))
   | (?P<comment><!--.*?(?:-->|\Z) | ^[ \t]*%[^\n]*$)
-  | (?P<pre><pre\b[^<>]*>.*?(?:</pre\s*>|\Z))
-  | (?P<source><(?P<s>syntaxhighlight|source)\b[^<>]*>.*?(?:</(?P=s)\s*>|\Z))
+  | (?P<pre>(?i:<pre\b[^<>]*>.*?(?:</pre\s*>|\Z)))
+  | (?P<source>(?i:<(?P<s>syntaxhighlight|source)\b[^<>]*>.*?(?:</(?P=s)\s*>|\Z)))
   | (?P<verbatim>\\begin\{(?P<v>verbatim\*?|Verbatim|lstlisting|minted|alltt)\}.*?(?:\\end\{(?P=v)\}|\Z))
   | (?P<display>\\begin\{(?P<d>(?:equation|align|gather|multline|eqnarray|displaymath|math|flalign|alignat)\*?)\}.*?\\end\{(?P=d)\})
-  | (?P<table>\\begin\{(?P<t>tabular[x*]?|array|longtable)\}.*?(?:\\end\{(?P=t)\}|\Z) | <table\b[^<>]*>.*?(?:</table\s*>|\Z) | ^\{\|.*?(?:^\|\}|\Z) | ^[ ]{0,3}\|[^\n]*\|[ \t\r]*$)
-  | (?P<mathtag><math\b[^<>]*>.*?</math\s*>)
-  | (?P<nowiki><(?P<n>nowiki|script|style|code|tt|ref)\b[^<>]*(?:/>|>.*?</(?P=n)\s*>))
+  | (?P<table>\\begin\{(?P<t>tabular[x*]?|array|longtable)\}.*?(?:\\end\{(?P=t)\}|\Z) | (?i:<table\b[^<>]*>.*?(?:</table\s*>|\Z)) | ^\{\|.*?(?:^\|\}|\Z) | ^[ ]{0,3}\|[^\n]*\|[ \t\r]*$)
+  | (?P<mathtag>(?i:<math\b[^<>]*>.*?</math\s*>))
+  | (?P<nowiki>(?i:<(?P<n>nowiki|script|style|code|tt|ref)\b[^<>]*(?:/>|>.*?</(?P=n)\s*>)))
   | (?P<template>\{\{(?:[^{}]++|\{(?!\{)|\}(?!\})|(?&template))*+\}\})
   | (?P<bracket>(?<!\\)\\\[(?:(?!\n[ \t\r]*\n).)*?\\\] | (?<!\\)\\\((?:(?!\n[ \t\r]*\n).)*?\\\))
   | (?P<escape>\\[^\w\s])
