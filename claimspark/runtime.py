@@ -87,3 +87,15 @@ def ship(spark: SparkSession) -> None:
                     path = os.path.join(folder, f)
                     z.write(path, os.path.join("claimspark", os.path.relpath(path, root)))
     sc.addPyFile(target)
+
+
+_LOCAL: dict = {}
+
+
+def once(key: str, make):
+    """make() once for each Python worker and key: tables that take long to build outlive a task."""
+    if key not in _LOCAL:
+        if len(_LOCAL) >= 4:
+            _LOCAL.clear()
+        _LOCAL[key] = make()
+    return _LOCAL[key]
