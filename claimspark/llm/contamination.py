@@ -24,6 +24,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.runtime import spread
+from claimspark.runtime import once, spread
 
 ITEM_CHARS = 32_000_000
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -134,10 +135,10 @@ def leaked_spans(documents: DataFrame, items: DataFrame, words: int = 15, chars:
     schema = "doc_id bigint, item_id bigint, start_pos int, end_pos int"
     out: DataFrame | None = None
     for block in item_blocks(items, block_chars):
-        shared = spark.sparkContext.broadcast((block, words, chars))
+        shared, token = spark.sparkContext.broadcast((block, words, chars)), uuid.uuid4().hex
 
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            grams = Grams(*shared.value)
+        def scan(batches: Iterator[pd.DataFrame], shared=shared, token=token) -> Iterator[pd.DataFrame]:
+            grams = once(token, lambda: Grams(*shared.value))
             for pdf in batches:
                 rows = []
                 for d, t in zip(pdf["doc_id"], pdf["text"]):

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from claimspark.runtime import cut, spread
+from claimspark.runtime import cut, once, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public split pattern of this vocabulary.
@@ -61,11 +61,9 @@ def source_key(c: Column) -> Column:
 
 def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, tokens) of the documents that have text."""
-    kept: dict = {}
-
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = kept.get("enc") or kept.setdefault("enc", encoder(tokenizer))
+        enc = once(f"encoder:{tokenizer}", lambda: encoder(tokenizer))
         for s in batches:
             yield pd.Series([len(enc.encode_ordinary(t)) for t in s], dtype="int64")
 

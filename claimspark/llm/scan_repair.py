@@ -25,6 +25,7 @@ once; line ends "\\r\\n" are read as "\\n" with the line numbers unchanged.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.llm.lookalike import ARMENIAN, ARMENIAN_AS, CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, INVISIBLE
-from claimspark.runtime import cut, spread
+from claimspark.runtime import cut, once, spread
 
 VOCABULARY_SHARE = 1e-5
 LEAST_COUNT = 3
@@ -133,16 +134,17 @@ def one_confusion(read: str) -> Iterator[str]:
             at = read.find(a, at + 1)
 
 
-class Lexicon:
-    """The bounded tables: words, compounds and word pairs with their counts.
+def without_misreadings(words: dict[str, int]) -> dict[str, int]:
+    """A very common word is also often misread, and often in the same way: words that one confusion explains by a word
+    MISREAD_RATIO times as common are left out."""
+    return {w: n for w, n in words.items() if not any(words.get(v, 0) >= MISREAD_RATIO * n for v in one_confusion(w))}
 
-    A very common word is also often misread, and often in the same way; a word
-    that confusions explain by one MISREAD_RATIO times as common is no word.
-    """
+
+class Lexicon:
+    """The bounded tables: words, compounds and word pairs with their counts."""
 
     def __init__(self, words: dict[str, int], compounds: dict[str, int], pairs: dict[str, int]) -> None:
-        self.words = {w: n for w, n in words.items() if not any(words.get(v, 0) >= MISREAD_RATIO * n for v in one_confusion(w))}
-        self.compounds, self.pairs = compounds, pairs
+        self.words, self.compounds, self.pairs = words, compounds, pairs
         self.heads = {c.split("-")[0] for c in compounds}
         self.trie = Trie(self.words)
         self.memo: dict[str, list[tuple[int, int, str, int]]] = {}
@@ -465,7 +467,7 @@ def lexicon_tables(texts: DataFrame, share: float = VOCABULARY_SHARE) -> tuple[d
     out: dict[str, dict[str, int]] = {"w": {}, "c": {}, "p": {}}
     for r in counts.where((F.col("n") >= F.when(F.col("kind") == "w", least).otherwise(max(2, least // 8))) & ((F.col("kind") == "w") | (F.col("n") * 8 >= F.lit(total * share)))).toLocalIterator():
         out[r["kind"]][r["value"]] = r["n"]
-    return out["w"], out["c"], out["p"]
+    return without_misreadings(out["w"]), out["c"], out["p"]
 
 
 def _headers(recs: DataFrame) -> DataFrame:
@@ -489,11 +491,11 @@ def repaired(converted: DataFrame, chunks: DataFrame) -> DataFrame:
     recs = spread(records(converted, chunks))
     spark = recs.sparkSession
     shared = spark.sparkContext.broadcast(lexicon_tables(recs))
-    kept: dict = {}
+    token = uuid.uuid4().hex
 
     @F.pandas_udf("struct<noise:array<struct<line_no:int,noise:string>>,repaired:string>")
     def repair(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        lexicon = kept.get("lexicon") or kept.setdefault("lexicon", Lexicon(*shared.value))
+        lexicon = once(token, lambda: Lexicon(*shared.value))
         for texts, headers in batches:
             rows = []
             for t, h in zip(texts, headers):
