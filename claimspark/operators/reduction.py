@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from claimspark.functions.columns import collapse, fold_label, is_blank
+from claimspark.runtime import cut
 
 LEAST_CONFIDENCE = 0.55
 BUDGETS = {"terms": 250, "relations": 400, "axioms": 200, "mental_models": 60}
@@ -63,15 +64,31 @@ def best_kinds(rows: DataFrame) -> DataFrame:
     return per.groupBy("source_id", "label_key").agg(F.min_by("kind", F.struct(-F.col("w"), -F.col("n"), F.col("kind"))).alias("kind"))
 
 
+def _spellings(rows: DataFrame) -> DataFrame:
+    """What every later choice needs, once for each (source_id, label_key, label, kind): far fewer rows than drafts."""
+    order = F.struct((-F.coalesce("confidence", F.lit(-1.0))).alias("c"), (-F.size("evidence")).alias("e"), (-F.length("definition")).alias("l"), F.col("definition").alias("definition"))
+    return rows.groupBy("source_id", "label_key", F.trim("label").alias("label"), "kind").agg(
+        F.count("*").alias("n"),
+        F.max("confidence").alias("confidence"),
+        F.sum(F.round(F.coalesce("confidence", F.lit(0.0)) * 1e6).cast("bigint")).alias("w"),
+        F.min(F.when(~is_blank("definition"), order)).alias("best"),
+    )
+
+
 def reduced_terms(terms: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["terms"]) -> DataFrame:
     """(source_id, label_key, label, kind, definition, confidence, n_evidence, rank): the salient terms of each source."""
     rows = drafts(terms)
     keys = ["source_id", "label_key"]
-    top = rows.groupBy(*keys).agg(F.max("confidence").alias("confidence"))
-    joined = canonical_labels(rows).drop("n").join(top, keys).join(evidence_counts(rows, keys), keys).where(F.col("confidence") >= least)
+    spelt = cut(_spellings(rows))
+    by_label = spelt.groupBy(*keys, "label").agg(F.sum("n").alias("n"), F.max(F.coalesce("confidence", F.lit(-1.0))).alias("c"))
+    labels = by_label.groupBy(*keys).agg(F.min_by("label", F.struct(-F.col("n"), -F.col("c"), F.length("label"), F.col("label"))).alias("label"))
+    by_kind = spelt.where("kind is not null").groupBy(*keys, "kind").agg(F.sum("w").alias("w"), F.sum("n").alias("n"))
+    kinds = by_kind.groupBy(*keys).agg(F.min_by("kind", F.struct(-F.col("w"), -F.col("n"), F.col("kind"))).alias("kind"))
+    top = spelt.groupBy(*keys).agg(F.max("confidence").alias("confidence"), collapse(F.min("best")["definition"]).alias("definition"))
+    joined = top.where(F.col("confidence") >= least).join(labels, keys).join(evidence_counts(rows, keys), keys)
     salience = W.partitionBy("source_id").orderBy(F.desc("confidence"), F.desc("n_evidence"), "label_key")
     kept = joined.withColumn("rank", F.row_number().over(salience)).where(F.col("rank") <= budget)
-    return kept.join(best_definitions(rows), keys, "left").join(best_kinds(rows), keys, "left").select(*keys, "label", "kind", F.coalesce("definition", F.lit("")).alias("definition"), "confidence", "n_evidence", "rank")
+    return kept.join(kinds, keys, "left").select(*keys, "label", "kind", F.coalesce("definition", F.lit("")).alias("definition"), "confidence", "n_evidence", "rank")
 
 
 def abstracts(reduced: DataFrame, size: int = ABSTRACT_SIZE) -> DataFrame:
@@ -86,7 +103,7 @@ def term_links(terms: DataFrame, reduced: DataFrame) -> DataFrame:
     rows = drafts(terms)
     sides = F.array(*[F.struct(F.lit(n).alias("link"), F.lit(i).alias("inverse"), F.coalesce(c, F.array().cast("array<string>")).alias("labels")) for n, i, c in (("broader", "narrower", "broader_labels"), ("narrower", "broader", "narrower_labels"), ("related", "related", "related_labels"))])
     each = rows.select("source_id", "label_key", F.explode(sides).alias("s")).select("source_id", "label_key", "s.link", "s.inverse", F.explode("s.labels").alias("o")).select("source_id", "label_key", "link", "inverse", fold_label("o").alias("other_key")).where("other_key <> '' and other_key <> label_key").distinct()
-    alive = reduced.select("source_id", "label_key")
+    alive = cut(reduced.select("source_id", "label_key"))  # both ends are looked up
     known = each.join(alive, ["source_id", "label_key"], "left_semi").join(alive.withColumnRenamed("label_key", "other_key"), ["source_id", "other_key"], "left_semi")
     return known.select("source_id", "label_key", "link", "other_key").unionByName(known.select("source_id", F.col("other_key").alias("label_key"), F.col("inverse").alias("link"), F.col("label_key").alias("other_key"))).distinct()
 

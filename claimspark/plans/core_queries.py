@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.operators import alignment, chunking, evidence_query, extraction, frame, graph, grounding, reduction, resolution
-from claimspark.runtime import load
+from claimspark.runtime import cut, load
 from claimspark.sources import readers
 
 QUESTION = "Which audit qualifies the consensus?"
@@ -190,16 +190,16 @@ def class_membership(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alignment_features(spark: SparkSession, d: str) -> DataFrame:
-    return alignment.features(concept_classes(spark, d)).drop("left_definition", "right_definition")
+    return alignment.features(cut(concept_classes(spark, d))).drop("left_definition", "right_definition")
 
 
 def concept_mappings(spark: SparkSession, d: str) -> DataFrame:
-    return alignment.mappings(concept_classes(spark, d))
+    return alignment.mappings(cut(concept_classes(spark, d)))
 
 
 def _quads(spark: SparkSession, d: str) -> DataFrame:
     terms = load(spark, d, "draft_terms")
-    reduced = reduction.reduced_terms(terms)
+    reduced = cut(reduction.reduced_terms(terms))  # read by every kind of triple
     return graph.term_quads(reduced, reduction.term_links(terms, reduced), reduction.drafts(terms))
 
 
