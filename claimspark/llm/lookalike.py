@@ -20,8 +20,12 @@ chunk isn't found; an empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Characters that have no shape of their own.
 INVISIBLE = r"[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0]"
@@ -58,6 +62,11 @@ def look_alike(word: Column | str) -> Column:
     return F.translate(c, CYRILLIC + GREEK + ARMENIAN, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS)
 
 
+@F.pandas_udf(T.StringType())
+def _composed(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+
+
 def _words(text: str) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
@@ -65,7 +74,9 @@ def _words(text: str) -> Column:
 def canonical_words(texts: DataFrame, text: str = "plain") -> DataFrame:
     """(word, canonical) for every word of the texts that isn't its class's canonical member."""
     counts = texts.select(F.explode(_words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    keyed = counts.withColumn("mapped", look_alike("word"))
+    # Composed once here: the collation equates composed and decomposed accents when it compares, but a shuffle may place
+    # two spellings of one class in different partitions, so members of a class must have one spelling of their key.
+    keyed = counts.withColumn("mapped", F.when(F.regexp_like("word", F.lit(r"[^\x00-\x7F]")), _composed(look_alike("word"))).otherwise(F.col("word")))
     mixed = F.regexp_like("word", F.lit(_FOREIGN)) & (F.regexp_like("word", F.lit("[A-Za-z]")) | F.regexp_like("word", F.lit(r"[À-ɏ]")))
     # the value a word stands for as a member of its class
     member = F.when(mixed, F.col("mapped")).otherwise(F.col("word"))
@@ -80,7 +91,8 @@ def canonical_words(texts: DataFrame, text: str = "plain") -> DataFrame:
         .select("word", "class")
         .join(best.select("class", "canonical"), "class")
         .where("word <> canonical")
-        .select("word", "canonical")
+        .groupBy("word")
+        .agg(F.min("canonical").alias("canonical"))
     )
 
 

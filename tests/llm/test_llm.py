@@ -395,3 +395,19 @@ def test_queries_run(spark, sf):
     for name, columns in {"p1_found": "dup_group field term_id", "p2_found": "occurrence_key group_key", "p3_found": "chunk_id", "p4_found": "record_id line_no noise", "p5_found": "evidence_id", "p6_found": "record_id line_no element", "p8_found": "doc_id item_id", "p10_found": "doc_id start_pos end_pos"}.items():
         df = found[name](spark, sf)
         assert df.columns == columns.split() and df.count() == df.distinct().count(), name
+
+
+def test_classes_meet_in_any_layout(spark):
+    """Spellings of one class come out alike however the words are partitioned."""
+    rows = [(f"c{i}", w) for i, w in enumerate(["gr\u00f6\u00dfere", "gro\u0308\u00dfere", "gr\u00f6\u00df\u0435r\u0435", "gr\u00f6\u017fere", "cafe", "caf\u00e9", "cafe\u0301"] * 3)]
+    texts = spark.createDataFrame(rows, "row_id string, plain string")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        for n in (1, 7, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            got = {r.word: r.canonical for r in lookalike.canonical_words(texts.repartition(n)).collect()}
+            assert got == {"gro\u0308\u00dfere": "gr\u00f6\u00dfere", "gr\u00f6\u00df\u0435r\u0435": "gr\u00f6\u00dfere", "cafe\u0301": "caf\u00e9"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
