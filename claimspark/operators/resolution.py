@@ -12,7 +12,8 @@
    read only members of the two clusters to be joined); each is resolved in
    order by a fold over its pairs: exact and lexical matches merge unless a
    hierarchy link, analogy wording or different definitions forbid it between
-   any two members.
+   any two members.  Pairs from AMBIGUOUS up to the lexical threshold go to the
+   adjudicator if there is one, else they stay apart as ambiguous.
 
 Defined results: null and blank labels are occurrences without names and stay
 alone; repeated rows count once; a hierarchy link between two names keeps their
@@ -24,7 +25,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,7 +51,10 @@ def occurrences(terms: DataFrame) -> DataFrame:
     return keyed.withColumn("rep", F.sha2(F.concat_ws("\u0001", "source_id", F.array_join("names", "\u0002"), F.coalesce(fold_label("definition"), F.lit("")), F.coalesce("kind", F.lit("")), F.when(F.size("names") == 0, F.col("key")).otherwise("")), 256))
 
 
-def similar_names(names: DataFrame, threshold: float = LEXICAL) -> DataFrame:
+Adjudicator = Callable[[dict, dict, float], bool]
+
+
+def similar_names(names: DataFrame, threshold: float = AMBIGUOUS) -> DataFrame:
     """(source_id, left, right, score) of distinct names of a source with score >= threshold, left < right.
 
     A similarity of t means at most (1 - t)(a + b) insertions and deletions.  A
@@ -59,7 +63,9 @@ def similar_names(names: DataFrame, threshold: float = LEXICAL) -> DataFrame:
     rarest pairs of each name, one more than may be missing, therefore have one in
     common; names so short that this proves nothing also meet by single letters.
     Names meet with their words sorted and as given, as the score takes the higher
-    of both.
+    of both.  Before a score is made, two 64-bit maps of each name's numbered
+    letters are compared: every bit that differs is an insertion or a deletion, so
+    a pair that differs in more than (1 - t)(a + b) bits can't reach the threshold.
     """
     if threshold <= 70:
         raise ValueError("letter pairs prove nothing for a threshold of 70 or less")
@@ -79,9 +85,14 @@ def similar_names(names: DataFrame, threshold: float = LEXICAL) -> DataFrame:
     prefix = ranked.where((F.col("rank") <= F.greatest(F.col("size") - 1, F.lit(1)) - F.greatest(shared, F.lit(1)) + 1) | (shared < 1)).select("source_id", "name", "size", "gram").distinct()
     letters = forms.where(F.length("form") < short).select("source_id", "name", F.length("form").alias("size"), F.explode(F.array_distinct(F.split("form", ""))).alias("gram"))
     prefix = prefix.unionByName(letters.where("gram <> ''").distinct())
-    other = prefix.select("source_id", "gram", F.col("name").alias("right"), F.col("size").alias("right_size"))
+    bits = F.expr("flatten(transform(array_distinct(transform(sequence(1, length(name)), p -> substring(name, p, 1))), c -> transform(sequence(1, length(name) - length(replace(name, c, ''))), i -> cast(pmod(xxhash64(c, i), 128) as int))))")
+    word = lambda at: F.aggregate(F.filter("bits", lambda b: F.floor(b / 64) == at), F.lit(0).cast("bigint"), lambda x, b: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % 64).cast("int"))))
+    maps = cut(prefix.select("name").distinct().withColumn("bits", bits).select("name", word(0).alias("m0"), word(1).alias("m1")))
+    prefix = cut(prefix.join(maps, "name"))
+    other = prefix.select("source_id", "gram", F.col("name").alias("right"), F.col("size").alias("right_size"), F.col("m0").alias("r0"), F.col("m1").alias("r1"))
+    differing = F.bit_count(F.col("m0").bitwiseXOR(F.col("r0"))) + F.bit_count(F.col("m1").bitwiseXOR(F.col("r1")))
     near = F.least("size", "right_size") >= F.greatest("size", "right_size") * (t / (2 - t)) - 1e-9
-    pairs = prefix.join(other, ["source_id", "gram"]).where(F.col("name") < F.col("right")).where(near).select("source_id", F.col("name").alias("left"), "right").distinct()
+    pairs = prefix.join(other, ["source_id", "gram"]).where(F.col("name") < F.col("right")).where(near).where(differing <= (1 - t) * (F.col("size") + F.col("right_size")) + 1e-9).select("source_id", F.col("name").alias("left"), "right").distinct()
     return pairs.withColumn("score", name_score_udf("left", "right")).where(F.col("score") >= threshold)
 
 
@@ -127,7 +138,7 @@ def _components(pairs: DataFrame) -> DataFrame:
         label = cut(label.join(roots, ["source_id", "component"], "left").select("source_id", "rep", F.coalesce("root_node", "component").alias("component")))
 
 
-def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked: set[tuple[str, str]], lexical: float) -> tuple[list[int], list[tuple[int, int, str, str, float]]]:
+def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked: set[tuple[str, str]], lexical: float, adjudicator: Adjudicator | None = None) -> tuple[list[int], list[tuple[int, int, str, str, float]]]:
     root = list(range(len(members)))
     group = {i: [i] for i in root}
     names, definitions = members["names"].tolist(), members["definition"].tolist()
@@ -150,6 +161,13 @@ def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked:
             )
         return memo[key]
 
+    def merge(ra: int, rb: int) -> None:
+        if ra != rb:
+            low, high = min(ra, rb), max(ra, rb)
+            root[high] = low
+            group[low] += group.pop(high)
+
+    shown = lambda i: {"names": list(names[i]), "definition": definitions[i]}
     decisions = []
     for a, b, score in pairs:
         ra, rb = find(a), find(b)
@@ -159,25 +177,28 @@ def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked:
         if why:
             decisions.append((a, b, "distinct", why, score))
         elif score >= lexical:
-            if ra != rb:
-                low, high = min(ra, rb), max(ra, rb)
-                root[high] = low
-                group[low] += group.pop(high)
+            merge(ra, rb)
             decisions.append((a, b, "merge", "exact" if score >= 100 else "lexical", score))
+        elif adjudicator is not None:
+            same = adjudicator(shown(a), shown(b), score)
+            if same:
+                merge(ra, rb)
+            decisions.append((a, b, "merge" if same else "distinct", "adjudicated", score))
         else:
             decisions.append((a, b, "ambiguous", "lexical", score))
     return [find(i) for i in range(len(members))], decisions
 
 
-def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float | None = None) -> tuple[DataFrame, DataFrame]:
+def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float = AMBIGUOUS, adjudicator: Adjudicator | None = None) -> tuple[DataFrame, DataFrame]:
     """((source_id, key, cluster_key), (source_id, left, right, decision, stage, score)).
 
     cluster_key is the key of the cluster's first occurrence.  Decisions are
-    between representatives, shown by their first occurrences.
+    between representatives, shown by their first occurrences.  The adjudicator
+    runs on the executors, on pairs scored from ``threshold`` up to ``lexical``.
     """
     occ = cut(occurrences(terms))
     names = occ.select("source_id", F.explode("names").alias("name")).distinct()
-    close = cut(similar_names(names, lexical if threshold is None else threshold))
+    close = cut(similar_names(names, min(lexical, threshold)))
     pairs = cut(candidates(occ, close))
     reps = occ.groupBy("source_id", "rep").agg(F.min("ord").alias("ord"), F.first("names").alias("names"), F.min("definition").alias("definition"))
     comp = _components(pairs)
@@ -211,7 +232,7 @@ def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float | None
                     scores[(i, j)] = 100.0
         found = [(i, j, score) for (i, j), score in scores.items()]
         linked = {(x, y) for x, y in pdf.loc[pdf["kind"] == "l", ["rep", "other"]].itertuples(index=False)}
-        roots, decisions = _resolve(members, sorted(found), linked, lexical)
+        roots, decisions = _resolve(members, sorted(found), linked, lexical, adjudicator)
         keys = [f"{int(f)}:{int(t)}" for f, t in zip(members["fragment_index"], members["term_index"])]
         out = [(source, "r", rep, None, keys[roots[i]], None, None) for i, rep in enumerate(members["rep"])]
         out += [(source, "d", keys[a], keys[b], d, s, score) for a, b, d, s, score in decisions]

@@ -128,6 +128,19 @@ def test_resolution_guards(spark):
     assert empty[0].count() == empty[1].count() == 0
 
 
+def test_resolution_ambiguous(spark):
+    rows = [term(0, "cautious autonomy"), term(1, "cautious autonomy veto"), term(2, "Cautious Autonomys"), term(3, "unlike")]
+    df = spark.createDataFrame(rows, TERM)
+    keyed, decisions = resolution.resolve(df)
+    assert {(r.left, r.right, r.decision, r.stage) for r in decisions.collect()} == {("0:0", "1:0", "ambiguous", "lexical"), ("0:0", "2:0", "merge", "lexical"), ("1:0", "2:0", "ambiguous", "lexical")}
+    assert {r.key: r.cluster_key for r in keyed.collect()} == {"0:0": "0:0", "1:0": "1:0", "2:0": "0:0", "3:0": "3:0"}
+    names = resolution.occurrences(df).select("source_id", F.explode("names").alias("name"))
+    assert resolution.similar_names(names).count() == 3
+    keyed, decisions = resolution.resolve(df, adjudicator=lambda left, right, score: "veto" in right["names"][0])
+    assert {r.key: r.cluster_key for r in keyed.collect()} == {"0:0": "0:0", "1:0": "0:0", "2:0": "0:0", "3:0": "3:0"}
+    assert ("merge", "adjudicated") in {(r.decision, r.stage) for r in decisions.collect()}
+
+
 def test_reduction(spark):
     rows = [term(0, "A-b", confidence=0.9, definition="longer text"), term(1, "a b", confidence=0.8, definition="x", kind="role"), term(2, "a b", confidence=7.0), term(3, "weak", confidence=0.2), term(4, "unproven", verified=False), term(5, None), term(6, "other", broader=["A b", "other", "gone"])]
     df = spark.createDataFrame(rows, TERM)
