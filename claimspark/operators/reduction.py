@@ -77,11 +77,14 @@ def _spellings(rows: DataFrame) -> DataFrame:
 
 def reduced_terms(terms: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["terms"]) -> DataFrame:
     """(source_id, label_key, label, kind, definition, confidence, n_evidence, rank): the salient terms of each source."""
-    rows = drafts(terms)
+    return _reduced(drafts(terms), least, budget)
+
+
+def _reduced(rows: DataFrame, least: float, budget: int) -> DataFrame:
     keys = ["source_id", "label_key"]
     spelt = cut(_spellings(rows))
     by_label = spelt.groupBy(*keys, "label").agg(F.sum("n").alias("n"), F.max(F.coalesce("confidence", F.lit(-1.0))).alias("c"))
-    labels = by_label.groupBy(*keys).agg(F.min_by("label", F.struct(-F.col("n"), -F.col("c"), F.length("label"), F.col("label"))).alias("label"))
+    labels = by_label.groupBy(*keys).agg(F.min_by("label", F.struct(-F.col("n"), -F.col("c"), F.length("label"), fold_label("label"), F.col("label"))).alias("label"))
     by_kind = spelt.where("kind is not null").groupBy(*keys, "kind").agg(F.sum("w").alias("w"), F.sum("n").alias("n"))
     kinds = by_kind.groupBy(*keys).agg(F.min_by("kind", F.struct(-F.col("w"), -F.col("n"), F.col("kind"))).alias("kind"))
     top = spelt.groupBy(*keys).agg(F.max("confidence").alias("confidence"), collapse(F.min("best")["definition"]).alias("definition"))
@@ -108,6 +111,41 @@ def term_links(terms: DataFrame, reduced: DataFrame) -> DataFrame:
     return known.select("source_id", "label_key", "link", "other_key").unionByName(known.select("source_id", F.col("other_key").alias("label_key"), F.col("inverse").alias("link"), F.col("label_key").alias("other_key"))).distinct()
 
 
+def clustered(terms: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Draft rows with the cluster_key of resolution.resolve(); rows without a position go by their label."""
+    at = F.when(F.col("fragment_index").isNotNull() & F.col("term_index").isNotNull(), F.concat_ws(":", "fragment_index", "term_index"))
+    rows = drafts(terms).withColumn("key", at).join(keyed, ["source_id", "key"], "left")
+    return rows.withColumn("cluster_key", F.coalesce("cluster_key", F.concat(F.lit("label:"), "label_key")))
+
+
+def resolved_terms(terms: DataFrame, keyed: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["terms"]) -> DataFrame:
+    """(source_id, cluster_key, label_key, label, aliases, kind, definition, confidence, n_evidence, rank): the salient terms of each source, one for each cluster."""
+    rows = cut(clustered(terms, keyed))
+    kept = _reduced(rows.withColumn("label_key", F.col("cluster_key")), least, budget).withColumnRenamed("label_key", "cluster_key").withColumn("label_key", fold_label("label"))
+    names = rows.select("source_id", "cluster_key", F.explode(F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias")).select("source_id", "cluster_key", F.trim("alias").alias("alias")).distinct()
+    other = names.join(kept.select("source_id", "cluster_key", "label_key"), ["source_id", "cluster_key"]).where((fold_label("alias") != "") & (fold_label("alias") != F.col("label_key")))
+    aliases = other.groupBy("source_id", "cluster_key").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
+    return kept.join(aliases, ["source_id", "cluster_key"], "left").select("source_id", "cluster_key", "label_key", "label", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), "kind", "definition", "confidence", "n_evidence", "rank")
+
+
+def resolved_links(terms: DataFrame, keyed: DataFrame, reduced: DataFrame) -> DataFrame:
+    """(source_id, cluster_key, link, other_cluster): links between surviving clusters with their inverses, no self-links.
+
+    A stated label means the one cluster that has it as a label or alias in the
+    same fragment, else the one that has it in the source, else nothing.
+    """
+    rows = cut(clustered(terms, keyed))
+    none = F.array().cast("array<string>")
+    names = rows.select("source_id", "fragment_index", "cluster_key", F.explode(F.concat(F.array("label"), F.coalesce("aliases", none))).alias("name")).select("source_id", "fragment_index", "cluster_key", fold_label("name").alias("name")).where("name <> ''").distinct()
+    one = lambda keys, to: names.groupBy(*keys).agg(F.count_distinct("cluster_key").alias("n"), F.min("cluster_key").alias(to)).where("n = 1").drop("n")
+    sides = F.array(*[F.struct(F.lit(n).alias("link"), F.lit(i).alias("inverse"), F.coalesce(c, none).alias("labels")) for n, i, c in (("broader", "narrower", "broader_labels"), ("narrower", "broader", "narrower_labels"), ("related", "related", "related_labels"))])
+    each = rows.select("source_id", "fragment_index", "cluster_key", F.explode(sides).alias("s")).select("source_id", "fragment_index", "cluster_key", "s.link", "s.inverse", F.explode("s.labels").alias("o")).withColumn("name", fold_label("o")).where("name <> ''").drop("o").distinct()
+    found = each.join(one(["source_id", "fragment_index", "name"], "local"), ["source_id", "fragment_index", "name"], "left").join(one(["source_id", "name"], "everywhere"), ["source_id", "name"], "left").withColumn("other_cluster", F.coalesce("local", "everywhere"))
+    alive = cut(reduced.select("source_id", "cluster_key"))
+    known = found.where("other_cluster <> cluster_key").join(alive, ["source_id", "cluster_key"], "left_semi").join(alive.withColumnRenamed("cluster_key", "other_cluster"), ["source_id", "other_cluster"], "left_semi")
+    return known.select("source_id", "cluster_key", "link", "other_cluster").unionByName(known.select("source_id", F.col("other_cluster").alias("cluster_key"), F.col("inverse").alias("link"), F.col("cluster_key").alias("other_cluster"))).distinct()
+
+
 def dangling_labels(terms: DataFrame) -> DataFrame:
     """(source_id, other_key, n): labels that are linked to but have no row in their source."""
     rows = drafts(terms)

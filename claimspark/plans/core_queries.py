@@ -181,6 +181,17 @@ def resolved_clusters(spark: SparkSession, d: str) -> DataFrame:
     return resolution.clusters(terms, resolution.resolve(terms)[0])
 
 
+def resolved_terms(spark: SparkSession, d: str) -> DataFrame:
+    terms = load(spark, d, "draft_terms")
+    return reduction.resolved_terms(terms, resolution.resolve(terms)[0])
+
+
+def resolved_links(spark: SparkSession, d: str) -> DataFrame:
+    terms = load(spark, d, "draft_terms")
+    keyed = cut(resolution.resolve(terms)[0])
+    return reduction.resolved_links(terms, keyed, reduction.resolved_terms(terms, keyed))
+
+
 def concept_classes(spark: SparkSession, d: str) -> DataFrame:
     return alignment.classes(salient_terms(spark, d))
 
@@ -290,7 +301,7 @@ def frame_findings(spark: SparkSession, d: str) -> DataFrame:
 _ALL = (
     source_routes, document_fingerprints, duplicate_texts, chunk_token_counts, chunk_split_sizes, source_profiles, heading_counts, document_blocks, heading_groups, layout_chunks, chunk_sentences, definition_statements, relation_statements,
     named_models, extracted_terms, body_texts, known_terms, reduced_relations, reduced_models, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
-    source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
+    source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, resolved_terms, resolved_links, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
     shape_violations, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
 )
 

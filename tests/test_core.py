@@ -153,6 +153,17 @@ def test_reduction(spark):
     assert reduction.reduced_terms(spark.createDataFrame([], TERM)).count() == 0
 
 
+def test_reduction_by_cluster(spark):
+    rows = [term(0, "Data Model", aliases=["Schema"], confidence=0.8, definition="a plan of data"), term(1, "Schema", confidence=0.9), term(2, "Data Models", confidence=0.7), term(3, "other", broader=["schema", "gone"]), term(4, "alone", broader=["other"], confidence=0.2)]
+    df = spark.createDataFrame(rows, TERM)
+    keyed = resolution.resolve(df)[0]
+    reduced = reduction.resolved_terms(df, keyed)
+    out = {r.cluster_key: r for r in reduced.collect()}
+    assert set(out) == {"0:0", "3:0"} and (out["0:0"].label, out["0:0"].aliases) == ("Schema", ["Data Model", "Data Models"])
+    assert (out["0:0"].definition, out["0:0"].confidence, out["0:0"].n_evidence) == ("a plan of data", 0.9, 3)
+    assert {(r.cluster_key, r.link, r.other_cluster) for r in reduction.resolved_links(df, keyed, reduced).collect()} == {("3:0", "broader", "0:0"), ("0:0", "narrower", "3:0")}
+
+
 def test_alignment(spark):
     rows = [("s", "audit", "a check of records"), ("t", "audit", "a check of all records"), ("s", "formal audit", "a check of records"), ("t", "cycle", "never a check of records"), ("u", "audit", "a check of records")]
     cls = alignment.classes(spark.createDataFrame(rows, "source_id string, label_key string, definition string"))
