@@ -18,6 +18,10 @@ headings, list items, code blocks and formulas stay marked in one way ("# ",
 "- ", "1. ", fences, "$").  The elements of the DOM are reported with their
 lines whether or not their branch stays.
 
+Sections are told apart by their heading level, and what is removed is a section's
+single blocks, each by its own content and its section's layouts; no importance is
+summed up over several blocks.
+
 The trees are merged by aggregation over (source, path, content), never by
 gathering a site.
 
@@ -372,11 +376,11 @@ def importance(doms: DataFrame) -> DataFrame:
     # the entropy of counts n with sum N is log N - sum(n log n) / N
     content_entropy = F.log("total") - F.col("nlogn") / F.col("total")
     layout_entropy = F.log("all") - F.col("layout_nlogn") / F.col("all")
-    # an importance of presentation needs several layouts; a single layout tells nothing for or against
+    # a single layout has no importance of presentation, so the content alone decides there
     joined = shared.join(sizes, "site").join(layouts, ["site", "path"]).where(F.col("m") >= MIN_PAGES)
     content = 1 - content_entropy / F.log("m")
     presentation = F.least(F.lit(1.0), layout_entropy / F.log(F.greatest(F.col("m"), F.lit(2))))
-    return joined.select("site", "path", "content", "k", "m", content.alias("content_importance"), presentation.alias("presentation_importance"), F.least(content, F.lit(1.0)).alias("importance"))
+    return joined.select("site", "path", "content", "k", "m", content.alias("content_importance"), presentation.alias("presentation_importance"), F.greatest(F.least(content, F.lit(1.0)), presentation).alias("importance"))
 
 
 def cleaned(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

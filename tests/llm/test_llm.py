@@ -275,6 +275,13 @@ def test_clean_text(spark):
     assert markup.elements(converted.limit(0), chunks.limit(0)).count() == 0
 
 
+def test_importance_of_presentation(spark):
+    pages = [(f"p{i}", "s", "# Notes\n\n" + "\n\n".join(f"body {i} {k}" for k in range(i + 1))) for i in range(6)]
+    chunks = spark.createDataFrame([], "chunk_id string, source_id string, text string")
+    got = {r.record_id: r for r in markup.cleaned(spark.createDataFrame(pages, "conversion_id string, source_id string, markdown string"), chunks).collect()}
+    assert all(r.removed == 0 and r.clean.startswith("# Notes") for r in got.values())
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------------
 
 
