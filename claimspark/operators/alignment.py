@@ -5,7 +5,8 @@ with its sources as members, so copies in many sources aren't paired with each
 other.  Candidates are found by equi-joins that lose nothing: equal labels;
 a label that is a run of words of another (every run of a label's words is a
 key); labels whose word sets overlap by LABEL_OVERLAP or more (their rarest
-words, one more than may differ, have one in common).
+words, one more than may differ, have one in common).  Mappings also meet by
+equal forms (label or alias) in different sources.
 
 Defined results: blank labels form no class; equal classes don't pair with
 themselves; an empty definition is similar to nothing and conflicts with
@@ -75,11 +76,33 @@ def candidate_pairs(cls: DataFrame) -> DataFrame:
     return joined.select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")).distinct()
 
 
+def forms(reduced: DataFrame, rows: DataFrame) -> DataFrame:
+    """(class_id, form, least, most): the labels and aliases of each class, with the smallest and largest source that has them."""
+    ided = reduced.where("label_key <> ''").select("source_id", "label_key", F.sha2(F.concat_ws("\u0001", "label_key", F.coalesce("definition", F.lit(""))), 256).alias("class_id"))
+    aliases = rows.select("source_id", "label_key", F.explode("aliases").alias("a")).select("source_id", "label_key", fold_label("a").alias("form")).where("form <> ''").distinct()
+    every = ided.join(aliases, ["source_id", "label_key"]).select("class_id", "source_id", "form").unionByName(ided.select("class_id", "source_id", F.col("label_key").alias("form")))
+    return every.groupBy("class_id", "form").agg(F.min("source_id").alias("least"), F.max("source_id").alias("most"))
+
+
+def form_pairs(named: DataFrame) -> DataFrame:
+    """(left_id, right_id), left_id < right_id: classes that have a form in common in two different sources."""
+    left = named.select("form", F.col("class_id").alias("left_id"), "least", "most")
+    right = named.select("form", F.col("class_id").alias("right_id"), F.col("least").alias("r_least"), F.col("most").alias("r_most"))
+    return left.join(right, "form").where("left_id < right_id and (least <> r_most or most <> r_least)").select("left_id", "right_id").distinct()
+
+
 def features(cls: DataFrame) -> DataFrame:
     """Candidate pairs that a rule on labels could relate, with equal_label, contains, contained, label_overlap, definition_overlap and opposed."""
+    return _compared(cls, candidate_pairs(cls)).where(_BY_LABEL)
+
+
+_BY_LABEL = f"equal_label or contains or contained or label_overlap >= {LABEL_OVERLAP}"
+
+
+def _compared(cls: DataFrame, pairs: DataFrame) -> DataFrame:
     # the word sets are made before the join, so that later expressions read them instead of making them again
     side = lambda s: cls.select(F.col("class_id").alias(f"{s}_id"), F.col("label_key").alias(f"{s}_label"), F.col("definition").alias(f"{s}_definition"), _words("label_key").alias(f"{s}_label_words"), _words("definition").alias(f"{s}_words"))
-    joined = candidate_pairs(cls).join(side("left"), "left_id").join(side("right"), "right_id")
+    joined = pairs.join(side("left"), "left_id").join(side("right"), "right_id")
     pad = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
     lw, rw = F.col("left_words"), F.col("right_words")
     negation = F.array(*map(F.lit, NEGATIONS))
@@ -104,7 +127,7 @@ def features(cls: DataFrame) -> DataFrame:
         F.round(_overlap(F.col("left_label_words"), F.col("right_label_words")), 6).alias("label_overlap"),
         F.round(_overlap(lw, rw), 6).alias("definition_overlap"),
         (opposed & (content >= 0.5)).alias("opposed"),
-    ).where(F.col("equal_label") | F.col("contains") | F.col("contained") | (F.col("label_overlap") >= LABEL_OVERLAP))
+    )
 
 
 @F.pandas_udf(T.DoubleType())
@@ -112,16 +135,24 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
-def mappings(cls: DataFrame) -> DataFrame:
-    """(left_id, right_id, kind, confidence) of related classes."""
-    f = features(cls).withColumn("similar", _ratio(fold_label("left_definition"), fold_label("right_definition")))
+def mappings(cls: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """(left_id, right_id, kind, confidence) of related classes; ``named`` are their forms()."""
+    alike = F.col("equal_label")
+    if named is None:
+        f = features(cls)
+    else:
+        met = form_pairs(named).withColumn("shared_form", F.lit(True)).unionByName(candidate_pairs(cls).withColumn("shared_form", F.lit(False)))
+        met = met.groupBy("left_id", "right_id").agg(F.max("shared_form").alias("shared_form"))
+        f = _compared(cls, met.select("left_id", "right_id")).join(met, ["left_id", "right_id"]).where(f"{_BY_LABEL} or shared_form")
+        alike = alike | F.col("shared_form")
+    f = f.withColumn("similar", _ratio(fold_label("left_definition"), fold_label("right_definition")))
     s, lo, do = F.col("similar"), F.col("label_overlap"), F.col("definition_overlap")
     fits = ~F.col("opposed") & ((do >= COMPATIBLE) | (s >= 0.55))
     kind = (
         F.when(F.col("equal_label") & F.col("opposed"), "conflicting")
-        .when(F.col("equal_label") & (s >= 0.64), "exact_equivalent")
+        .when(alike & (s >= 0.64), "exact_equivalent")
         .when(F.col("equal_label") & (s < 0.42), "superficially_similar_but_distinct")
-        .when(F.col("equal_label"), "related_or_analogous")
+        .when(alike, "related_or_analogous")
         .when(fits & F.col("contains"), "narrower")
         .when(fits & F.col("contained"), "broader")
         .when((lo >= LABEL_OVERLAP) & (do >= DEFINITION_OVERLAP), "related_or_analogous")
@@ -131,7 +162,7 @@ def mappings(cls: DataFrame) -> DataFrame:
         .when(F.col("kind") == "exact_equivalent", F.least(F.lit(0.99), 0.72 + 0.27 * s))
         .when(F.col("kind") == "superficially_similar_but_distinct", F.least(F.lit(0.95), 0.70 + 0.20 * (1 - s)))
         .when(F.col("kind").isin("narrower", "broader"), 0.82)
-        .when(F.col("equal_label"), 0.62)
+        .when(alike, 0.62)
         .otherwise(F.least(F.lit(0.88), 0.55 + 0.18 * lo + 0.15 * do))
     )
     return f.withColumn("kind", kind).where("kind is not null").withColumn("confidence", confidence).select("left_id", "right_id", "left_label", "right_label", "kind", "confidence")

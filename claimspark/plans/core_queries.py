@@ -205,7 +205,8 @@ def alignment_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def concept_mappings(spark: SparkSession, d: str) -> DataFrame:
-    return alignment.mappings(cut(concept_classes(spark, d)))
+    reduced = cut(salient_terms(spark, d))
+    return alignment.mappings(cut(alignment.classes(reduced)), cut(alignment.forms(reduced, _drafts(spark, d))))
 
 
 def _quads(spark: SparkSession, d: str) -> DataFrame:

@@ -172,6 +172,17 @@ def test_alignment(spark):
     assert kinds[frozenset({"audit"})] == "exact_equivalent" and kinds[frozenset({"audit", "formal audit"})] in ("broader", "narrower")
 
 
+def test_alignment_by_alias(spark):
+    rows = [
+        term(0, "Ledger", source="s", aliases=["Account Book"], definition="a record of payments"), term(1, "account book", source="t", definition="a record of payments"),
+        term(2, "Tally", source="u", aliases=["ledger"], definition="something else entirely"), term(3, "Roll", source="s", aliases=["Ledger"], definition="a list of names"),
+    ]
+    df = spark.createDataFrame(rows, TERM)
+    reduced = reduction.reduced_terms(df)
+    got = {(*sorted((r.left_label, r.right_label)), r.kind) for r in alignment.mappings(alignment.classes(reduced), alignment.forms(reduced, reduction.drafts(df))).collect()}
+    assert got == {("account book", "ledger", "exact_equivalent"), ("ledger", "tally", "related_or_analogous"), ("roll", "tally", "related_or_analogous")}
+
+
 def test_opposed_statements(spark):
     rows = [("Regular audits improve data quality", "causal"), ("Regular audits harm data quality", "causal"), ("Regular audits never improve data quality", "normative"), ("Cats sleep", "empirical"), (None, None)]
     got = {(r.left_statement, r.right_statement): r.kind for r in alignment.opposed_statements(spark.createDataFrame(rows, "statement string, modality string")).collect()}
