@@ -77,5 +77,26 @@ def conflicts_of(contradictions: DataFrame, links: DataFrame, label: str) -> Dat
 
 
 def ask(index: DataFrame, query: str, size: int = ANSWER_SIZE) -> DataFrame:
-    """The ``size`` best quotations for a question (a top-k report); their claims are rows of evidence_claims."""
+    """The ``size`` best quotations for a question (a top-k report); see ask_claims() and ask_conflicts() for the rest of the answer."""
     return retrieve(index, query).orderBy(F.desc("score"), "source_id", "chunk_id", "quote_sha256").limit(size)
+
+
+def ask_claims(index: DataFrame, claims: DataFrame, query: str, size: int = ANSWER_SIZE) -> DataFrame:
+    """(source_id, chunk_id, quote_sha256, score, label_key): the citations of the displayed quotations, one row for each claim."""
+    shown = ask(index, query, size).select("source_id", "chunk_id", "quote_sha256", "score")
+    return shown.join(claims, ["source_id", "chunk_id", "quote_sha256"])
+
+
+def ask_conflicts(index: DataFrame, claims: DataFrame, contradictions: DataFrame, links: DataFrame, query: str) -> DataFrame:
+    """Contradictions of a source whose signature names a claim of any matched quotation, displayed or not, or a neighbour of it."""
+    matched = retrieve(index, query).select("source_id", "chunk_id", "quote_sha256").join(claims, ["source_id", "chunk_id", "quote_sha256"]).select("source_id", "label_key").distinct()
+    both = links.select("source_id", "label_key", "other_key").unionByName(links.select("source_id", F.col("other_key").alias("label_key"), F.col("label_key").alias("other_key")))
+    around = both.join(matched, ["source_id", "label_key"]).select("source_id", F.col("other_key").alias("label_key"))
+    near = matched.unionByName(around).distinct()
+    return contradictions.join(near, "source_id").where(F.contains(F.concat(F.lit(" "), F.col("signature"), F.lit(" ")), F.concat(F.lit(" "), F.col("label_key"), F.lit(" ")))).select(*contradictions.columns).distinct()
+
+
+def mental_model(models: DataFrame, name: str) -> DataFrame:
+    """Reduced models with this name; ambiguous says whether several sources have it."""
+    hits = models.where(F.col("name_key") == fold_label(F.lit(name)))
+    return hits.withColumn("ambiguous", F.count("*").over(W.partitionBy("name_key")) > 1)

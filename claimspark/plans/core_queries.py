@@ -263,6 +263,18 @@ def ask_evidence(spark: SparkSession, d: str) -> DataFrame:
     return evidence_query.ask(evidence_index(spark, d), QUESTION).drop("n_claims")
 
 
+def ask_claims(spark: SparkSession, d: str) -> DataFrame:
+    return evidence_query.ask_claims(evidence_index(spark, d), evidence_claims(spark, d), QUESTION)
+
+
+def ask_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return evidence_query.ask_conflicts(evidence_index(spark, d), evidence_claims(spark, d), axiom_contradictions(spark, d), term_links(spark, d), QUESTION)
+
+
+def mental_model(spark: SparkSession, d: str) -> DataFrame:
+    return evidence_query.mental_model(reduced_models(spark, d), CONCEPT)
+
+
 def lookup_concept(spark: SparkSession, d: str) -> DataFrame:
     return evidence_query.lookup(salient_terms(spark, d), CONCEPT)
 
@@ -303,7 +315,7 @@ _ALL = (
     source_routes, document_fingerprints, duplicate_texts, chunk_token_counts, chunk_split_sizes, source_profiles, heading_counts, document_blocks, heading_groups, layout_chunks, chunk_sentences, definition_statements, relation_statements,
     named_models, extracted_terms, body_texts, known_terms, reduced_relations, reduced_models, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
     source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, resolved_terms, resolved_links, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
-    shape_violations, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
+    shape_violations, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, ask_claims, ask_conflicts, mental_model, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, frame_findings,
 )
 
 

@@ -210,6 +210,19 @@ def test_evidence_query(spark):
         evidence_query.retrieve(index, "  ")
 
 
+def test_ask_claims_and_conflicts(spark):
+    rows = [term(i, f"label {i}", quote="trust needs audits " + "x" * i) for i in range(11)] + [term(20, "audit load", quote="zz trust", broader=["delay"]), term(21, "delay", quote="no match")]
+    df = spark.createDataFrame(rows, TERM)
+    index, claims = evidence_query.evidence_index(df), evidence_query.evidence_claims(df)
+    got = evidence_query.ask_claims(index, claims, "trust needs audits").collect()
+    assert len(got) == 10 and "audit load" not in {r.label_key for r in got}
+    against = spark.createDataFrame([("s", "audit load cause harm"), ("s", "delay is bad"), ("s", "other thing"), ("t", "audit load cause harm")], "source_id string, signature string")
+    links = reduction.term_links(df, reduction.reduced_terms(df))
+    assert {(r.source_id, r.signature) for r in evidence_query.ask_conflicts(index, claims, against, links, "trust needs audits").collect()} == {("s", "audit load cause harm"), ("s", "delay is bad")}
+    models = spark.createDataFrame([("s", "review model"), ("t", "review model"), ("s", "x")], "source_id string, name_key string")
+    assert [r.ambiguous for r in evidence_query.mental_model(models, "Review-Model").collect()] == [True, True]
+
+
 def test_frame(spark):
     reduced = spark.createDataFrame([("s", "a", "A", "d", 0.9)], "source_id string, label_key string, label string, definition string, confidence double")
     axioms = spark.createDataFrame([("s", "k", "K is.", 0.8)], "source_id string, statement_key string, statement string, confidence double")
