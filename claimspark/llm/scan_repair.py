@@ -7,9 +7,11 @@ candidates that visual confusions alone explain are ranked with their context
 and lines reflowed into paragraphs.
 
 The vocabulary is counted over all records: words with at least the share
-VOCABULARY_SHARE of all words, hence at most 1 / VOCABULARY_SHARE of them
-(100,000), whatever the size of the corpus; the same holds for the word pairs
-used as context and for compounds.  This bounded table is all that is broadcast.
+VOCABULARY_SHARE of all words (rounded down to a count, at least LEAST_COUNT),
+hence about 1 / VOCABULARY_SHARE of them (100,000) whatever the size of the
+corpus; word pairs used as context and compounds need an eighth of that share,
+hence about 800,000 each.  This bounded table is all that is broadcast.  Words
+below the share are never candidates.
 A share scales with the corpus, so words that are misread often in a large
 corpus don't become vocabulary.
 
@@ -454,7 +456,7 @@ def records(converted: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def lexicon_tables(texts: DataFrame, share: float = VOCABULARY_SHARE) -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
-    """(words, compounds, pairs) with at least ``share`` of all words: at most 1 / share entries each."""
+    """(words, compounds, pairs) with at least ``share`` of all words, compounds and pairs with an eighth of it: about 1 / share and 8 / share entries."""
     # the two parts of a word that is broken over lines are no words
     lower = F.regexp_replace(F.lower("text"), r"[\p{L}\p{M}]+[-‐‑¬\u00ad][ \t\r]*\n\s*[\p{L}\p{M}]+", " ")
     words = F.regexp_extract_all(lower, F.lit(_SQL_WORD), F.lit(0))
