@@ -1,29 +1,32 @@
 """Markup residue in text documents.
 
-Method: site style tree.  Every text is parsed into a small DOM whose nodes
-carry their presentation (Markdown, HTML, wiki or LaTeX, the kind of block and
-the section it stands in) and their content.  The DOMs of one site (all texts
-of a source, each distinct text counted once) are merged: nodes with the same
-presentation path fall together, and a node's importance comes from entropies
-over the pages of the site.
-
-* Presentation: the entropy, to the base of the number of pages m, of the
-  layouts (the sequences of child blocks) with which a section occurs.
-* Content: 1 - H, where H is the entropy to the base m of a block's content
-  over the pages; a block that stands once on k of m pages has H = log k / log m.
-
-A branch whose presentation *and* content have low importance, boilerplate that
-each page repeats, is removed; the rest is written as clean text in which
-headings, list items, code blocks and formulas stay marked in one way ("# ",
-"- ", "1. ", fences, "$").  The elements of the DOM are reported with their
-lines whether or not their branch stays.
+Method: site style tree.  Every text is parsed into a small DOM: a page with
+nested sections (by heading level), lists with their items, and leaves that carry
+their markup (Markdown, HTML, wiki or LaTeX) and content.  The DOMs of one site
+(all texts of a source, each distinct text counted once) are merged: the pages
+are one root; the sequences of children with which a node occurs are its
+styles; the children under one style at one place are again one node.  A node's
+path (its parent's path, its parent's style, its place) is all that merging
+needs, so the trees are merged by aggregation over (site, path), never by
+gathering a site.
 
-Sections are told apart by their heading level, and what is removed is a section's
-single blocks, each by its own content and its section's layouts; no importance is
-summed up over several blocks.
+The importance of a node that m pages share:
 
-The trees are merged by aggregation over (source, path, content), never by
-gathering a site.
+* presentation (inner nodes): the entropy, to the base m, of its styles over
+  the pages;
+* content (leaves): 1 - the mean of H over its contents, where a content that
+  stands on k of the pages has H = log k / log m;
+* composite: (1 - g^l) of its own and g^l of its children's mean importance,
+  over its l styles by their shares, from the leaves up (g = 0.9).
+
+As few pages say little, an importance counts as 1 - c (1 - importance) with
+c = log m / log (m + 1): a node of a single page is always important.  A branch
+is noise if its composite importance and those of all nodes below it are under
+the threshold.  Noise is removed; the rest is written as clean text in which
+headings, list items, code blocks and formulas stay marked in one way ("# ",
+"- ", "1. ", fences, "$").  Where the whole tree is noise the pages are copies of
+each other, and nothing is removed.  The elements are those of the merged tree's
+pages, with their lines and whether their branch stays; detection reports all.
 
 Defined results: null, empty and blank texts have no nodes and come out empty;
 unclosed code, comments and preformatted blocks run to the end of the text,
@@ -46,8 +49,10 @@ from pyspark.sql import functions as F
 from claimspark.llm.lookalike import INVISIBLE
 from claimspark.runtime import cut, spread
 
-#: Below this importance a branch is boilerplate; sites of fewer pages than MIN_PAGES have no evidence.
-THRESHOLD, MIN_PAGES = 0.2, 3
+#: Below this importance a branch is boilerplate.
+THRESHOLD = 0.2
+#: What a node's own styles weigh against its children: 1 - DECAY ** styles.
+DECAY = 0.9
 
 _REGION = regex.compile(
     r"""(?msx)
@@ -277,133 +282,197 @@ def _code_body(body: str) -> str:
     return html.unescape(inner) if body.lstrip().lower().startswith("<pre") else inner
 
 
-def render(nodes: list[dict], removed: set[int]) -> str:
-    """Clean text of the nodes whose index isn't removed."""
+def _piece(n: dict) -> str:
+    """A node as clean text."""
+    kind = n["kind"]
+    if kind == "heading":
+        return "#" * max(1, n["level"]) + " " + clean_inline(n["body"])
+    if kind == "list_item":
+        return ("1. " if n["style"] == "ordered" else "- ") + clean_inline(n["body"])
+    if kind == "code":
+        return "```\n" + _code_body(n["body"]) + "\n```"
+    if kind == "formula":
+        inner = regex.sub(r"^\s*:?\s*(?:\$\$|\\\[|\\\(|<math\b[^<>]*>|\\begin\{[^}]*\})|(?:\$\$|\\\]|\\\)|</math\s*>|\\end\{[^}]*\})\s*$", "", n["body"]).strip()
+        return "$$\n" + html.unescape(inner) + "\n$$"
+    if kind == "table":
+        rows = [clean_inline(regex.sub(r"\s*(?:\|\||\||&|!!|</t[dh]>\s*<t[dh][^<>]*>)\s*", " | ", r.strip().strip("|").replace("\\\\", ""))) for r in n["body"].split("\n") if not regex.fullmatch(r"[\s|:{}-]*|\{\|.*|<table.*|</table.*|\\(?:begin|end)\{.*", r)]
+        return "\n".join(r.strip(" |") for r in rows if r.strip(" |"))
+    return "" if kind in ("comment", "template") else clean_inline(n["body"])
+
+
+def assemble(kinds: list[str], styles: list[str], pieces: list[str], removed: set[int]) -> str:
+    """Clean text of the pieces whose index isn't removed."""
     out: list[str] = []
     open_ = ""
-    for k, n in enumerate(nodes):
-        kind = n["kind"]
+    for k, (kind, style, piece) in enumerate(zip(kinds, styles, pieces)):
         if k in removed or kind in ("comment", "template"):
             open_ = ""
             continue
-        if kind == "heading":
-            out.append("#" * max(1, n["level"]) + " " + clean_inline(n["body"]))
-        elif kind == "list_item":
-            item = ("1. " if n["style"] == "ordered" else "- ") + clean_inline(n["body"])
-            if open_ == "list_item":
-                out[-1] += "\n" + item
-            else:
-                out.append(item)
-        elif kind == "code":
-            out.append("```\n" + _code_body(n["body"]) + "\n```")
-        elif kind == "formula":
-            inner = regex.sub(r"^\s*:?\s*(?:\$\$|\\\[|\\\(|<math\b[^<>]*>|\\begin\{[^}]*\})|(?:\$\$|\\\]|\\\)|</math\s*>|\\end\{[^}]*\})\s*$", "", n["body"]).strip()
-            out.append("$$\n" + html.unescape(inner) + "\n$$")
-        elif kind == "table":
-            rows = [clean_inline(regex.sub(r"\s*(?:\|\||\||&|!!|</t[dh]>\s*<t[dh][^<>]*>)\s*", " | ", r.strip().strip("|").replace("\\\\", ""))) for r in n["body"].split("\n") if not regex.fullmatch(r"[\s|:{}-]*|\{\|.*|<table.*|</table.*|\\(?:begin|end)\{.*", r)]
-            body = "\n".join(r.strip(" |") for r in rows if r.strip(" |"))
-            if open_ == "table" and out:
-                out[-1] += "\n" + body
-            elif body:
-                out.append(body)
+        if not piece and kind in ("text", "table"):
+            open_ = open_ if kind == "text" else kind
+            continue
+        if kind == open_ and kind in ("list_item", "table"):
+            out[-1] += "\n" + piece
+        elif kind == open_ == "text" and style == "more":
+            out[-1] += " " + piece
         else:
-            body = clean_inline(n["body"])
-            if not body:
-                continue
-            if open_ == "text" and n["style"] == "more":
-                out[-1] += " " + body
-            else:
-                out.append(body)
+            out.append(piece)
         open_ = kind
     return "\n\n".join(x for x in out if x.strip())
 
 
-def _dom(text: str) -> tuple[list[dict], list[tuple[int, str]], list[dict]]:
-    """nodes, elements and the style-tree facts: (index, path, layout of its section, content key)."""
-    nodes, elements = parse(text)
-    facts, section, members = [], "", []
+def render(nodes: list[dict], removed: set[int]) -> str:
+    """Clean text of the nodes whose index isn't removed."""
+    return assemble([n["kind"] for n in nodes], [n["style"] for n in nodes], [_piece(n) for n in nodes], removed)
+
+
+def hash_text(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
 
-    def close() -> None:
-        layout = ",".join(nodes[k]["kind"] for k in members)
-        for k in members:
-            facts.append({"at": k, "path": f"{section}/{nodes[k]['kind']}:{nodes[k]['style']}", "layout": str(hash_text(layout)), "content": hash_text(regex.sub(r"\s+", " ", nodes[k]["body"]).strip().lower())})
+ROOT = 0
 
+
+def tree(nodes: list[dict]) -> list[dict]:
+    """The style-tree facts of a page's DOM, one for each node of the tree.
+
+    at is the index of a leaf in ``nodes`` (-1 for inner nodes), path the node's
+    place in the merged tree, parent and under its parent's path and style, and
+    value its own style (inner nodes) or content (leaves).
+    """
+    page: dict = {"tag": "page", "children": []}
+    open_: list[tuple[int, dict]] = [(0, page)]
     for k, n in enumerate(nodes):
+        leaf = {"tag": f"{n['kind']}:{n['style']}", "at": k}
         if n["kind"] == "heading":
-            close()
-            section, members = f"h{n['level']}", [k]
+            while open_[-1][0] >= max(1, n["level"]):
+                open_.pop()
+            section = {"tag": f"section{n['level']}", "children": [leaf]}
+            open_[-1][1]["children"].append(section)
+            open_.append((max(1, n["level"]), section))
+            continue
+        siblings = open_[-1][1]["children"]
+        if n["kind"] != "list_item":
+            siblings.append(leaf)
+        elif siblings and siblings[-1]["tag"] == "list":
+            siblings[-1]["children"].append(leaf)
         else:
-            members.append(k)
-    close()
-    return nodes, elements, facts
-
-
-def hash_text(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+            siblings.append({"tag": "list", "children": [leaf]})
+    facts = []
+    todo = [(page, ROOT, 0, 0, 0)]
+    while todo:
+        node, path, parent, under, depth = todo.pop()
+        if "at" in node:
+            body = regex.sub(r"\s+", " ", nodes[node["at"]]["body"]).strip().lower()
+            facts.append({"at": node["at"], "depth": depth, "path": path, "parent": parent, "under": under, "value": hash_text(body)})
+            continue
+        style = hash_text("\n".join(c["tag"] for c in node["children"]))
+        facts.append({"at": -1, "depth": depth, "path": path, "parent": parent, "under": under, "value": style})
+        todo.extend((c, hash_text(f"{path} {style} {i}"), path, style, depth + 1) for i, c in enumerate(node["children"]))
+    return facts
 
 
 def pages(converted: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(record_id, site, page, text): distinct texts; page is the hash of the text without its line ends."""
+    """(record_id, site, page, text): distinct texts; page is the hash of the text as it stands."""
     a = converted.select(F.col("conversion_id").alias("record_id"), F.concat(F.lit("d:"), F.coalesce("source_id", F.lit(""))).alias("site"), F.col("markdown").alias("text"))
     b = chunks.select(F.col("chunk_id").alias("record_id"), F.concat(F.lit("c:"), F.coalesce("source_id", F.lit(""))).alias("site"), "text")
     both = a.unionByName(b).where("record_id is not null and text is not null").distinct()
-    return both.withColumn("page", F.md5(F.regexp_replace("text", r"\s+", " ")))
+    return both.withColumn("page", F.md5("text"))
+
 
+_FACTS = "array<struct<at:int,depth:int,path:bigint,parent:bigint,under:bigint,value:bigint>>"
+_ELEMENTS = "array<struct<line_no:int,element:string,at:int>>"
 
-_FACTS = "array<struct<at:int,path:string,layout:string,content:string>>"
-_ELEMENTS = "array<struct<line_no:int,element:string>>"
 
+def parsed(converted: DataFrame, chunks: DataFrame, written: bool = True) -> DataFrame:
+    """(record_id, site, page, text, elements, facts, kinds, styles, pieces) of every text; pieces only where they are to be written."""
 
-def parsed(converted: DataFrame, chunks: DataFrame) -> DataFrame:
-    @F.pandas_udf(f"struct<elements:{_ELEMENTS},facts:{_FACTS}>")
+    @F.pandas_udf(f"struct<elements:{_ELEMENTS},facts:{_FACTS},kinds:array<string>,styles:array<string>,pieces:array<string>>")
     def dom(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
             rows = []
             for t in s:
-                _, elements, facts = _dom(t)
-                rows.append(([{"line_no": n, "element": e} for n, e in elements], facts))
-            yield pd.DataFrame(rows, columns=["elements", "facts"])
-
-    return cut(spread(pages(converted, chunks)).withColumn("dom", dom("text")).select("record_id", "site", "page", "text", "dom.elements", "dom.facts"))
-
-
-def importance(doms: DataFrame) -> DataFrame:
-    """(site, path, content, importance): of every node of the merged style trees that more than one page shares."""
-    one = doms.dropDuplicates(["site", "page"]).select("site", "page", F.explode("facts").alias("f")).select("site", "page", "f.path", "f.layout", "f.content")
-    sizes = one.select("site", "page").distinct().groupBy("site").agg(F.count("*").alias("m"))
-    shared = one.groupBy("site", "path", "content", "page").agg(F.count("*").alias("n")).groupBy("site", "path", "content").agg(F.count("*").alias("k"), F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn")).where("k > 1")
-    layouts = one.groupBy("site", "path", "layout").agg(F.count("*").alias("n")).groupBy("site", "path").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("layout_nlogn"))
-    # the entropy of counts n with sum N is log N - sum(n log n) / N
-    content_entropy = F.log("total") - F.col("nlogn") / F.col("total")
-    layout_entropy = F.log("all") - F.col("layout_nlogn") / F.col("all")
-    # a single layout has no importance of presentation, so the content alone decides there
-    joined = shared.join(sizes, "site").join(layouts, ["site", "path"]).where(F.col("m") >= MIN_PAGES)
-    content = 1 - content_entropy / F.log("m")
-    presentation = F.least(F.lit(1.0), layout_entropy / F.log(F.greatest(F.col("m"), F.lit(2))))
-    return joined.select("site", "path", "content", "k", "m", content.alias("content_importance"), presentation.alias("presentation_importance"), F.greatest(F.least(content, F.lit(1.0)), presentation).alias("importance"))
-
-
-def cleaned(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(record_id, text, elements, clean, removed) of every record."""
-    doms = parsed(converted, chunks)
-    low = importance(doms).where(F.col("importance") < threshold).select("site", "path", "content")
+                nodes, found = parse(t)
+                lines = [n["line"] for n in nodes]
+                elements = [{"line_no": n, "element": e, "at": bisect.bisect_right(lines, n) - 1} for n, e in found]
+                rows.append((elements, tree(nodes), *(([n["kind"] for n in nodes], [n["style"] for n in nodes], [_piece(n) for n in nodes]) if written else ([], [], []))))
+            yield pd.DataFrame(rows, columns=["elements", "facts", "kinds", "styles", "pieces"])
+
+    return cut(spread(pages(converted, chunks)).withColumn("dom", dom("text")).select("record_id", "site", "page", "text", "dom.*"))
+
+
+def importance(doms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(site, path, depth, leaf, m, importance, noise): the nodes of the merged style trees that more than one page shares."""
+    one = doms.select("site", "page", "facts").dropDuplicates(["site", "page"]).select("site", F.explode("facts").alias("f"))
+    counted = one.groupBy("site", "f.path", "f.value").agg(F.count("*").alias("n"), F.first("f.depth").alias("depth"), F.first("f.parent").alias("parent"), F.first("f.under").alias("under"), (F.first("f.at") >= 0).alias("leaf"))
+    log_n = F.log("n")
+    per = counted.groupBy("site", "path").agg(
+        F.sum("n").alias("m"), F.count("*").alias("l"), F.sum(F.col("n") * log_n).alias("nlogn"), F.sum(log_n).alias("logs"), F.first("depth").alias("depth"), F.first("parent").alias("parent"), F.first("under").alias("under"), F.first("leaf").alias("leaf"), F.min("n").alias("least")
+    )
+    base = F.log("m")
+    # the entropy of counts n with sum m is log m - sum(n log n) / m
+    own = F.when(F.col("leaf"), 1 - F.col("logs") / F.col("l") / base).otherwise((base - F.col("nlogn") / F.col("m")) / base)
+    sure = base / F.log(F.col("m") + 1)
+    nodes = cut(per.where("m > 1").withColumn("own", 1 - sure * (1 - own)).select("site", "path", "parent", "under", "depth", "leaf", "m", "l", "least", "own"))
+    deepest = nodes.agg(F.max("depth")).first()[0]
+    if deepest is None:
+        return nodes.select("site", "path", "depth", "leaf", "m", F.col("own").alias("importance"), F.lit(False).alias("noise"))
+    styles = counted.where("not leaf").select("site", F.col("path").alias("parent"), F.col("value").alias("under"), "n")
+    done = below = None
+    # from the leaves up: sections nest by heading level, so there are few levels
+    for depth in range(deepest, -1, -1):
+        level = nodes.where(F.col("depth") == depth)
+        leaves = level.where("leaf").withColumn("importance", F.col("own")).withColumn("noise", F.col("own") < threshold)
+        inner = level.where("not leaf")
+        if below is None:
+            inner = inner.withColumn("importance", F.col("own")).withColumn("noise", F.lit(False))
+        else:
+            # children of a style that one page has alone are important
+            kids = below.groupBy("site", "parent", "under").agg(F.avg("importance").alias("mean"), F.min("noise").alias("noise"))
+            shares = styles.where("n > 1").join(kids, ["site", "parent", "under"]).groupBy("site", F.col("parent").alias("path")).agg(F.sum(F.col("n") * (F.col("mean") - 1)).alias("less"), F.min("noise").alias("noise"))
+            weight = F.pow(F.lit(DECAY), F.col("l"))
+            inner = inner.join(shares, ["site", "path"], "left").withColumn("importance", (1 - weight) * F.col("own") + weight * (1 + F.coalesce("less", F.lit(0.0)) / F.col("m")))
+            inner = inner.withColumn("noise", (F.col("importance") < threshold) & (F.col("least") > 1) & F.coalesce("noise", F.lit(False))).drop("less")
+        below = leaves.unionByName(inner)
+        done = below if done is None else done.unionByName(below)
+    return cut(done.select("site", "path", "depth", "leaf", "m", "importance", "noise"))
+
+
+def styled(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD, written: bool = True) -> DataFrame:
+    """parsed() with ``removed``, the indexes of the nodes that the merged tree of the site calls noise."""
+    doms = parsed(converted, chunks, written)
+    nodes = importance(doms, threshold)
+    copies = nodes.where("depth = 0 and noise").select("site")
+    low = nodes.where("leaf and noise").select("site", "path").join(copies, "site", "left_anti")
     hits = (
         doms.select("record_id", "site", "page", F.explode("facts").alias("f"))
-        .select("record_id", "page", "site", "f.at", "f.path", "f.content")
-        .join(low, ["site", "path", "content"])
+        .where("f.at >= 0")
+        .select("record_id", "page", "site", "f.at", "f.path")
+        .join(low, ["site", "path"])
         .groupBy("record_id", "page")
         .agg(F.collect_set("at").alias("removed"))  # bounded by the record's own nodes
     )
+    none = F.array().cast("array<int>")
+    return cut(doms.drop("facts").join(hits, ["record_id", "page"], "left").withColumn("removed", F.coalesce("removed", none)))
+
+
+def cleaned(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(record_id, text, elements, clean, removed) of every record."""
 
     @F.pandas_udf("string")
-    def write(texts: pd.Series, removed: pd.Series) -> pd.Series:
-        return pd.Series([render(parse(t)[0], set(r)) for t, r in zip(texts, removed)])
+    def write(kinds: pd.Series, styles: pd.Series, pieces: pd.Series, removed: pd.Series) -> pd.Series:
+        return pd.Series([assemble(list(k), list(s), list(p), set(r)) for k, s, p, r in zip(kinds, styles, pieces, removed)])
 
-    none = F.array().cast("array<int>")
-    joined = doms.drop("facts").join(hits, ["record_id", "page"], "left").withColumn("removed", F.coalesce("removed", none))
-    return joined.select("record_id", "text", "elements", write("text", "removed").alias("clean"), F.size("removed").alias("removed"))
+    return styled(converted, chunks, threshold).select("record_id", "text", "elements", write("kinds", "styles", "pieces", "removed").alias("clean"), F.size("removed").alias("removed"))
+
+
+def tree_elements(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(record_id, line_no, element, kept): the elements on the pages of the merged trees; kept says whether their branch stays."""
+    each = styled(converted, chunks, threshold, written=False).select("record_id", "removed", F.explode("elements").alias("e"))
+    rows = each.select("record_id", "e.line_no", "e.element", (~F.array_contains("removed", F.col("e.at"))).alias("kept"))
+    return rows.groupBy("record_id", "line_no", "element").agg(F.max("kept").alias("kept"))
 
 
 def elements(converted: DataFrame, chunks: DataFrame) -> DataFrame:
     """(record_id, line_no, element) of every structural element."""
-    return parsed(converted, chunks).select("record_id", F.explode("elements").alias("e")).select("record_id", "e.line_no", "e.element").distinct()
+    return tree_elements(converted, chunks).select("record_id", "line_no", "element")
