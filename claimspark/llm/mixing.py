@@ -1,12 +1,17 @@
 """Mixing sources to target weights.
 
-Method: temperature mixing.  The weights lie between the natural token shares p
-of the sources and the target shares t, w ~ p^(1-a) t^a, that is natural shares
-times the exponentiated ratio (t/p)^a.  The exponent is bisected: without
-targets to the entropy that is asked for (w ~ p^a), with targets to the largest
-a in [0, 1] at which no source must be repeated more often than it may be for
-the given budget.  Without a budget the largest one is taken at which a = 1, so
-the mixture has the target shares exactly (up to one document of a source).
+Method: temperature mixing.  Token shares are exponentiated and normalised, and
+the exponent is bisected.
+
+* Towards targets: w ~ p (t/p)^a, the natural shares p of the sources times the
+  exponentiated ratio to the target shares t.  The exponent is the largest that
+  the repetition limit allows for the budget and that the entropy needs: the
+  relative entropy of the targets to the weights falls as a grows and is to
+  reach ``divergence``.  Without a budget the largest one is bisected at which
+  the exponent still meets the targets, so that the shares are those asked for
+  (up to one document of a source) and as much as possible is used.
+* Without targets: w ~ p^a with the exponent at which the weights have a target
+  entropy; the budget is the largest that the repetition limit allows.
 
 The weights are realised as budgeted block permutations: a source's documents
 are passed as often as its quota holds all of them, and a last, partial pass
@@ -44,7 +49,6 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 BLOCK_ROWS = 20_000
 #: A table of targets is a setting; a larger one is an error.
 MOST_TARGETS = 100_000
-FILL_PASSES = 2
 
 
 def encoder(path: str):
@@ -102,31 +106,51 @@ class Plan:
     weights: dict[str, float]
 
 
-def plan(natural: dict[str, int], targets: dict[str, float], repeats: dict[str, int], budget: int | None = None, steps: int = 80) -> Plan:
+def _normal(values: dict[str, float]) -> dict[str, float]:
+    total = sum(values.values())
+    return {k: v / total for k, v in values.items()}
+
+
+def between(natural: dict[str, int], targets: dict[str, float], exponent: float) -> dict[str, float]:
+    """The shares p (t/p)^exponent, normalised, of the sources that have documents and a target."""
+    usable = [s for s, t in targets.items() if t > 0 and natural.get(s, 0) > 0]
+    p, t = _normal({s: natural[s] for s in usable}), _normal({s: targets[s] for s in usable})
+    return _normal({s: p[s] * (t[s] / p[s]) ** exponent for s in usable})
+
+
+def relative_entropy(t: dict[str, float], w: dict[str, float]) -> float:
+    return max(0.0, sum(x * math.log(x / w[s]) for s, x in t.items() if x > 0))
+
+
+def plan(natural: dict[str, int], targets: dict[str, float], repeats: dict[str, int], budget: int | None = None, divergence: float = 1e-15, steps: int = 100) -> Plan:
     """Weights of the sources that have documents and a target."""
     usable = {s: t for s, t in targets.items() if t > 0 and natural.get(s, 0) > 0 and repeats[s] > 0}
     if not usable:
         return Plan(1.0, 0, {})
-    total_t, total_n = sum(usable.values()), sum(natural[s] for s in usable)
-    t = {s: v / total_t for s, v in usable.items()}
-    p = {s: natural[s] / total_n for s in usable}
     most = {s: natural[s] * repeats[s] for s in usable}
-    if budget is None:
-        return Plan(1.0, int(min(most[s] / t[s] for s in usable)), t)
-
-    def at(a: float) -> dict[str, float]:
-        w = {s: p[s] ** (1 - a) * t[s] ** a for s in usable}
-        total = sum(w.values())
-        return {s: v / total for s, v in w.items()}
-
-    fits = lambda a: all(at(a)[s] * budget <= most[s] for s in usable)
-    if fits(1.0):
-        return Plan(1.0, budget, t)
+    wanted = _normal(usable)
+    met = lambda a: relative_entropy(wanted, between(natural, usable, a)) <= divergence
+    fits = lambda a, size: all(w * size <= most[s] for s, w in between(natural, usable, a).items())
+    # the least exponent that meets the targets
     low, high = 0.0, 1.0
     for _ in range(steps):
         mid = (low + high) / 2
-        low, high = (mid, high) if fits(mid) else (low, mid)
-    return Plan(low, budget, at(low))
+        low, high = (low, mid) if met(mid) else (mid, high)
+    needed = high
+    if budget is None:
+        # the largest budget at which that exponent keeps to the repetition limit
+        low, high = 0, sum(most.values()) + 1
+        while high - low > 1:
+            mid = (low + high) // 2
+            low, high = (mid, high) if fits(needed, mid) else (low, mid)
+        return Plan(needed, low, between(natural, usable, needed))
+    if fits(needed, budget):
+        return Plan(needed, budget, between(natural, usable, needed))
+    low, high = 0.0, needed
+    for _ in range(steps):
+        mid = (low + high) / 2
+        low, high = (mid, high) if fits(mid, budget) else (low, mid)
+    return Plan(low, budget, between(natural, usable, low))
 
 
 def _prefix(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
@@ -177,10 +201,14 @@ def _mixture(sizes: DataFrame, rows: list, natural: dict[str, int], found: Plan,
     part = joined.where("rest > 0").select("doc_id", "source", "tokens", (F.col("passes") + 1).alias("copy"), "rest")
     blocks = F.broadcast(quota.select("source", "blocks"))
     taken = cut(_prefix(part, blocks, seed))
-    for again in range(1, FILL_PASSES + 1):
-        # where the next document was too long for what is left of the quota, smaller ones fill it
+    again = 0
+    while True:
+        # where the next document was too long for what is left of the quota, smaller ones fill it, until none fits
+        again += 1
         left = part.join(taken.groupBy("source").agg(F.sum("tokens").alias("sum")), "source", "left").withColumn("rest", F.col("rest") - F.coalesce("sum", F.lit(0))).drop("sum")
-        small = left.where("tokens <= rest").join(taken.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti")
+        small = cut(left.where("tokens > 0 and tokens <= rest").join(taken.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti"))
+        if small.isEmpty():
+            break
         taken = cut(taken.unionByName(_prefix(small, blocks, seed + again)))
     return whole.unionByName(taken).select("doc_id", "source", "copy", "tokens")
 
@@ -200,19 +228,34 @@ def share_report(documents: DataFrame, targets: DataFrame, budget: int | None =
     )
 
 
+def _tempered(sizes: DataFrame, flatness: float) -> tuple[list, dict[str, int], float, dict[str, float]]:
+    per = cut(sizes.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).where("tokens > 0"))
+    if per.count() > MOST_TARGETS:
+        raise ValueError("more sources than a plan may hold")
+    rows = per.collect()  # one row for each source, at most MOST_TARGETS
+    natural = {r["source"]: int(r["tokens"]) for r in rows}
+    shares = _normal(natural) if natural else {}
+    h = entropy(shares)
+    a = exponent_for_entropy(shares, h + flatness * (math.log(len(shares)) - h)) if len(shares) > 1 else 1.0
+    return rows, natural, a, tempered(shares, a)
+
+
 def temperature_shares(documents: DataFrame, flatness: float = 0.5, tokenizer: str = TOKENIZER) -> DataFrame:
     """(source, tokens, natural_share, tempered_share, exponent): natural shares tempered to an entropy.
 
     The target entropy lies ``flatness`` of the way from the natural entropy to that of equal shares.
     """
-    sizes = token_sizes(documents, tokenizer).groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    rows = cut(sizes)
-    if rows.count() > MOST_TARGETS:
-        raise ValueError("more sources than a plan may hold")
-    natural = {r["source"]: int(r["tokens"]) for r in rows.where("tokens > 0").collect()}
+    _, natural, a, t = _tempered(token_sizes(documents, tokenizer), flatness)
     total = sum(natural.values()) or 1
-    shares = {s: n / total for s, n in natural.items()}
-    h = entropy(shares)
-    a = exponent_for_entropy(shares, h + flatness * (math.log(len(shares)) - h)) if len(shares) > 1 else 1.0
-    t = tempered(shares, a)
-    return documents.sparkSession.createDataFrame([(s, natural[s], shares[s], t[s], a) for s in sorted(natural)], "source string, tokens bigint, natural_share double, tempered_share double, exponent double")
+    return documents.sparkSession.createDataFrame([(s, natural[s], natural[s] / total, t[s], a) for s in sorted(natural)], "source string, tokens bigint, natural_share double, tempered_share double, exponent double")
+
+
+def tempered_mixture(documents: DataFrame, flatness: float = 0.5, most_repeats: int = 4, tokenizer: str = TOKENIZER, seed: int = 0) -> DataFrame:
+    """(doc_id, source, copy, tokens): a mixture of all sources with the shares of temperature_shares().
+
+    The budget is the largest at which no source is used more than ``most_repeats`` times.
+    """
+    sizes = cut(token_sizes(documents, tokenizer))
+    rows, natural, a, weights = _tempered(sizes, flatness)
+    budget = int(min((natural[s] * most_repeats / w for s, w in weights.items() if w > 0), default=0))
+    return _mixture(sizes, [r.asDict() | {"max_repeats": most_repeats} for r in rows], natural, Plan(a, budget, weights), seed)

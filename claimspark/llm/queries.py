@@ -91,6 +91,10 @@ def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
     return mixing.temperature_shares(load(spark, d, "documents"))
 
 
+def p9_tempered(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.tempered_mixture(load(spark, d, "documents"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(load(spark, d, "documents")).select("doc_id", "start_pos", "end_pos").distinct()
 
@@ -100,7 +104,7 @@ def p10_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (p1_found, p1_survivors, p2_found, p2_group_sizes, p3_found, p3_pieces, p4_found, p4_repaired, p5_found, p5_quotes, p5_chunks, p6_found, p6_clean, p8_found, p8_report, p8_clean, p9_mixture, p9_shares, p9_temperature, p10_found, p10_sentences)
+    named = (p1_found, p1_survivors, p2_found, p2_group_sizes, p3_found, p3_pieces, p4_found, p4_repaired, p5_found, p5_quotes, p5_chunks, p6_found, p6_clean, p8_found, p8_report, p8_clean, p9_mixture, p9_shares, p9_temperature, p9_tempered, p10_found, p10_sentences)
     return {f.__name__: f for f in named}
 
 
