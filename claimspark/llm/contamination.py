@@ -6,14 +6,16 @@ whole n-gram, and the matched spans (or whole documents) can be removed.
 
 Text is compared in a stream of its letters and digits only (NFKC, casefold),
 so case, punctuation, spacing and line breaks don't matter.  An n-gram is
-``words`` consecutive words of an item (for languages without spaces ``chars``
-consecutive characters); the hash set is keyed by its first letters, a hit is
-verified on all of them.  As every n-gram of an item is in the set, a document
-that holds one of them anywhere is found: there is no sampling and no cap.
+``words`` consecutive words of an item, which must begin and end where words of
+the document do, or for languages without spaces ``chars`` consecutive
+characters anywhere.  As every n-gram of an item is in the set, a document that
+holds one of them anywhere is found: there is no sampling and no cap.
 
-Only the items are broadcast, in blocks of at most ITEM_CHARS characters, so
-the broadcast is bounded however large the test set is; the documents are
-scanned once for each block.
+What is broadcast are 64-bit hashes of the n-grams' first letters, sorted, in
+blocks of at most GRAM_BLOCK (8 bytes each), so the broadcast is bounded however
+large the test set is; one block is one scan.  The windows of a document whose
+hash is in the set are candidates; they meet the n-grams in an equi-join on the
+hash, which compares all letters.
 
 Defined results: null, empty and blank texts carry nothing and are carried by
 nothing; items shorter than one n-gram can't be found; an item that occurs
@@ -24,133 +26,171 @@ empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
-import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.runtime import once, spread
+from claimspark.runtime import cut, spread
 
-ITEM_CHARS = 32_000_000
+#: Hashes in a broadcast: 32 MB.
+GRAM_BLOCK = 4_000_000
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+_BASE = regex.compile(r"[\p{L}\p{N}]\p{M}*")
 _SPACELESS = ("zh", "ja")
+_MEMO: dict[str, str] = {}
 
 
-def _folded(text: str) -> list[tuple[str, int, int]]:
-    """(normalised word, start, end) in code points of the text."""
-    composed = unicodedata.normalize("NFC", text)
-    if composed != text:
-        # offsets must be those of the text itself: keep a base and its marks together
-        out: list[tuple[str, int, int]] = []
-        for m in regex.finditer(r"(?:[\p{L}\p{N}]\p{M}*)+", text):
-            w = "".join(_WORD.findall(unicodedata.normalize("NFKC", m.group()).casefold()))
-            if w:
-                out.append((w, m.start(), m.end()))
-        return out
-    if text.isascii():
-        return [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
-    out = []
-    for m in _WORD.finditer(text):
-        w = "".join(_WORD.findall(unicodedata.normalize("NFKC", m.group()).casefold()))
-        if w:
-            out.append((w, m.start(), m.end()))
-    return out
+def _fold(word: str) -> str:
+    """Letters and digits of a word, compatibility form, casefolded."""
+    found = _MEMO.get(word)
+    if found is None:
+        found = word.lower() if word.isascii() else "".join(_WORD.findall(unicodedata.normalize("NFKC", word).casefold()))
+        if len(_MEMO) >= 200_000:
+            _MEMO.clear()
+        _MEMO[word] = found
+    return found
 
 
-class Grams:
-    """The n-grams of the items, by their first letters."""
-
-    def __init__(self, items: list[tuple[int, str | None, str]], words: int, chars: int) -> None:
-        self.key = min(words, chars)
-        self.by_key: dict[str, list[tuple[str, int]]] = {}
-        self.any_position = False
-        seen: set[tuple[str, int]] = set()
-        for item_id, lang, text in items:
-            parts = [w for w, _, _ in _folded(text)]
-            if (lang or "").strip().lower()[:2] in _SPACELESS:
-                stream = "".join(parts)
-                grams = [stream[i : i + chars] for i in range(len(stream) - chars + 1)]
-                self.any_position |= bool(grams)
-            else:
-                grams = ["".join(parts[i : i + words]) for i in range(len(parts) - words + 1)]
-            for g in grams:
-                if (g, item_id) not in seen:
-                    seen.add((g, item_id))
-                    self.by_key.setdefault(g[: self.key], []).append((g, item_id))
-
-    def scan(self, text: str) -> list[tuple[int, int, int]]:
-        """(item_id, start, end) of every verified hit, in code points of the text."""
-        parts = _folded(text)
-        stream = "".join(w for w, _, _ in parts)
-        if len(stream) < self.key:
-            return []
-        starts: list[int] = []
-        at = 0
-        for w, _, _ in parts:
-            starts.append(at)
-            at += len(w)
-        k, table = self.key, self.by_key
-        positions = range(len(stream) - k + 1) if self.any_position and not stream.isascii() else starts
-        hits = [(p, g, i) for p in positions if (found := table.get(stream[p : p + k])) for g, i in found if stream.startswith(g, p)]
-        if not hits:
-            return []
-        # stream position -> position in the text
-        place: list[int] = []
-        for w, s, e in parts:
-            place.extend(range(s, s + len(w)) if len(w) == e - s else [s + (j * (e - s)) // len(w) for j in range(len(w))])
-        return [(i, place[p], place[p + len(g) - 1] + 1) for p, g, i in hits]
-
-
-def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the words; a mark that doesn't compose with its letter ends a word, composed or not."""
+    if unicodedata.is_normalized("NFC", text):
+        return [m.span() for m in _WORD.finditer(text)]
     out: list[tuple[int, int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], e))
+    last, open_ = -1, False
+    for m in _BASE.finditer(text):
+        s, e = m.span()
+        whole = unicodedata.normalize("NFC", m.group())
+        if open_ and s == last:
+            out[-1] = (out[-1][0], e)
         else:
             out.append((s, e))
+        last, open_ = e, not any(unicodedata.category(c)[0] == "M" for c in whole)
     return out
 
 
-def item_blocks(items: DataFrame, block_chars: int = ITEM_CHARS) -> list[list[tuple[int, str | None, str]]]:
-    """The test items in blocks of at most block_chars characters (or one item).
+def _folded(text: str) -> list[tuple[str, int, int]]:
+    """(normalised word, start, end) in code points of the text."""
+    return [(w, s, e) for s, e in _spans(text) if (w := _fold(unicodedata.normalize("NFC", text[s:e])))]
 
-    Their number and size are read first; each block is fetched by itself.
-    """
+
+def _words(text: str) -> list[str]:
+    if unicodedata.is_normalized("NFC", text):
+        return [w for x in _WORD.findall(text) if (w := _fold(x))]
+    return [w for w, _, _ in _folded(text)]
+
+
+def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """64-bit polynomial hash of every run of ``size`` code points."""
+    n = len(codes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(size):
+            h = h * np.uint64(0x100000001B3) + codes[j : j + n]
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(stream: str) -> np.ndarray:
+    return np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _grams(text: str, spaceless: bool, words: int, chars: int) -> list[str]:
+    parts = _words(text)
+    if spaceless:
+        stream = "".join(parts)
+        return [stream[i : i + chars] for i in range(len(stream) - chars + 1)]
+    return ["".join(parts[i : i + words]) for i in range(len(parts) - words + 1)]
+
+
+def item_grams(items: DataFrame, words: int, chars: int) -> DataFrame:
+    """(item_id, gram, free, key): every n-gram of every item; free ones may stand within a word."""
+    size = min(words, chars)
     rows = items.where("item_id is not null and text is not null").select("item_id", "lang", "text").distinct()
-    total = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    if total <= block_chars:
-        return [[(r["item_id"], r["lang"], r["text"]) for r in rows.collect()]] if total else []
-    n = -(-2 * total // block_chars)
-    keyed = rows.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n)))
-    return [[(r["item_id"], r["lang"], r["text"]) for r in keyed.where(F.col("block") == b).collect()] for b in range(n)]
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, lang, text in zip(pdf["item_id"], pdf["lang"], pdf["text"]):
+                free = str(lang or "").strip().lower()[:2] in _SPACELESS
+                found = list(dict.fromkeys(_grams(text, free, words, chars)))
+                keys = [int(_hashes(_codes(g[:size]), size)[0].astype(np.int64)) for g in found]
+                if found:
+                    yield pd.DataFrame({"item_id": i, "gram": found, "free": free, "key": keys})
 
-def leaked_spans(documents: DataFrame, items: DataFrame, words: int = 15, chars: int = 30, block_chars: int = ITEM_CHARS) -> DataFrame:
-    """(doc_id, item_id, start_pos, end_pos): merged spans of each item's verified n-grams."""
+    return cut(spread(rows).mapInPandas(run, "item_id bigint, gram string, free boolean, key bigint"))
+
+
+def candidates(text: str, keys: np.ndarray, size: int, longest: int, free: bool) -> list[tuple[int, str, list[int], list[int]]]:
+    """(hash, letters from here on, ends of words in them, place in the text of each letter's start and end) of each window in the set.
+
+    ``free``: windows may begin within a word, in a text that isn't ASCII.
+    """
+    parts = _words(text)
+    stream = "".join(parts)
+    if len(stream) < size:
+        return []
+    hashes = _hashes(_codes(stream), size)
+    ends = np.cumsum([len(w) for w in parts])
+    if free and not stream.isascii():
+        at = np.arange(len(hashes))
+    else:
+        starts = ends - np.array([len(w) for w in parts])
+        at = starts[starts < len(hashes)]
+    place = np.searchsorted(keys, hashes[at])
+    hit = at[keys[np.minimum(place, len(keys) - 1)] == hashes[at]]
+    if not len(hit):
+        return []
+    where: list[int] = []
+    for w, s, e in _folded(text):
+        where.extend(range(s, s + len(w)) if len(w) == e - s else [s + (j * (e - s)) // len(w) for j in range(len(w))])
+    begins = set((ends - np.array([len(w) for w in parts])).tolist())
+    out = []
+    for p in hit.tolist():
+        tail = stream[p : p + longest]
+        low, high = np.searchsorted(ends, (p, p + len(tail)), "right")
+        inner = (ends[low:high] - p).tolist() if p in begins else []
+        out.append((int(hashes[p].astype(np.int64)), tail, inner, where[p : p + len(tail)]))
+    return out
+
+
+def leaked_spans(documents: DataFrame, items: DataFrame, words: int = 15, chars: int = 30, gram_block: int = GRAM_BLOCK) -> DataFrame:
+    """(doc_id, item_id, start_pos, end_pos): every verified n-gram of an item in a document."""
     spark = documents.sparkSession
+    size = min(words, chars)
+    grams = item_grams(items, words, chars)
+    found = grams.agg(F.count_distinct("key").alias("n"), F.max(F.length("gram")).alias("longest"), F.max("free").alias("free")).first()
+    schema = "doc_id bigint, key bigint, tail string, ends array<int>, place array<int>"
     docs = spread(documents.where("doc_id is not null and text is not null").select("doc_id", "text"))
-    schema = "doc_id bigint, item_id bigint, start_pos int, end_pos int"
-    out: DataFrame | None = None
-    for block in item_blocks(items, block_chars):
-        shared, token = spark.sparkContext.broadcast((block, words, chars)), uuid.uuid4().hex
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared, token=token) -> Iterator[pd.DataFrame]:
-            grams = once(token, lambda: Grams(*shared.value))
+    blocks = -(-found["n"] // gram_block)
+    windows: DataFrame | None = None
+    for b in range(blocks):
+        mine = grams.select("key").distinct().where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b)
+        # at most about gram_block numbers
+        keys = np.sort(mine.toArrow().column("key").to_numpy().astype(np.int64).view(np.uint64))
+        shared = spark.sparkContext.broadcast(keys)
+
+        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                rows = []
-                for d, t in zip(pdf["doc_id"], pdf["text"]):
-                    by: dict[int, list[tuple[int, int]]] = {}
-                    for i, s, e in grams.scan(t):
-                        by.setdefault(i, []).append((s, e))
-                    rows.extend((d, i, s, e) for i, spans in by.items() for s, e in _merge(spans))
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start_pos", "end_pos"])
-
-        part = docs.mapInPandas(scan, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+                rows = [(d, *c) for d, t in zip(pdf["doc_id"], pdf["text"]) for c in candidates(t, shared.value, size, found["longest"], found["free"])]
+                yield pd.DataFrame(rows, columns=["doc_id", "key", "tail", "ends", "place"])
+
+        if len(keys):
+            part = docs.mapInPandas(scan, schema)
+            windows = part if windows is None else windows.unionByName(part)
+    if windows is None:
+        return spark.createDataFrame([], "doc_id bigint, item_id bigint, start_pos int, end_pos int")
+    size_of = F.length("gram")
+    fits = F.startswith("tail", F.col("gram")) & (F.col("free") | F.array_contains("ends", size_of))
+    return (
+        windows.join(grams, "key")
+        .where(fits)
+        .select("doc_id", "item_id", F.element_at("place", 1).alias("start_pos"), (F.element_at("place", size_of) + 1).alias("end_pos"))
+        .distinct()
+    )
 
 
 def leaks(documents: DataFrame, items: DataFrame, **how) -> DataFrame:
@@ -158,9 +198,23 @@ def leaks(documents: DataFrame, items: DataFrame, **how) -> DataFrame:
     return leaked_spans(documents, items, **how).select("doc_id", "item_id").distinct()
 
 
+def _union(spans: Column) -> Column:
+    """Spans in order -> disjoint ones, joined where they meet; a document's spans are bounded by its own text."""
+    return F.aggregate(
+        spans,
+        F.array().cast("array<struct<s:int,e:int>>"),
+        lambda acc, x: F.when(
+            (F.size(acc) > 0) & (x["start_pos"] <= F.element_at(acc, -1)["e"]),
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["end_pos"]).alias("e")))),
+        ).otherwise(F.concat(acc, F.array(F.struct(x["start_pos"].alias("s"), x["end_pos"].alias("e"))))),
+    )
+
+
 def leak_report(documents: DataFrame, items: DataFrame, **how) -> DataFrame:
     """For every test item: in how many documents it leaked and how many characters there."""
-    per = leaked_spans(documents, items, **how).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_documents"), F.sum(F.col("end_pos") - F.col("start_pos")).alias("leaked_chars"))
+    each = leaked_spans(documents, items, **how).groupBy("item_id", "doc_id").agg(F.array_sort(F.collect_set(F.struct("start_pos", "end_pos"))).alias("spans"))
+    chars = F.aggregate(_union(F.col("spans")), F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"])
+    per = each.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.sum(chars).alias("leaked_chars"))
     return items.select("item_id", "suite").distinct().join(per, "item_id", "left").select("item_id", "suite", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("leaked_chars", F.lit(0)).alias("leaked_chars"))
 
 
@@ -173,22 +227,13 @@ def decontaminated(documents: DataFrame, items: DataFrame, drop_share: float = 0
     spans = leaked_spans(documents, items, **how).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start_pos", "end_pos"))).alias("spans"))
     joined = documents.select("doc_id", "text").distinct().join(spans, "doc_id", "left")
 
-    # the union of the spans, merged left to right; a document's spans are bounded by its own text
-    merged = F.aggregate(
-        "spans",
-        F.array().cast("array<struct<s:int,e:int>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["start_pos"] <= F.element_at(acc, -1)["e"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["end_pos"]).alias("e")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["start_pos"].alias("s"), x["end_pos"].alias("e"))))),
-    )
     kept = F.aggregate(
         "merged",
         F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
         lambda acc, x: F.struct(F.concat(acc["text"], F.substring("text", acc["at"] + 1, x["s"] - acc["at"])).alias("text"), x["e"].alias("at")),
         lambda acc: F.concat(acc["text"], F.substring("text", acc["at"] + 1, F.length("text"))),
     )
-    sized = joined.withColumn("merged", merged).withColumn("removed_chars", F.coalesce(F.aggregate("merged", F.lit(0), lambda a, x: a + x["e"] - x["s"]), F.lit(0)))
+    sized = joined.withColumn("merged", _union(F.col("spans"))).withColumn("removed_chars", F.coalesce(F.aggregate("merged", F.lit(0), lambda a, x: a + x["e"] - x["s"]), F.lit(0)))
     share = F.col("removed_chars") / F.length("text")
     action = F.when(F.col("removed_chars") == 0, "keep").when(share >= drop_share, "drop").otherwise("cut")
     return sized.withColumn("action", action).select("doc_id", F.when(F.col("action") == "keep", F.col("text")).when(F.col("action") == "cut", kept).alias("text"), "action", "removed_chars")
