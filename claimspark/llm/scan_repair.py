@@ -1,19 +1,25 @@
 """Noise in text from scanned pages.
 
-Method: Levenshtein automata intersected with a vocabulary trie retrieve every
-vocabulary word within two edits of a word outside the vocabulary; the
-candidates that visual confusions alone explain are ranked with their context
+Method: the Levenshtein automaton of a word, whose edits are the confusions of
+print (each costs one, whatever its letters), is intersected with a trie of the
+vocabulary; it retrieves every vocabulary word that at most MOST confusions
+explain.  The candidates are ranked by their confusions, then by their context
 (neighbouring words); then page furniture is removed, broken words are joined
 and lines reflowed into paragraphs.
 
-The vocabulary is counted over all records: words with at least the share
-VOCABULARY_SHARE of all words (rounded down to a count, at least LEAST_COUNT),
-hence about 1 / VOCABULARY_SHARE of them (100,000) whatever the size of the
-corpus; word pairs used as context and compounds need an eighth of that share,
-hence about 800,000 each.  This bounded table is all that is broadcast.  Words
-below the share are never candidates.
-A share scales with the corpus, so words that are misread often in a large
-corpus don't become vocabulary.
+The vocabulary is counted over all records: words that stand LEAST_COUNT times
+or more and aren't themselves misreadings.  A word is a misreading if one
+confusion explains it by a word that is more than MISREAD_RATIO times as common,
+judged by a low estimate of its own count, which allows for chance where counts
+are small.  Neither rule depends on the size of the corpus.
+
+Nothing of the vocabulary is capped.  Words meet in blocks of one *skeleton*: a
+confusion never changes a word's skeleton, so all words that confusions could
+explain by each other are in one block, whose trie is built where the block is.
+Records ask for the words that they hold, and the answers are joined back to
+them.  Only as a shortcut are known words with a share of at least
+FREQUENT_SHARE broadcast (by counting, no more than 1 / FREQUENT_SHARE of them):
+records needn't ask for those.
 
 Running headers are found over all records of a source: a short block of its
 own that holds a page number, or a title that stands in such a block elsewhere
@@ -32,17 +38,20 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspark.llm.lookalike import ARMENIAN, ARMENIAN_AS, CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, INVISIBLE
 from claimspark.runtime import cut, once, spread
 
-VOCABULARY_SHARE = 1e-5
 LEAST_COUNT = 3
 MISREAD_RATIO = 50
-#: Characters that a line of print has at most.
-PRINT_WIDTH = 120
+#: Confusions in one word.
+MOST = 2
+FREQUENT_SHARE = 1e-5
+#: Vocabulary words of one trie; larger blocks are searched in parts.
+TRIE_WORDS = 200_000
 
 # What print looks like when it is misread (as read, as meant).
 CONFUSIONS = (
@@ -66,6 +75,16 @@ _LATIN = regex.compile(r"[A-Za-zÀ-ɏ]")
 
 # --- trie and automaton -----------------------------------------------------------------------------------------------
 
+# The skeleton of a word: strokes that confusions add, drop or exchange are left out, the others stand for their class.
+_STROKES = "ilIr1!|nuümhb68"
+_CLASSES = (("cedtf7€", "c"), ("o0", "o"), ("s5ſ$", "s"), ("gq9", "g"), ("a@4", "a"), ("z2", "z"))
+_SKELETON = str.maketrans({**{c: None for c in _STROKES}, **{c: to for group, to in _CLASSES for c in group}, "ﬁ": "c", "ﬂ": "c", "w": "vv"})
+
+
+def skeleton(word: str) -> str:
+    """Equal for all words that confusions turn into each other."""
+    return word.translate(_SKELETON)
+
 
 class Trie:
     """Vocabulary trie; each node is a dict of children, a word's end holds its count under ''."""
@@ -78,97 +97,58 @@ class Trie:
                 node = node.setdefault(ch, {})
             node[""] = n
 
-    def within(self, word: str, edits: int) -> list[tuple[str, int]]:
-        """Every vocabulary word within ``edits`` of word, with its count.
+    def explained(self, read: str, most: int = MOST) -> list[tuple[int, int, str, int]]:
+        """(confusions, place of the first in read, word, count) of every vocabulary word, at its fewest confusions.
 
-        The states of the word's Levenshtein automaton are rows of distances; a
-        branch of the trie is left as soon as no state of its row is alive.
+        The states of the automaton are (letters read, confusions so far); a
+        branch of the trie is left when no state is alive.
         """
-        out: list[tuple[str, int]] = []
-        first = list(range(len(word) + 1))
-        stack = [(self.root, "", first)]
+        out: dict[str, tuple[int, int, int]] = {}
+        size = len(read)
+        at = [[(x, y) for x, y in CONFUSIONS if read.startswith(x, i)] for i in range(size + 1)]
+        stack = [(self.root, "", 0, 0, -1)]
         while stack:
-            node, prefix, row = stack.pop()
-            for ch, child in node.items():
-                if ch == "":
-                    if row[-1] <= edits:
-                        out.append((prefix, child))
-                    continue
-                nxt = [row[0] + 1]
-                low = nxt[0]
-                for j, c in enumerate(word):
-                    d = row[j] if c == ch else 1 + min(row[j], row[j + 1], nxt[j])
-                    nxt.append(d)
-                    if d < low:
-                        low = d
-                if low <= edits:
-                    stack.append((child, prefix + ch, nxt))
-        return out
-
-
-def explained(read: str, meant: str) -> tuple[int, int] | None:
-    """(number of confusions, place of the first in read) if confusions alone turn meant into read."""
-    best: dict[tuple[int, int], tuple[int, int]] = {(0, 0): (0, -1)}
-    for i in range(len(read) + 1):
-        for j in range(len(meant) + 1):
-            state = best.get((i, j))
-            if state is None or state[0] > 3:
+            node, prefix, i, cost, place = stack.pop()
+            if i == size:
+                if "" in node and cost and ((old := out.get(prefix)) is None or (cost, place) < old[:2]):
+                    out[prefix] = (cost, place, node[""])
                 continue
-            if i < len(read) and j < len(meant) and read[i] == meant[j]:
-                if (old := best.get((i + 1, j + 1))) is None or state[0] < old[0]:
-                    best[(i + 1, j + 1)] = state
-            for a, b in CONFUSIONS:
-                if read.startswith(a, i) and meant.startswith(b, j):
-                    new = (state[0] + 1, i if state[1] < 0 else state[1])
-                    key = (i + len(a), j + len(b))
-                    if (old := best.get(key)) is None or new[0] < old[0]:
-                        best[key] = new
-    found = best.get((len(read), len(meant)))
-    return found if found and found[0] else None
-
-
-def one_confusion(read: str) -> Iterator[str]:
-    """What a word may have been before one confusion."""
-    for a, b in CONFUSIONS:
-        at = read.find(a)
-        while at >= 0:
-            yield read[:at] + b + read[at + len(a) :]
-            at = read.find(a, at + 1)
-
-
-def without_misreadings(words: dict[str, int]) -> dict[str, int]:
-    """A very common word is also often misread, and often in the same way: words that one confusion explains by a word
-    MISREAD_RATIO times as common are left out."""
-    return {w: n for w, n in words.items() if not any(words.get(v, 0) >= MISREAD_RATIO * n for v in one_confusion(w))}
+            if (child := node.get(read[i])) is not None:
+                stack.append((child, prefix + read[i], i + 1, cost, place))
+            if cost < most:
+                for x, y in at[i]:
+                    child = node
+                    for ch in y:
+                        child = child.get(ch)
+                        if child is None:
+                            break
+                    else:
+                        stack.append((child, prefix + y, i + len(x), cost + 1, i if place < 0 else place))
+        return sorted((c, f, w, n) for w, (c, f, n) in out.items())
+
+
+def is_misreading(n: int, by: int) -> bool:
+    """Whether a word that stands n times is a misreading of one that stands ``by`` times and explains it."""
+    return by >= MISREAD_RATIO * max(n - 1.5 * n**0.5, 0.2)
 
 
 class Lexicon:
-    """The bounded tables: words, compounds and word pairs with their counts."""
+    """Words, compounds, beginnings of compounds and readings that a text asks for.
 
-    def __init__(self, words: dict[str, int], compounds: dict[str, int], pairs: dict[str, int]) -> None:
-        self.words, self.compounds, self.pairs = words, compounds, pairs
-        self.heads = {c.split("-")[0] for c in compounds}
-        self.trie = Trie(self.words)
-        self.memo: dict[str, list[tuple[int, int, str, int]]] = {}
+    readings: (read, before, after) -> (the word that was misread, place of the first misread character).
+    """
+
+    def __init__(self, words: dict[str, int], compounds: dict[str, int], heads: set[str], readings: dict[tuple[str, str, str], tuple[str, int]], more: dict[str, int] | None = None) -> None:
+        self.words, self.compounds, self.heads, self.readings, self.more = words, compounds, heads, readings, more or {}
+
+    def count(self, word: str) -> int:
+        return self.words.get(word) or self.more.get(word, 0)
 
     def knows(self, word: str) -> bool:
-        return word in self.words
+        return word in self.words or word in self.more
 
     def meant(self, read: str, before: str, after: str) -> tuple[str, int] | None:
-        """(the word that was misread, place of the first misread character), or None."""
-        if read not in self.memo:
-            found = []
-            for word, n in self.trie.within(read, 2):
-                why = explained(read, word)
-                if why:
-                    found.append((why[0], -n, word, why[1]))
-            self.memo[read] = sorted(found)
-        options = self.memo[read]
-        if not options:
-            return None
-        context = lambda w: self.pairs.get(f"{before} {w}", 0) + self.pairs.get(f"{w} {after}", 0)
-        best = min(options, key=lambda o: (o[0], -context(o[2]), o[1], o[2]))
-        return best[2], best[3]
+        return self.readings.get((read, before, after))
 
 
 def folded(token: str) -> str:
@@ -200,10 +180,11 @@ _PIPES = regex.compile(r"(?m)^[ \t]*\|.*\|[ \t\r]*$")
 
 
 def is_scan(text: str) -> bool:
-    """Whether a text may come from a scanned page: no markup but ruled tables, and paragraphs wrapped like print.
+    """Whether a text may come from a scanned page: no markup but ruled tables, and lines that are broken like print.
 
-    A single long line (a page without line breaks) doesn't speak against wrapped
-    paragraphs elsewhere; a text of one-line blocks is a scan if they are short.
+    Lines of any width that follow each other without a blank line are broken
+    print.  A text of one-line blocks is a scan if one of them is page furniture
+    or ends in a broken word.
     """
     if not text or not text.strip():
         return False
@@ -211,9 +192,9 @@ def is_scan(text: str) -> bool:
     if _MARKUP.search(prose):
         return False
     lines = [x.strip() for x in prose.split("\n")]
-    if any(a and b and len(a) <= PRINT_WIDTH and len(b) <= PRINT_WIDTH and not _is_table(a) and not _is_table(b) for a, b in zip(lines, lines[1:])):
+    if any(a and b and not _is_table(a) and not _is_table(b) for a, b in zip(lines, lines[1:])):
         return True
-    return 0 < max(len(x) for x in lines) <= PRINT_WIDTH
+    return any(x and (x[-1] in BREAKS or _line_kind(x)[0]) for x in lines)
 
 
 def blocks(lines: list[str]) -> list[list[int]]:
@@ -294,8 +275,6 @@ def _candidates(lines: list[str]) -> list[tuple[int, str, str, bool]]:
 
 def title_lines(text: str) -> list[tuple[str, bool]]:
     """(title key, stands with a page number) of the lines of a scan that may be running headers."""
-    if not is_scan(text):
-        return []
     lines = text.split("\n")
     short = {b[0] for b in blocks(lines) if len(b) == 1}
     return [(title_key(t), numbered) for i, kind, t, numbered in _candidates(lines) if t and (numbered or i in short)]
@@ -310,20 +289,85 @@ def _is_table(line: str) -> bool:
     return bool(_PIPES.match(line)) or len(regex.findall(r"\S\s{2,}\d", line)) > 0 or bool(regex.match(r"^\s*(?:Table|Tabelle|Tableau|Tabla)\s+\d+\.", line))
 
 
-def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[int, str]], str]:
-    """([(line number, noise)], the repaired text) of a scan."""
+def _layout(text: str, headers: set[str]) -> tuple[list[str], set[int], list[int]]:
+    """(lines, furniture, running lines)."""
     lines = [x.rstrip("\r") for x in text.split("\n")]
     extra = furniture(lines, headers)
-    running = [i for i, x in enumerate(lines) if x.strip() and i not in extra and not _is_table(x)]
+    return lines, extra, [i for i, x in enumerate(lines) if x.strip() and i not in extra and not _is_table(x)]
+
+
+def _words_of(line: str) -> list[tuple[int, int, str]]:
+    return [m.span() + (m.group(),) for m in _WORD.finditer(line)]
+
+
+def _broken(lines: list[str], running: list[int], k: int, words: list[tuple[int, int, str]]) -> tuple[int | None, object] | None:
+    """(the next running line, its first word) where the line at k ends in a break after a word; None where it doesn't."""
+    line = lines[running[k]].rstrip()
+    if not (line and line[-1] in BREAKS and words and words[-1][1] >= len(line) - 1 and any(c.isalpha() for c in words[-1][2])):
+        return None
+    nxt = running[k + 1] if k + 1 < len(running) else None
+    return nxt, _WORD.match(lines[nxt].lstrip()) if nxt is not None else None
+
+
+def _asked(words: list[tuple[int, int, str]], j: int) -> tuple[str, str, str, str] | None:
+    """(the token without marks, its folded form, the folded words before and after it on the line)."""
+    token = words[j][2]
+    if not any(c.isalpha() or c in "€!|" for c in token):
+        return None
+    # an exclamation mark at the end is a mark
+    bare = token.rstrip("!|")
+    word = folded(bare)
+    if not word or (len(word) < 2 and word != "€"):
+        return None
+    return bare, word, folded(words[j - 1][2]) if j else "", folded(words[j + 1][2]) if j + 1 < len(words) else ""
+
+
+def _tail(word: str) -> tuple[str, str, str]:
+    return word.rpartition("’" if "’" in word else "'")
+
+
+def questions(text: str, headers: set[str], frequent: dict[str, int]) -> set[tuple[str, str, str]]:
+    """(read, before, after) of everything that inspect() may ask about the text beyond the frequent words."""
+    lines, _, running = _layout(text, headers)
+    out: set[tuple[str, str, str]] = set()
+
+    def ask(read: str, before: str = "", after: str = "") -> None:
+        if read not in frequent:
+            out.add((read, before, after))
+
+    for k, i in enumerate(running):
+        words = _words_of(lines[i])
+        if cut_at := _broken(lines, running, k, words):
+            lw = folded(words[-1][2])
+            out.add((lw, "", ""))  # as the beginning of a compound, too
+            if cut_at[1]:
+                rw = folded(cut_at[1].group())
+                ask(lw + rw)
+                out.add((f"{lw}-{rw}", "", ""))
+                ask(rw)
+                ask(rw, lw)
+        for j in range(len(words)):
+            if not (found := _asked(words, j)):
+                continue
+            bare, word, before, after = found
+            ask(word, before, after)
+            if "ﬁ" in bare or "ﬂ" in bare:
+                out.add((word, before, after))
+                ask(unicodedata.normalize("NFKC", word))
+            if "'" in word or "’" in word:
+                ask(_tail(word)[2], before, after)
+    return out
+
+
+def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[int, str]], str]:
+    """([(line number, noise)], the repaired text) of a scan."""
+    lines, extra, running = _layout(text, headers)
     noise: list[tuple[int, str]] = [(i + 1, "furniture") for i in sorted(extra)]
     fixes: dict[int, list[tuple[int, int, str]]] = {}
     joins: dict[int, tuple[int, str]] = {}  # line -> (where its part starts, 'word' or 'compound')
     glyph: set[int] = set()
     taken: dict[int, int] = {}  # line -> characters at its start that belong to the word of the line before
 
-    def words_of(i: int) -> list[tuple[int, int, str]]:
-        return [(m.start(), m.end(), m.group()) for m in _WORD.finditer(lines[i])]
-
     def record(i: int, s: int, e: int, new: str) -> None:
         old = lines[i][s:e]
         if old[:1].isupper():
@@ -332,18 +376,17 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
 
     for k, i in enumerate(running):
         line = lines[i].rstrip()
-        words = words_of(i)
+        words = _words_of(lines[i])
         skip_last = False
-        if line and line[-1] in BREAKS and words and words[-1][1] >= len(line) - 1 and any(c.isalpha() for c in words[-1][2]):
+        if cut_at := _broken(lines, running, k, words):
+            nxt, m = cut_at
             s, e, left = words[-1]
-            nxt = running[k + 1] if k + 1 < len(running) else None
-            m = _WORD.match(lines[nxt].lstrip()) if nxt is not None else None
             lw = folded(left)
             if m and (m.group()[0].isalpha() or m.group()[0] in "€!|ſ1056"):
                 lead = len(lines[nxt]) - len(lines[nxt].lstrip())
                 rw = folded(m.group())
                 joined, compound = lw + rw, f"{lw}-{rw}"
-                n_join, n_comp = lexicon.words.get(joined, 0), lexicon.compounds.get(compound, 0)
+                n_join, n_comp = lexicon.count(joined), lexicon.compounds.get(compound, 0)
                 fix = None if n_join or n_comp else lexicon.meant(joined, "", "")
                 if n_join and n_join >= n_comp:
                     joins[i] = (nxt, "word")
@@ -372,30 +415,25 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
                     noise.append((i + 1, "hyphen"))
                     skip_last = True
         first = taken.get(i, 0)
-        todo = [w for w in (words[:-1] if skip_last else words) if w[0] >= first]
-        for j, (s, e, token) in enumerate(todo):
-            if not any(c.isalpha() or c in "€!|" for c in token):
-                continue
-            # an exclamation mark at the end is a mark
-            bare = token.rstrip("!|")
-            word = folded(bare)
-            if not word or (len(word) < 2 and word not in ("€",)):
+        for j in range(len(words) - skip_last):
+            s = words[j][0]
+            if s < first or not (found := _asked(words, j)):
                 continue
+            bare, word, before, after = found
             ligature = "ﬁ" in bare or "ﬂ" in bare
             if lexicon.knows(word) and not ligature:
                 continue
-            before = folded(todo[j - 1][2]) if j else ""
-            after = folded(todo[j + 1][2]) if j + 1 < len(todo) else ""
-            found = (unicodedata.normalize("NFKC", word), 0) if ligature and lexicon.knows(unicodedata.normalize("NFKC", word)) else lexicon.meant(word, before, after)
-            if found is None and ("'" in word or "’" in word):
-                head, mark, tail = word.rpartition("’" if "’" in word else "'")
+            plain = unicodedata.normalize("NFKC", word)
+            fix = (plain, 0) if ligature and lexicon.knows(plain) else lexicon.meant(word, before, after)
+            if fix is None and ("'" in word or "’" in word):
+                start, mark, tail = _tail(word)
                 if lexicon.knows(tail):
                     continue
                 part = lexicon.meant(tail, before, after)
-                found = (head + mark + part[0], len(head) + 1) if part else None
-            if found:
+                fix = (start + mark + part[0], len(start) + 1) if part else None
+            if fix:
                 glyph.add(i)
-                record(i, s, s + len(bare), found[0])
+                record(i, s, s + len(bare), fix[0])
     noise.extend((i + 1, "glyph") for i in sorted(glyph))
 
     # continuous paragraphs
@@ -455,60 +493,151 @@ def records(converted: DataFrame, chunks: DataFrame) -> DataFrame:
     return a.unionByName(b).where("record_id is not null and text is not null").distinct()
 
 
-def lexicon_tables(texts: DataFrame, share: float = VOCABULARY_SHARE) -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
-    """(words, compounds, pairs) with at least ``share`` of all words, compounds and pairs with an eighth of it: about 1 / share and 8 / share entries."""
+def counted(texts: DataFrame) -> DataFrame:
+    """(kind, value, n) over all texts: words (w), compounds (c) and pairs of neighbouring words (p)."""
     # the two parts of a word that is broken over lines are no words
     lower = F.regexp_replace(F.lower("text"), r"[\p{L}\p{M}]+[-‐‑¬\u00ad][ \t\r]*\n\s*[\p{L}\p{M}]+", " ")
     words = F.regexp_extract_all(lower, F.lit(_SQL_WORD), F.lit(0))
     compounds = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{M}]+(?:-[\p{L}\p{M}]+)+"), F.lit(0))
     pairs = F.regexp_extract_all(lower, F.lit(r"(?=(?<![\p{L}\p{M}])([\p{L}\p{M}]+ [\p{L}\p{M}]+)(?![\p{L}\p{M}]))[\p{L}\p{M}]+"), F.lit(1))
     tagged = texts.select(F.explode(F.array(F.struct(F.lit("w").alias("kind"), words.alias("found")), F.struct(F.lit("c").alias("kind"), compounds.alias("found")), F.struct(F.lit("p").alias("kind"), pairs.alias("found")))).alias("t"))
-    counts = cut(tagged.select("t.kind", F.explode("t.found").alias("value")).groupBy("kind", "value").agg(F.count("*").alias("n")))
-    total = counts.where("kind = 'w'").agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_COUNT, int(total * share))
-    out: dict[str, dict[str, int]] = {"w": {}, "c": {}, "p": {}}
-    for r in counts.where((F.col("n") >= F.when(F.col("kind") == "w", least).otherwise(max(2, least // 8))) & ((F.col("kind") == "w") | (F.col("n") * 8 >= F.lit(total * share)))).toLocalIterator():
-        out[r["kind"]][r["value"]] = r["n"]
-    return without_misreadings(out["w"]), out["c"], out["p"]
+    return cut(tagged.select("t.kind", F.explode("t.found").alias("value")).groupBy("kind", "value").agg(F.count("*").alias("n")))
+
+
+@F.pandas_udf(T.StringType())
+def _skeletons(s: pd.Series) -> pd.Series:
+    return s.map(skeleton)
+
+
+def explained_by(reads: DataFrame, words: DataFrame, trie_words: int | None = None) -> DataFrame:
+    """(read, word, n, cost, place): the words (word, n) that confusions explain each read by, all of them.
+
+    One task holds the trie of one skeleton's words; a skeleton of more than
+    TRIE_WORDS is searched in parts, in each of which its reads are looked up.
+    """
+    limit = trie_words or TRIE_WORDS
+    keyed = words.withColumn("skeleton", _skeletons("word"))
+    asked = reads.select("read", _skeletons("read").alias("skeleton"))
+    parts = keyed.groupBy("skeleton").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
+    v = keyed.join(parts, "skeleton").select("skeleton", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("part"), "word", "n")
+    q = asked.join(parts, "skeleton").select("skeleton", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("read").alias("word"), F.lit(None).cast("bigint").alias("n"))
+    columns = ["read", "word", "n", "cost", "place"]
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a block's words come before its reads
+        at, held, trie = None, {}, None
+        for pdf in batches:
+            out = []
+            for key, part, word, n in zip(pdf["skeleton"], pdf["part"], pdf["word"], pdf["n"]):
+                if (key, part) != at:
+                    at, held, trie = (key, part), {}, None
+                if not pd.isna(n):
+                    held[word] = int(n)
+                    continue
+                trie = trie or Trie(held)
+                out.extend((word, w, k, c, f) for c, f, w, k in trie.explained(word) if w != word)
+            yield pd.DataFrame(out, columns=columns)
+
+    blocks = v.unionByName(q).repartition("skeleton", "part").sortWithinPartitions("skeleton", "part", F.col("n").isNull(), "word")
+    return cut(blocks.mapInPandas(search, "read string, word string, n bigint, cost int, place int"))
+
+
+def vocabulary(counts: DataFrame) -> DataFrame:
+    """(word, n): the words that are no misreadings."""
+    words = counts.where("kind = 'w'").select(F.col("value").alias("word"), "n").where(F.col("n") >= LEAST_COUNT)
+    one = explained_by(words.select(F.col("word").alias("read")), words).where("cost = 1").groupBy("read").agg(F.max("n").alias("by"))
+    low = F.greatest(F.col("n") - 1.5 * F.sqrt("n"), F.lit(0.2))
+    return cut(words.join(one, words["word"] == one["read"], "left").where(F.col("by").isNull() | (F.col("by") < MISREAD_RATIO * low)).select("word", "n"))
+
+
+def readings(asked: DataFrame, known: DataFrame, counts: DataFrame) -> DataFrame:
+    """(read, before, after, word, place): what each asked read means in its context.
+
+    Of the known words with the fewest confusions the one whose pairs with the
+    neighbours are most frequent, then the most frequent, then the smallest.
+    """
+    reads = asked.select("read").distinct().join(known.select(F.col("word").alias("read")), "read", "left_anti")
+    options = explained_by(reads, known)
+    fewest = options.groupBy("read").agg(F.min("cost").alias("cost"))
+    best = options.join(fewest, ["read", "cost"]).select("read", "word", "n", "place")
+    each = cut(asked.select("read", "before", "after").distinct().join(best, "read"))
+    keys = ["read", "before", "after"]
+    several = each.join(each.groupBy(*keys).agg(F.count("*").alias("k")).where("k > 1").drop("k"), keys, "left_semi")
+    pairs = several.select(*keys, "word", F.explode(F.array(F.concat_ws(" ", "before", "word"), F.concat_ws(" ", "word", "after"))).alias("value"))
+    seen = pairs.join(counts.where("kind = 'p'").select("value", F.col("n").alias("times")), "value").groupBy(*keys, "word").agg(F.sum("times").alias("context"))
+    ranked = each.join(seen, [*keys, "word"], "left")
+    return ranked.groupBy(*keys).agg(F.min_by(F.struct("word", "place"), F.struct(-F.coalesce("context", F.lit(0)), -F.col("n"), F.col("word"))).alias("m")).select(*keys, "m.*")
 
 
 def _headers(recs: DataFrame) -> DataFrame:
-    """(record_id, text, headers): the keys of a record's own title lines that are running headers in its source."""
+    """recs with scan (it may come from a scanned page) and headers, the keys of its own title lines that are running headers in its source."""
 
-    @F.pandas_udf("array<struct<key:string,numbered:boolean>>")
-    def titles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<scan:boolean,t:array<struct<key:string,numbered:boolean>>>")
+    def titles(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            yield pd.Series([[{"key": k, "numbered": n} for k, n in title_lines(t)] for t in s])
+            rows = [(True, [{"key": k, "numbered": n} for k, n in title_lines(t)]) if is_scan(t) else (False, []) for t in s]
+            yield pd.DataFrame(rows, columns=["scan", "t"])
 
-    found = cut(recs.select("record_id", "source_id", F.sha2("text", 256).alias("h"), titles("text").alias("t")).where(F.size("t") > 0).select("record_id", "source_id", "h", F.explode("t").alias("t")).select("record_id", "source_id", "h", "t.*"))
+    seen = cut(recs.withColumn("u", titles("text")).select("rid", "record_id", "source_id", "text", "u.scan", "u.t"))
+    found = seen.where("scan").select("rid", "source_id", F.sha2("text", 256).alias("h"), F.explode("t").alias("t")).select("rid", "source_id", "h", "t.*")
     # exact copies of a text repeat a title without making it a header
     known = found.select("source_id", "h", "key", "numbered").distinct().groupBy("source_id", "key").agg(F.max("numbered").alias("numbered"), F.count("*").alias("n")).where("numbered or n > 1").select("source_id", "key")
-    repeated = found.groupBy("record_id", "h", "source_id", "key").agg(F.count("*").alias("n")).where("n > 1").select("record_id", "h", "key")
-    own = found.join(known, ["source_id", "key"]).select("record_id", "h", "key").unionByName(repeated).groupBy("record_id", "h").agg(F.collect_set("key").alias("headers"))
-    return recs.withColumn("h", F.sha2("text", 256)).join(own, ["record_id", "h"], "left").select("record_id", "text", F.coalesce("headers", F.array().cast("array<string>")).alias("headers"))
+    repeated = found.groupBy("rid", "key").agg(F.count("*").alias("n")).where("n > 1").select("rid", "key")
+    own = found.join(known, ["source_id", "key"]).select("rid", "key").unionByName(repeated).groupBy("rid").agg(F.collect_set("key").alias("headers"))
+    return cut(seen.drop("t", "source_id").join(own, "rid", "left").withColumn("headers", F.coalesce("headers", F.array().cast("array<string>"))))
+
+
+_ANSWER = "read:string,before:string,after:string,n:bigint,compound:bigint,head:boolean,word:string,place:int"
+
+
+def answers(scans: DataFrame, counts: DataFrame, known: DataFrame, frequent: Column | object, token: str) -> DataFrame:
+    """(rid, answers): what each scan asks about its words, bounded by its own words."""
+
+    @F.pandas_udf("array<struct<read:string,before:string,after:string>>")
+    def ask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        common = once(token, lambda: dict(frequent.value))
+        for texts, headers in batches:
+            yield pd.Series([[{"read": r, "before": b, "after": a} for r, b, a in sorted(questions(t, set(h), common))] for t, h in zip(texts, headers)])
+
+    asked = cut(scans.select("rid", F.explode(ask("text", "headers")).alias("q")).select("rid", "q.*"))
+    compounds = counts.where("kind = 'c'").select(F.col("value").alias("read"), F.col("n").alias("compound"))
+    heads = compounds.select(F.substring_index("read", "-", 1).alias("read")).distinct().withColumn("head", F.lit(True))
+    facts = known.select(F.col("word").alias("read"), "n").join(compounds, "read", "full").join(heads, "read", "full")
+    met = asked.join(facts, "read", "left").join(readings(asked, known, counts), ["read", "before", "after"], "left")
+    useful = met.where("n is not null or compound is not null or head or word is not null")
+    return useful.groupBy("rid").agg(F.collect_list(F.struct("read", "before", "after", "n", "compound", "head", "word", "place")).alias("answers"))
 
 
 def repaired(converted: DataFrame, chunks: DataFrame) -> DataFrame:
     """(record_id, text, noise array<struct<line_no, noise>>, repaired) of every record; texts that aren't scans unchanged."""
-    recs = spread(records(converted, chunks))
+    recs = spread(records(converted, chunks)).withColumn("rid", F.sha2(F.concat_ws("\u0001", "record_id", F.coalesce("source_id", F.lit("\u0002")), "text"), 256))
     spark = recs.sparkSession
-    shared = spark.sparkContext.broadcast(lexicon_tables(recs))
+    pages = _headers(recs)
+    counts = counted(pages)
+    known = vocabulary(counts)
+    total = counts.where("kind = 'w'").agg(F.sum("n")).first()[0] or 0
+    # at most 1 / FREQUENT_SHARE words
+    frequent = spark.sparkContext.broadcast({r["word"]: r["n"] for r in known.where(F.col("n") >= F.lit(total * FREQUENT_SHARE)).toLocalIterator()})
     token = uuid.uuid4().hex
+    scans = pages.where("scan")
+    asked = scans.join(answers(scans, counts, known, frequent, token), "rid", "left").withColumn("answers", F.coalesce("answers", F.array().cast(f"array<struct<{_ANSWER}>>")))
 
     @F.pandas_udf("struct<noise:array<struct<line_no:int,noise:string>>,repaired:string>")
-    def repair(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        lexicon = once(token, lambda: Lexicon(*shared.value))
-        for texts, headers in batches:
+    def repair(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        common = once(token, lambda: dict(frequent.value))
+        for texts, headers, found in batches:
             rows = []
-            for t, h in zip(texts, headers):
-                if is_scan(t):
-                    noise, new = inspect(t, set(h), lexicon)
-                    rows.append(([{"line_no": n, "noise": k} for n, k in noise], new))
-                else:
-                    rows.append(([], t))
+            for t, h, rows_of in zip(texts, headers, found):
+                words = {x["read"]: int(x["n"]) for x in rows_of if x["n"] is not None}
+                compounds = {x["read"]: int(x["compound"]) for x in rows_of if x["compound"] is not None}
+                means = {(x["read"], x["before"], x["after"]): (x["word"], int(x["place"])) for x in rows_of if x["word"] is not None}
+                noise, new = inspect(t, set(h), Lexicon(words, compounds, {x["read"] for x in rows_of if x["head"]}, means, common))
+                rows.append(([{"line_no": n, "noise": k} for n, k in noise], new))
             yield pd.DataFrame(rows, columns=["noise", "repaired"])
 
-    return _headers(recs).withColumn("r", repair("text", "headers")).select("record_id", "text", "r.noise", "r.repaired")
+    done = asked.withColumn("r", repair("text", "headers", "answers")).select("record_id", "text", "r.noise", "r.repaired")
+    rest = pages.where("not scan").select("record_id", "text", F.array().cast("array<struct<line_no:int,noise:string>>").alias("noise"), F.col("text").alias("repaired"))
+    return done.unionByName(rest)
 
 
 def noisy_lines(converted: DataFrame, chunks: DataFrame) -> DataFrame:
