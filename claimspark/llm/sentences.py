@@ -6,14 +6,23 @@ linear-chain model.  Characters that can't end a sentence (no closing mark and,
 in unpunctuated scripts, no space) have the tag inside, so only the remaining
 places need scores.
 
+A place's features are windows of characters on both sides, the words there and
+what is known about them (their case, script, whether the word is an
+abbreviation, the mark, quotations around it), alone and in twos and threes.  No
+feature says what a rule would decide.
+
 The model is an averaged structured perceptron trained here: on a bounded
 sample of the documents (``TRAIN_ROWS`` texts by hash order, a documented
-parameter) with weak labels from closing marks, case, abbreviations, quotation
-and brackets.  For unpunctuated scripts (Thai) the sample is stripped of its
-closing marks first, so the model has to tell boundary spaces from others by
-what stands beside them.  Abbreviations are learned from counts over *all*
-documents (words whose full stop is mostly followed by a small letter or a
-digit); by counting, at most 1 / ABBREVIATION_SHARE of them pass the threshold.
+parameter) whose labels come from closing marks, case, abbreviations, quotation
+and brackets.  For unpunctuated scripts (Thai, Lao) the sample is stripped of
+its closing marks: the label is what the mark said, the features are those of
+the text without it, so the model has to tell boundary spaces from others by
+what stands beside them.
+
+Abbreviations are learned from counts over *all* documents: words of up to six
+letters whose full stop is mostly followed by a small letter or a digit, if they
+stand LEAST_COUNT times or more.  They are a table, joined to the documents that
+hold them; no list is gathered.
 
 Defined results: null, empty and blank texts have no sentences; a text without
 any mark is one sentence per unit; repeated rows count once; texts aren't cut,
@@ -31,10 +40,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.runtime import spread
+from claimspark.runtime import cut, parallelism
 
 TRAIN_ROWS, TRAIN_CHARS, EPOCHS = 2_000, 20_000, 30
-ABBREVIATION_SHARE = 1e-5
+LEAST_COUNT = 5
+MARGIN = 4.0
 
 # Abbreviations that stand before a name, a number or another word, by what may follow.
 BEFORE_NAME = frozenset("dr prof mr mrs ms st mt sr sra srta dra hr fr frau mme mlle mm me mgr rev hon gen col capt lt sgt gov sen rep pres messrs dipl ing bzw z u d h vgl ca sog ggf evtl bes vs cf viz e.g i.e z.b d.h u.a ung р см гг ул пр им акад проф др г-н г-жа д-р डॉ श्री د أ م ul dott sig".split())
@@ -47,13 +57,13 @@ MONTHS = frozenset("januar jänner februar märz april mai juni juli august sept
 # Words of one letter.
 ONE_LETTER_WORDS = frozenset("яиоуаюayoeuàéè")
 
-STOPS = ".!?…。！？．।॥؟۔‼⁇⁈⁉｡"
+STOPS = ".!?…。！？．।॥؟۔‼⁇⁈⁉｡។៕။"
 CLOSERS = "”’»›\"')]}」』）】》〉］｝"
 _CLOSING = set(CLOSERS)
 _BLANK = regex.compile(r"\r?\n[^\S\n]*(?:\r?\n[^\S\n]*)+")
 _HEADING = regex.compile(r"(?m)^[ \t]*#{1,6}[ \t]+[^\n]*$")
 _RUN = regex.compile(rf"[{regex.escape(STOPS)}]+(?:[^\S\n]?[»›](?!\w)|[{regex.escape(CLOSERS)}“]|[{regex.escape(STOPS)}])*")
-_THAI = regex.compile(r"[฀-๿]")
+_THAI = regex.compile(r"[\u0e00-\u0eff]")
 _LETTER = regex.compile(r"\p{L}")
 _GAP = regex.compile(r"[^\S\n]+")
 _TOKEN_BEFORE = regex.compile(r"[\p{L}\p{M}\p{N}.'’-]*[\p{L}\p{M}\p{N}]$")
@@ -174,7 +184,7 @@ def _places(unit: str, learned: frozenset) -> list[tuple[int, dict]]:
                     "caseless_before": _kind(unit[m.start() - 1 : m.start()]) == "caseless" if m.start() else False,
                     "comma": kind == "mark" and follow in ",，、；;:：،؛",
                     "thai": thai,
-                    "number_first": False,
+                    "window": (unit[max(0, m.start() - 3) : m.start()], low, unit[nxt.end(2) : nxt.end(2) + 3].lower(), word.lower()),
                 },
             )
         )
@@ -184,7 +194,7 @@ def _places(unit: str, learned: frozenset) -> list[tuple[int, dict]]:
             if m.start() in taken or m.start() == 0 or m.end() == len(unit):
                 continue
             left, right = unit[m.start() - 1], unit[m.end()]
-            out.append((m.start(), {"mark": "gap", "closed": False, "deep": any(s < m.start() < e for s, e, _ in quotes), "before": "digit" if left.isdigit() else "any", "next": _kind(right), "space": True, "dash": False, "opener": False, "month": False, "caseless_before": True, "comma": right in ",;:" or left in ",;:", "thai": True, "number_first": False}))
+            out.append((m.start(), {"mark": "gap", "closed": False, "deep": any(s < m.start() < e for s, e, _ in quotes), "before": "digit" if left.isdigit() else "any", "next": _kind(right), "space": True, "dash": False, "opener": False, "month": False, "caseless_before": True, "comma": right in ",;:" or left in ",;:", "thai": True, "window": (unit[max(0, m.start() - 3) : m.start()], "", unit[m.end() : m.end() + 3], "")}))
         out.sort(key=lambda x: x[0])
     return out
 
@@ -218,40 +228,53 @@ def _weak_label(p: dict) -> bool:
     return True
 
 
-def _features(p: dict) -> tuple[str, ...]:
-    every = "|".join(f"{k}={v}" for k, v in p.items())
-    base = f"{p['mark']}/{p['next']}"
+def _known(p: dict) -> tuple[str, ...]:
+    """Features of what is known about a place; few places differ in all of it."""
+    mark, nxt, before, closed, opener = p["mark"], p["next"], p["before"], p["closed"], p["opener"]
     return (
         "bias",
-        f"mark={p['mark']}",
-        f"next={base}",
-        f"before={p['before']}/{p['next']}",
-        f"closed={p['closed']}/{base}",
+        f"mark={mark}",
+        f"next={nxt}",
+        f"mark={mark} next={nxt}",
+        f"before={before}",
+        f"before={before} next={nxt}",
+        f"before={before} closed={closed}",
+        f"before={before} next={nxt} opener={opener}",
+        f"before={before} next={nxt} written={p['caseless_before']}",
+        f"before={before} month={p['month']}",
+        f"closed={closed} mark={mark} next={nxt}",
+        f"closed={closed} mark={mark} next={nxt} opener={opener}",
         f"deep={p['deep']}",
+        f"deep={p['deep']} mark={mark} closed={closed}",
         f"comma={p['comma']}",
-        f"dash={p['dash']}/{base}",
-        f"month={p['month']}",
-        f"space={p['space']}/{base}",
-        f"thai={p['thai']}/{p['mark']}/{p['before']}/{p['next']}",
-        every,
+        f"comma={p['comma']} mark={mark} closed={closed}",
+        f"dash={p['dash']} mark={mark} next={nxt}",
+        f"space={p['space']} mark={mark} next={nxt}",
+        f"thai={p['thai']} mark={mark}",
     )
 
 
-Model = dict[tuple[str, int], float]
+def _seen(p: dict) -> tuple[str, ...]:
+    """Features of the characters and words around a place."""
+    left, word, right, after = p["window"]
+    return (f"l1={left[-1:]} {p['mark']}", f"l3={left}", f"r1={right[:1]}", f"r3={right}", f"lr={left[-1:]}{right[:1]}", f"w={word}", f"a={after}")
 
 
-def viterbi(model: Model, rows: list[tuple[str, ...]]) -> list[int]:
-    """Best tags (1 boundary, 0 inside) of a chain of places."""
-    get = model.get
-    score, back = [0.0, -1e9], []
-    for feats in rows:
-        emit = [sum(get((f, y), 0.0) for f in feats) for y in (0, 1)]
-        new, link = [0.0, 0.0], [0, 0]
-        for y in (0, 1):
-            via = [score[x] + get((f"from={x}", y), 0.0) for x in (0, 1)]
-            link[y] = 1 if via[1] > via[0] else 0
-            new[y] = via[link[y]] + emit[y]
-        score = new
+def _features(p: dict) -> tuple[str, ...]:
+    return _known(p) + _seen(p)
+
+
+#: Feature -> weight of the tag boundary against inside; ("step", x, y) -> weight of the tag y after x.
+Model = dict
+
+
+def decode(scores: list[float], model: Model) -> list[int]:
+    """Best tags (1 boundary, 0 inside) of a chain of places by their scores of boundary against inside; before the first is inside."""
+    step = [[model.get(("step", x, y), 0.0) for y in (0, 1)] for x in (0, 1)]
+    score, back = [0.0, float("-inf")], []
+    for emit in scores:
+        link = [1 if score[1] + step[1][y] > score[0] + step[0][y] else 0 for y in (0, 1)]
+        score = [score[link[0]] + step[link[0]][0], score[link[1]] + step[link[1]][1] + emit]
         back.append(link)
     if not back:
         return []
@@ -263,38 +286,38 @@ def viterbi(model: Model, rows: list[tuple[str, ...]]) -> list[int]:
     return tags[::-1]
 
 
-def train(chains: list[tuple[list[tuple[str, ...]], list[int]]], epochs: int = EPOCHS) -> Model:
-    """Averaged structured perceptron of a linear chain."""
-    w: dict[tuple[str, int], float] = defaultdict(float)
-    total: dict[tuple[str, int], float] = defaultdict(float)
-    step = 1
+def viterbi(model: Model, rows: list[tuple[str, ...]]) -> list[int]:
+    """Best tags of a chain of places by their features."""
+    get = model.get
+    return decode([sum([get(f, 0.0) for f in feats]) for feats in rows], model)
 
-    def add(key: tuple[str, int], by: float) -> None:
-        w[key] += by
-        total[key] += step * by
 
+def train(chains: list[tuple[list[tuple[str, ...]], list[int]]], epochs: int = EPOCHS) -> Model:
+    """Averaged structured perceptron of a linear chain with a margin: the right tags must win although every wrong one is given MARGIN."""
+    w: Model = defaultdict(float)
+    total: Model = defaultdict(float)
+    turn = 1
     for _ in range(epochs):
         wrong = 0
         for feats, gold in chains:
-            guess = viterbi(w, feats)
+            guess = decode([sum([w.get(f, 0.0) for f in fs]) + (MARGIN if y == 0 else -MARGIN) for fs, y in zip(feats, gold)], w)
             if guess != gold:
                 wrong += 1
+                changes: list[tuple[object, float]] = []
                 a = b = 0
                 for f, y, z in zip(feats, gold, guess):
                     if y != z:
-                        for x in f:
-                            add((x, y), 1.0)
-                            add((x, z), -1.0)
+                        changes += [(x, float(y - z)) for x in f]
                     if (a, y) != (b, z):
-                        add((f"from={a}", y), 1.0)
-                        add((f"from={b}", z), -1.0)
+                        changes += [(("step", a, y), 0.5), (("step", b, z), -0.5)]
                     a, b = y, z
-            step += 1
+                for key, by in changes:
+                    w[key] += by
+                    total[key] += turn * by
+            turn += 1
         if not wrong:
             break
-    mean = {k: v - total[k] / step for k, v in w.items() if v or total[k]}
-    # where the last weights explain the sample and their mean doesn't, the last ones are the model
-    return dict(w) if not wrong and any(viterbi(mean, f) != y for f, y in chains) else mean
+    return {k: v - total[k] / turn for k, v in w.items() if v or total[k]}
 
 
 def _units(text: str) -> list[tuple[int, int]]:
@@ -314,17 +337,20 @@ def split(text: str, model: Model, learned: frozenset, cache: dict | None = None
     """(start, end) of each sentence in code points, without outer white space."""
     out = []
     cache = {} if cache is None else cache
+    get = model.get
     for s, e in _units(text):
         unit = text[s:e]
         places = _places(unit, learned)
-        feats = []
+        scores = []
         for _, p in places:
+            window = p.pop("window")
             key = tuple(p.values())
             if key not in cache:
-                cache[key] = _features(p)
-            feats.append(cache[key])
+                cache[key] = sum(get(f, 0.0) for f in _known(p))
+            p["window"] = window
+            scores.append(cache[key] + sum([get(f, 0.0) for f in _seen(p)]))
         at = 0
-        ends = [end for (end, _), y in zip(places, viterbi(model, feats)) if y]
+        ends = [end for (end, _), y in zip(places, decode(scores, model)) if y]
         for end in [*ends, len(unit)]:
             part = unit[at:end]
             lead = len(part) - len(part.lstrip())
@@ -335,15 +361,26 @@ def split(text: str, model: Model, learned: frozenset, cache: dict | None = None
     return out
 
 
-def learned_abbreviations(documents: DataFrame) -> frozenset:
-    """Words whose full stop is mostly followed by a small letter or a digit, over all documents."""
-    hits = documents.where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6}\.[ \t\u00a0]{1,2}[\p{L}\p{N}])"), F.lit(1))).alias("hit"))
+_SHORT = r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6}\.[ \t\u00a0]{1,2}[\p{L}\p{N}])"
+
+
+def learned_abbreviations(documents: DataFrame) -> DataFrame:
+    """(word): words whose full stop is mostly followed by a small letter or a digit, over all documents."""
+    hits = documents.where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit(_SHORT), F.lit(1))).alias("hit"))
     word = F.lower(F.substring_index("hit", ".", 1))
     inside = F.regexp_like("hit", F.lit(r"[\p{Ll}\p{N}]$"))
     counts = hits.select(word.alias("word"), inside.cast("int").alias("inside")).groupBy("word").agg(F.count("*").alias("n"), F.sum("inside").alias("k"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.where((F.col("n") >= max(5, int(total * ABBREVIATION_SHARE))) & (F.col("k") > 0.8 * F.col("n"))).select("word").collect()
-    return frozenset(r["word"] for r in rows)
+    return counts.where((F.col("n") >= LEAST_COUNT) & (F.col("k") > 0.8 * F.col("n"))).select("word")
+
+
+def with_abbreviations(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, learned) of the distinct documents with text; learned are the learned abbreviations that the document holds."""
+    rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    held = rows.select("doc_id", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6})\."), F.lit(1)), F.lower))).alias("word"))
+    own = held.join(cut(learned_abbreviations(documents)), "word").groupBy("doc_id").agg(F.collect_set("word").alias("learned"))  # bounded by the document's own words
+    # one exchange by doc_id serves the distinct rows, the join and the spread over all cores
+    n = max(parallelism(documents.sparkSession), rows.rdd.getNumPartitions())
+    return rows.repartition(n, "doc_id").distinct().join(own, "doc_id", "left").select("doc_id", "text", F.coalesce("learned", F.array().cast("array<string>")).alias("learned"))
 
 
 # Own examples, so that each script is known however small the sample is.
@@ -362,45 +399,65 @@ EXAMPLES = (
 )
 
 
-def fit(documents: DataFrame, learned: frozenset, rows: int = TRAIN_ROWS) -> Model:
-    """Train on a bounded sample: ``rows`` texts of at most TRAIN_CHARS characters, by the hash of their text.
+def labelled(text: str, learned: frozenset) -> list[tuple[list[tuple[str, ...]], list[int]]]:
+    """Training chains of a text: the features of each unit's places and their labels.
+
+    An unpunctuated script's closing marks are stripped from the features and
+    kept in the labels.
+    """
+    chains = []
+    for s, e in _units(text):
+        places = [p for _, p in _places(text[s:e], learned)]
+        gold = [int(_weak_label(p)) for p in places]
+        if not places:
+            continue
+        if places[0]["thai"]:
+            bare = [p if p["mark"] == "gap" else p | {"mark": "gap", "closed": False, "before": "any", "space": True} for p in places]
+            chains.append(([_features(p) for p in bare], gold))
+        chains.append(([_features(p) for p in places], gold))
+    return chains
+
+
+def fit(documents: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    """Train on a bounded sample of with_abbreviations(): ``rows`` texts of at most TRAIN_CHARS characters, by the hash of their text.
 
     Texts are thinned by a hash of their own to about twice as many before the
     first are taken, so that no partition sends more than its share.
     """
-    fit_for = documents.where(F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("text", F.xxhash64("text").alias("h"))
+    fit_for = documents.where(F.length("text") <= TRAIN_CHARS).select("text", "learned", F.xxhash64("text").alias("h"))
     every = max(1, fit_for.count() // (2 * rows))
     sample = fit_for.where(F.pmod(F.xxhash64("h"), F.lit(every)) == 0).orderBy("h", "text").limit(rows)
-    chains = []
-    for text in [*EXAMPLES, *(r["text"] for r in sample.collect())]:
-        for s, e in _units(text):
-            places = _places(text[s:e], learned)
-            if any(p["thai"] for _, p in places):
-                # punctuation-stripped: the places of closing marks become plain gaps
-                places = [(at, p if p["mark"] == "gap" else p | {"mark": "gap", "before": "any", "space": True}) for at, p in places]
-            if places:
-                chains.append(([_features(p) for _, p in places], [int(_weak_label(p)) for _, p in places]))
-                if places[0][1]["thai"]:
-                    again = _places(text[s:e], learned)
-                    chains.append(([_features(p) for _, p in again], [int(_weak_label(p)) for _, p in again]))
+    chains = [c for text in EXAMPLES for c in labelled(text, frozenset())]
+    for r in sample.collect():
+        chains += labelled(r["text"], frozenset(r["learned"]))
     return train(chains)
 
 
+def agreement(texts: list[tuple[str, str, frozenset]], model: Model) -> dict[str, tuple[float, int]]:
+    """language -> (F1 of the model's boundaries against the labels, number of labelled boundaries) of held-out (language, text, learned)."""
+    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for lang, text, learned in texts:
+        for feats, gold in labelled(text, learned):
+            for y, z in zip(gold, viterbi(model, feats)):
+                counts[lang][0] += y and z
+                counts[lang][1] += y
+                counts[lang][2] += z
+    return {k: (2 * both / (gold + found) if gold + found else 1.0, gold) for k, (both, gold, found) in counts.items()}
+
+
 def sentences(documents: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, sentence_no, start_pos, end_pos, sentence) of every document."""
-    spark = documents.sparkSession
-    learned = learned_abbreviations(documents)
-    shared = spark.sparkContext.broadcast((fit(documents, learned, rows), learned))
-    docs = spread(documents.where("doc_id is not null and text is not null").select("doc_id", "text").distinct())
+    docs = cut(with_abbreviations(documents))
+    shared = documents.sparkSession.sparkContext.broadcast(fit(docs, rows))
 
     @F.pandas_udf("array<struct<start_pos:int,end_pos:int>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model, abbreviations = shared.value
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model = shared.value
         cache: dict = {}
-        for s in batches:
-            yield pd.Series([[{"start_pos": a, "end_pos": b} for a, b in split(t, model, abbreviations, cache)] for t in s])
+        for texts, learned in batches:
+            yield pd.Series([[{"start_pos": a, "end_pos": b} for a, b in split(t, model, frozenset(x), cache)] for t, x in zip(texts, learned)])
 
     return (
-        docs.select("doc_id", "text", F.posexplode(cut("text")).alias("at", "s"))
+        docs.select("doc_id", "text", F.posexplode(found("text", "learned")).alias("at", "s"))
         .select("doc_id", (F.col("at") + 1).alias("sentence_no"), "s.start_pos", "s.end_pos", F.substring("text", F.col("s.start_pos") + 1, F.col("s.end_pos") - F.col("s.start_pos")).alias("sentence"))
     )
