@@ -11,11 +11,11 @@ the document do, or for languages without spaces ``chars`` consecutive
 characters anywhere.  As every n-gram of an item is in the set, a document that
 holds one of them anywhere is found: there is no sampling and no cap.
 
-What is broadcast are 64-bit hashes of the n-grams' first letters, sorted, in
-blocks of at most GRAM_BLOCK (8 bytes each), so the broadcast is bounded however
-large the test set is; one block is one scan.  The windows of a document whose
-hash is in the set are candidates; they meet the n-grams in an equi-join on the
-hash, which compares all letters.
+What is broadcast are 64-bit hashes of the n-grams and of their first letters,
+sorted, in blocks of at most about GRAM_BLOCK (18 bytes each), so the broadcast is
+bounded however large the test set is; one block is one scan.  A window whose
+first letters' hash is in the set is compared by the hash of the whole n-gram;
+what agrees meets the n-grams in an equi-join, which compares all letters.
 
 Defined results: null, empty and blank texts carry nothing and are carried by
 nothing; items shorter than one n-gram can't be found; an item that occurs
@@ -26,6 +26,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.runtime import cut, spread
+from claimspark.runtime import cut, once, spread
 
-#: Hashes in a broadcast: 32 MB.
-GRAM_BLOCK = 4_000_000
+#: N-grams in a broadcast: 36 MB.
+GRAM_BLOCK = 2_000_000
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _BASE = regex.compile(r"[\p{L}\p{N}]\p{M}*")
 _SPACELESS = ("zh", "ja")
@@ -46,12 +47,15 @@ _MEMO: dict[str, str] = {}
 
 def _fold(word: str) -> str:
     """Letters and digits of a word, compatibility form, casefolded."""
+    if word.isascii():
+        return word.lower()
     found = _MEMO.get(word)
     if found is None:
-        found = word.lower() if word.isascii() else "".join(_WORD.findall(unicodedata.normalize("NFKC", word).casefold()))
-        if len(_MEMO) >= 200_000:
-            _MEMO.clear()
-        _MEMO[word] = found
+        found = "".join(_WORD.findall(unicodedata.normalize("NFKC", word).casefold()))
+        if len(word) <= 16:  # scripts without spaces have no words that repeat
+            if len(_MEMO) >= 50_000:
+                _MEMO.clear()
+            _MEMO[word] = found
     return found
 
 
@@ -83,20 +87,37 @@ def _words(text: str) -> list[str]:
     return [w for w, _, _ in _folded(text)]
 
 
-def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
-    """64-bit polynomial hash of every run of ``size`` code points."""
-    n = len(codes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(size):
-            h = h * np.uint64(0x100000001B3) + codes[j : j + n]
-        return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+_BASE_OF_HASH = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _codes(stream: str) -> np.ndarray:
-    return np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+class Stream:
+    """A stream of letters with the hash of any part of it in constant time."""
+
+    def __init__(self, text: str) -> None:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        n = len(codes)
+        with np.errstate(over="ignore"):
+            codes = (codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+            codes ^= codes >> np.uint64(32)
+            power = np.full(n, _BASE_OF_HASH)
+            power[:1] = 1
+            self.sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(codes * np.cumprod(power), out=self.sums[1:])
+            back = np.full(n + 1, _INVERSE)
+            back[:1] = 1
+            self.back = np.cumprod(back)
+
+    def hashes(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        """Hash of the ``size`` letters from each place on."""
+        with np.errstate(over="ignore"):
+            h = (self.sums[at + size] - self.sums[at]) * self.back[at]
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            return h ^ (h >> np.uint64(32))
+
+
+def gram_hash(text: str) -> int:
+    return int(Stream(text).hashes(np.array([0]), len(text))[0].astype(np.int64))
 
 
 def _grams(text: str, spaceless: bool, words: int, chars: int) -> list[str]:
@@ -108,7 +129,7 @@ def _grams(text: str, spaceless: bool, words: int, chars: int) -> list[str]:
 
 
 def item_grams(items: DataFrame, words: int, chars: int) -> DataFrame:
-    """(item_id, gram, free, key): every n-gram of every item; free ones may stand within a word."""
+    """(item_id, gram, free, head, key): every n-gram of every item with the hashes of its first letters and of all; free ones may stand within a word."""
     size = min(words, chars)
     rows = items.where("item_id is not null and text is not null").select("item_id", "lang", "text").distinct()
 
@@ -117,44 +138,51 @@ def item_grams(items: DataFrame, words: int, chars: int) -> DataFrame:
             for i, lang, text in zip(pdf["item_id"], pdf["lang"], pdf["text"]):
                 free = str(lang or "").strip().lower()[:2] in _SPACELESS
                 found = list(dict.fromkeys(_grams(text, free, words, chars)))
-                keys = [int(_hashes(_codes(g[:size]), size)[0].astype(np.int64)) for g in found]
                 if found:
-                    yield pd.DataFrame({"item_id": i, "gram": found, "free": free, "key": keys})
-
-    return cut(spread(rows).mapInPandas(run, "item_id bigint, gram string, free boolean, key bigint"))
-
-
-def candidates(text: str, keys: np.ndarray, size: int, longest: int, free: bool) -> list[tuple[int, str, list[int], list[int]]]:
-    """(hash, letters from here on, ends of words in them, place in the text of each letter's start and end) of each window in the set.
-
-    ``free``: windows may begin within a word, in a text that isn't ASCII.
-    """
-    parts = _words(text)
-    stream = "".join(parts)
-    if len(stream) < size:
-        return []
-    hashes = _hashes(_codes(stream), size)
-    ends = np.cumsum([len(w) for w in parts])
-    if free and not stream.isascii():
-        at = np.arange(len(hashes))
-    else:
-        starts = ends - np.array([len(w) for w in parts])
-        at = starts[starts < len(hashes)]
-    place = np.searchsorted(keys, hashes[at])
-    hit = at[keys[np.minimum(place, len(keys) - 1)] == hashes[at]]
-    if not len(hit):
-        return []
-    where: list[int] = []
-    for w, s, e in _folded(text):
-        where.extend(range(s, s + len(w)) if len(w) == e - s else [s + (j * (e - s)) // len(w) for j in range(len(w))])
-    begins = set((ends - np.array([len(w) for w in parts])).tolist())
-    out = []
-    for p in hit.tolist():
-        tail = stream[p : p + longest]
-        low, high = np.searchsorted(ends, (p, p + len(tail)), "right")
-        inner = (ends[low:high] - p).tolist() if p in begins else []
-        out.append((int(hashes[p].astype(np.int64)), tail, inner, where[p : p + len(tail)]))
-    return out
+                    yield pd.DataFrame({"item_id": i, "gram": found, "free": free, "head": [gram_hash(g[:size]) for g in found], "key": [gram_hash(g) for g in found]})
+
+    return cut(spread(rows).mapInPandas(run, "item_id bigint, gram string, free boolean, head bigint, key bigint"))
+
+
+class Grams:
+    """The hashes of a block of n-grams in the order of their first letters' hashes."""
+
+    def __init__(self, heads: np.ndarray, keys: np.ndarray, sizes: np.ndarray, free: np.ndarray) -> None:
+        order = np.argsort(heads)
+        self.heads, self.keys, self.sizes, self.free = heads[order], keys[order], sizes[order], free[order]
+
+    def scan(self, text: str, size: int) -> list[tuple[int, str, int, int]]:
+        """(hash, letters, start, end) of each window of the text that agrees with an n-gram."""
+        parts = _words(text)
+        letters = "".join(parts)
+        if len(letters) < size:
+            return []
+        stream = Stream(letters)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(lengths)
+        begins = ends - lengths
+        anywhere = bool(self.free.any()) and not letters.isascii()
+        at = np.arange(len(letters) - size + 1) if anywhere else begins[begins <= len(letters) - size]
+        heads = stream.hashes(at, size)
+        low = np.searchsorted(self.heads, heads)
+        hit = self.heads[np.minimum(low, len(self.heads) - 1)] == heads
+        at, low, heads = at[hit], low[hit], heads[hit]
+        if not len(at):
+            return []
+        # every n-gram with these first letters
+        many = np.searchsorted(self.heads, heads, "right") - low
+        place, gram = np.repeat(at, many), np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        sizes = self.sizes[gram].astype(np.int64)
+        fits = place + sizes <= len(letters)
+        fits &= self.free[gram] | (np.isin(place, begins) & np.isin(place + sizes, ends))
+        place, gram, sizes = place[fits], gram[fits], sizes[fits]
+        same = stream.hashes(place, sizes) == self.keys[gram]
+        if not same.any():
+            return []
+        where: list[int] = []
+        for w, s, e in _folded(text):
+            where.extend(range(s, s + len(w)) if len(w) == e - s else [s + (j * (e - s)) // len(w) for j in range(len(w))])
+        return [(int(np.int64(k)), letters[p : p + n], where[p], where[p + n - 1] + 1) for p, n, k in zip(place[same].tolist(), sizes[same].tolist(), self.keys[gram[same]].astype(np.int64).tolist())]
 
 
 def leaked_spans(documents: DataFrame, items: DataFrame, words: int = 15, chars: int = 30, gram_block: int = GRAM_BLOCK) -> DataFrame:
@@ -162,35 +190,28 @@ def leaked_spans(documents: DataFrame, items: DataFrame, words: int = 15, chars:
     spark = documents.sparkSession
     size = min(words, chars)
     grams = item_grams(items, words, chars)
-    found = grams.agg(F.count_distinct("key").alias("n"), F.max(F.length("gram")).alias("longest"), F.max("free").alias("free")).first()
-    schema = "doc_id bigint, key bigint, tail string, ends array<int>, place array<int>"
+    blocks = -(-grams.select("key").distinct().count() // gram_block)
+    schema = "doc_id bigint, key bigint, gram string, start_pos int, end_pos int"
     docs = spread(documents.where("doc_id is not null and text is not null").select("doc_id", "text"))
-    blocks = -(-found["n"] // gram_block)
     windows: DataFrame | None = None
     for b in range(blocks):
-        mine = grams.select("key").distinct().where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b)
-        # at most about gram_block numbers
-        keys = np.sort(mine.toArrow().column("key").to_numpy().astype(np.int64).view(np.uint64))
-        shared = spark.sparkContext.broadcast(keys)
+        mine = grams.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).groupBy("head", "key", F.length("gram").alias("size")).agg(F.max("free").alias("free")).toArrow()  # at most about gram_block rows
+        column = lambda c, mine=mine: mine.column(c).to_numpy()
+        shared = spark.sparkContext.broadcast((column("head").astype(np.int64).view(np.uint64), column("key").astype(np.int64).view(np.uint64), column("size").astype(np.uint16), column("free").astype(bool)))
+        token = uuid.uuid4().hex
 
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def scan(batches: Iterator[pd.DataFrame], shared=shared, token=token) -> Iterator[pd.DataFrame]:
+            block = once(token, lambda: Grams(*shared.value))
             for pdf in batches:
-                rows = [(d, *c) for d, t in zip(pdf["doc_id"], pdf["text"]) for c in candidates(t, shared.value, size, found["longest"], found["free"])]
-                yield pd.DataFrame(rows, columns=["doc_id", "key", "tail", "ends", "place"])
+                rows = [(d, *c) for d, t in zip(pdf["doc_id"], pdf["text"]) for c in block.scan(t, size)]
+                yield pd.DataFrame(rows, columns=["doc_id", "key", "gram", "start_pos", "end_pos"])
 
-        if len(keys):
+        if mine.num_rows:
             part = docs.mapInPandas(scan, schema)
             windows = part if windows is None else windows.unionByName(part)
     if windows is None:
         return spark.createDataFrame([], "doc_id bigint, item_id bigint, start_pos int, end_pos int")
-    size_of = F.length("gram")
-    fits = F.startswith("tail", F.col("gram")) & (F.col("free") | F.array_contains("ends", size_of))
-    return (
-        windows.join(grams, "key")
-        .where(fits)
-        .select("doc_id", "item_id", F.element_at("place", 1).alias("start_pos"), (F.element_at("place", size_of) + 1).alias("end_pos"))
-        .distinct()
-    )
+    return windows.join(grams.select("item_id", "key", "gram"), ["key", "gram"]).select("doc_id", "item_id", "start_pos", "end_pos").distinct()
 
 
 def leaks(documents: DataFrame, items: DataFrame, **how) -> DataFrame:
