@@ -385,7 +385,7 @@ _ELEMENTS = "array<struct<line_no:int,element:string,at:int>>"
 
 
 def parsed(converted: DataFrame, chunks: DataFrame, written: bool = True) -> DataFrame:
-    """(record_id, site, page, text, elements, facts, kinds, styles, pieces) of every text; pieces only where they are to be written."""
+    """(record_id, site, page, text, elements, facts, kinds, styles, pieces, layout) of every text; pieces only where they are to be written; layout is the style of the root."""
 
     @F.pandas_udf(f"struct<elements:{_ELEMENTS},facts:{_FACTS},kinds:array<string>,styles:array<string>,pieces:array<string>>")
     def dom(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -398,13 +398,24 @@ def parsed(converted: DataFrame, chunks: DataFrame, written: bool = True) -> Dat
                 rows.append((elements, tree(nodes), *(([n["kind"] for n in nodes], [n["style"] for n in nodes], [_piece(n) for n in nodes]) if written else ([], [], []))))
             yield pd.DataFrame(rows, columns=["elements", "facts", "kinds", "styles", "pieces"])
 
-    return cut(spread(pages(converted, chunks)).withColumn("dom", dom("text")).select("record_id", "site", "page", "text", "dom.*"))
+    made = spread(pages(converted, chunks)).withColumn("dom", dom("text")).select("record_id", "site", "page", "text", "dom.*")
+    return cut(made.withColumn("layout", F.element_at("facts", 1)["value"]))
+
+
+def _shared(doms: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pages whose root has a style that another page of the site has: all others share no node but the root."""
+    return doms.join(roots.where("n > 1").select("site", "layout"), ["site", "layout"], "left_semi")
 
 
 def importance(doms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(site, path, depth, leaf, m, importance, noise): the nodes of the merged style trees that more than one page shares."""
-    one = doms.select("site", "page", "facts").dropDuplicates(["site", "page"]).select("site", F.explode("facts").alias("f"))
-    counted = one.groupBy("site", "f.path", "f.value").agg(F.count("*").alias("n"), F.first("f.depth").alias("depth"), F.first("f.parent").alias("parent"), F.first("f.under").alias("under"), (F.first("f.at") >= 0).alias("leaf"))
+    roots = doms.select("site", "page", "layout").distinct().groupBy("site", "layout").agg(F.count("*").alias("n"))
+    fact = lambda n: F.first(f"f.{n}").alias(n)
+    one = _shared(doms, roots).select("site", "page", "facts").dropDuplicates(["site", "page"]).select("site", F.explode("facts").alias("f")).where("f.depth > 0")
+    deep = one.groupBy("site", "f.path", "f.value").agg(F.count("*").alias("n"), fact("depth"), fact("parent"), fact("under"), (F.first("f.at") >= 0).alias("leaf"))
+    zero = F.lit(ROOT).cast("bigint")
+    counted = deep.unionByName(roots.select("site", zero.alias("path"), F.col("layout").alias("value"), "n", F.lit(0).alias("depth"), zero.alias("parent"), zero.alias("under"), F.lit(False).alias("leaf")))
+    counted = cut(counted)
     log_n = F.log("n")
     per = counted.groupBy("site", "path").agg(
         F.sum("n").alias("m"), F.count("*").alias("l"), F.sum(F.col("n") * log_n).alias("nlogn"), F.sum(log_n).alias("logs"), F.first("depth").alias("depth"), F.first("parent").alias("parent"), F.first("under").alias("under"), F.first("leaf").alias("leaf"), F.min("n").alias("least")
@@ -445,7 +456,8 @@ def styled(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD
     copies = nodes.where("depth = 0 and noise").select("site")
     low = nodes.where("leaf and noise").select("site", "path").join(copies, "site", "left_anti")
     hits = (
-        doms.select("record_id", "site", "page", F.explode("facts").alias("f"))
+        _shared(doms, doms.select("site", "page", "layout").distinct().groupBy("site", "layout").agg(F.count("*").alias("n")))
+        .select("record_id", "site", "page", F.explode("facts").alias("f"))
         .where("f.at >= 0")
         .select("record_id", "page", "site", "f.at", "f.path")
         .join(low, ["site", "path"])
@@ -453,7 +465,7 @@ def styled(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD
         .agg(F.collect_set("at").alias("removed"))  # bounded by the record's own nodes
     )
     none = F.array().cast("array<int>")
-    return cut(doms.drop("facts").join(hits, ["record_id", "page"], "left").withColumn("removed", F.coalesce("removed", none)))
+    return cut(doms.drop("facts", "layout").join(hits, ["record_id", "page"], "left").withColumn("removed", F.coalesce("removed", none)))
 
 
 def cleaned(converted: DataFrame, chunks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
