@@ -1,43 +1,61 @@
-"""python -m claimspark.cli ingest|extract|ask ..."""
+"""python -m claimspark.cli pdf-to-markdown|ingest|extract|synthesize|build|validate|ask ..."""
 
 from __future__ import annotations
 
 import argparse
 import json
 
-from claimspark import runtime
-from claimspark.operators import chunking, evidence_query, extraction
-from claimspark.sources import readers
+from claimspark import config, pipelines, runtime
+
+
+def _summary(manifest: dict) -> dict:
+    return {"kind": manifest.get("kind"), "version": manifest["version"], "rows": {n: t["rows"] for n, t in manifest["tables"].items()}}
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="claimspark")
+    parser.add_argument("--config", help="YAML file of settings")
     sub = parser.add_subparsers(dest="command", required=True)
-    ingest = sub.add_parser("ingest", help="files to chunks")
-    ingest.add_argument("path")
-    ingest.add_argument("out")
-    extract = sub.add_parser("extract", help="chunks to terms")
-    extract.add_argument("chunks")
-    extract.add_argument("out")
-    ask = sub.add_parser("ask", help="evidence for a question")
-    ask.add_argument("terms")
-    ask.add_argument("question")
+
+    def command(name: str, text: str, *args: str, **more) -> argparse.ArgumentParser:
+        p = sub.add_parser(name, help=text)
+        for a in args:
+            p.add_argument(a, **more.get(a, {}))
+        return p
+
+    command("pdf-to-markdown", "PDF files to documents; needs a converter, see pipelines.ingest", "path", "out")
+    command("ingest", "files to a bundle of chunks", "path", "out")
+    command("extract", "a bundle of chunks to an ontology", "chunks", "out")
+    command("synthesize", "ontologies to a frame", "name", "objective", "out", "ontologies", ontologies={"nargs": "+"})
+    command("build", "files to chunks, ontology and frame", "path", "out", "name", "objective")
+    command("validate", "check a bundle", "bundle")
+    command("ask", "evidence, claims and conflicts for a question", "ontology", "question")
     args = parser.parse_args(argv)
+    if args.command == "pdf-to-markdown":
+        parser.error("no PDF converter is part of this engine; call pipelines.ingest(converter=...)")
+    settings = config.load(args.config, ".env")
     spark = runtime.get_spark()
     runtime.ship(spark)
     if args.command == "ingest":
-        docs = readers.convert_files(readers.read_files(spark, args.path)).withColumnRenamed("source_id", "conversion_id").selectExpr("*", "conversion_id as source_id")
-        chunking.chunk_documents(docs).write.mode("overwrite").parquet(args.out)
-        result = {"chunks": spark.read.parquet(args.out).count()}
+        result = _summary(pipelines.ingest(spark, args.path, args.out, settings))
     elif args.command == "extract":
-        found = extraction.terms(extraction.sentences(spark.read.parquet(args.chunks)))
-        found.write.mode("overwrite").parquet(args.out)
-        result = {"terms": spark.read.parquet(args.out).count()}
+        result = _summary(pipelines.extract(spark, pipelines.checked_chunks(spark, args.chunks), args.out, settings))
+    elif args.command == "synthesize":
+        result = _summary(pipelines.synthesize(spark, args.ontologies, args.out, args.name, args.objective, settings))
+    elif args.command == "build":
+        out = args.out.rstrip("/")
+        made = [pipelines.ingest(spark, args.path, f"{out}/chunks", settings)]
+        made.append(pipelines.extract(spark, pipelines.checked_chunks(spark, f"{out}/chunks"), f"{out}/ontology", settings))
+        made.append(pipelines.synthesize(spark, [f"{out}/ontology"], f"{out}/frame", args.name, args.objective, settings))
+        result = {"bundles": [_summary(m) for m in made]}
+    elif args.command == "validate":
+        result = pipelines.validate(spark, args.bundle)
     else:
-        rows = evidence_query.ask(evidence_query.evidence_index(spark.read.parquet(args.terms)), args.question).collect()
-        result = {"evidence": [{"source_id": r["source_id"], "quote": r["quote"], "score": r["score"]} for r in rows]}
+        result = pipelines.answer(spark, args.ontology, args.question)
     print(json.dumps(result, ensure_ascii=False))
-    return 0
+    return 1 if result.get("damaged") or result.get("problems") else 0
+
+
 
 
 if __name__ == "__main__":

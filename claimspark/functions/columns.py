@@ -23,9 +23,23 @@ def normalize_label(label: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(col(label)), r"[^\p{L}\p{N}_]+", " "))
 
 
+#: Full-width forms stand in the order of the code table; letters that fold to one other letter.
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000ſς"
+_PLAIN = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " sσ"
+#: Letters and ligatures that fold to several.
+_SEVERAL = (("ß", "ss"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ", "ffl"))
+
+
 def fold_label(label: Column | str) -> Column:
-    """normalize_label with the casefold of sharp s."""
-    return F.trim(F.regexp_replace(F.replace(F.lower(col(label)), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}_]+", " "))
+    """normalize_label after compatibility folding: widths, ligatures, sharp s, final sigma and long s.
+
+    Spark has no normal forms; what occurs in labels is folded by translate, so
+    keys stay in the JVM.  functions.text.fold() is the whole form in Python.
+    """
+    c = F.translate(col(label), _WIDE, _PLAIN)
+    for joined, letters in _SEVERAL:
+        c = F.replace(c, F.lit(joined), F.lit(letters))
+    return F.trim(F.regexp_replace(F.translate(F.lower(c), "ς", "σ"), r"[^\p{L}\p{N}_]+", " "))
 
 
 def collapse(text: Column | str) -> Column:

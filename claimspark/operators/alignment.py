@@ -168,6 +168,33 @@ def mappings(cls: DataFrame, named: DataFrame | None = None) -> DataFrame:
     return f.withColumn("kind", kind).where("kind is not null").withColumn("confidence", confidence).select("left_id", "right_id", "left_label", "right_label", "kind", "confidence")
 
 
+def complementarities(mapped: DataFrame) -> DataFrame:
+    """(left_id, right_id, description): one for each related or analogous pair."""
+    return mapped.where("kind = 'related_or_analogous'").select("left_id", "right_id", F.concat(F.col("left_label"), F.lit(" and "), F.col("right_label"), F.lit(" can be read together.")).alias("description"))
+
+
+KINDS = ("exact_equivalent", "broader", "narrower", "related_or_analogous", "superficially_similar_but_distinct", "conflicting")
+
+
+def mapping_problems(mapped: DataFrame, cls: DataFrame) -> DataFrame:
+    """(left_id, right_id, problem) of mappings that name no class, pair a class with itself or two of one source only, or have no known kind."""
+    ids = cls.select("class_id")
+    gone = lambda side: mapped.join(ids.withColumnRenamed("class_id", side), side, "left_anti").select("left_id", "right_id", F.lit(f"dangling_{side[:-3]}").alias("problem"))
+    one = cls.where("n_sources = 1").select("class_id", "first_source")
+    side = lambda s: one.select(F.col("class_id").alias(f"{s}_id"), F.col("first_source").alias(f"{s}_source"))
+    same = mapped.join(side("left"), "left_id").join(side("right"), "right_id").where("left_source = right_source").select("left_id", "right_id", F.lit("same_source").alias("problem"))
+    itself = mapped.where("left_id = right_id").select("left_id", "right_id", F.lit("itself").alias("problem"))
+    kind = mapped.where(~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False))).select("left_id", "right_id", F.lit("unknown_kind").alias("problem"))
+    return gone("left_id").unionByName(gone("right_id")).unionByName(same).unionByName(itself).unionByName(kind).distinct()
+
+
+def given_mappings(answers: DataFrame, cls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sound mappings, problems) of mappings that came from elsewhere, for example from a model: (left_id, right_id, kind, confidence)."""
+    rows = answers.dropDuplicates(["left_id", "right_id"])
+    problems = mapping_problems(rows, cls)
+    return rows.join(problems.select("left_id", "right_id").distinct(), ["left_id", "right_id"], "left_anti"), problems
+
+
 # --- opposed statements ---------------------------------------------------------------------------------------------
 
 # Stop words, negations and the direction of effect words of statements.
@@ -219,3 +246,37 @@ def opposed_statements(statements: DataFrame) -> DataFrame:
     has = lambda m: F.array_contains(F.array_union("l_s.modalities", "r_s.modalities"), m)
     kind = F.when(has("normative"), "normative").when(has("methodological") | has("heuristic"), "methodological").when(has("causal"), "causal").otherwise("empirical")
     return j.where((shared >= STATEMENT_SHARED) & (shared / union >= STATEMENT_OVERLAP) & against).select(F.col("l").alias("left_statement"), F.col("r").alias("right_statement"), kind.alias("kind"))
+
+
+def opposed_claims(axioms: DataFrame) -> DataFrame:
+    """(conflict_id, kind, left_id, right_id): axioms of different sources whose statements oppose each other; for each pair of statements the smallest claim of either side."""
+    pairs = opposed_statements(axioms.select("statement", "modality"))
+    side = lambda s: axioms.select(F.col("statement").alias(f"{s}_statement"), F.col("source_id").alias(f"{s}_source"), F.col("claim_id").alias(f"{s}_id"))
+    # statements are classes: their claims meet through the first claim of each source pair, not all with all
+    left = side("left").groupBy("left_statement").agg(F.min(F.struct("left_source", "left_id")).alias("l"), F.max(F.struct("left_source", "left_id")).alias("l2"))
+    right = side("right").groupBy("right_statement").agg(F.min(F.struct("right_source", "right_id")).alias("r"), F.max(F.struct("right_source", "right_id")).alias("r2"))
+    met = pairs.join(left, "left_statement").join(right, "right_statement")
+    # where both first claims are of one source, another source's claim of either side stands in
+    a = F.when(F.col("l.left_source") != F.col("r.right_source"), F.struct(F.col("l.left_id").alias("x"), F.col("r.right_id").alias("y"))).when(F.col("l2.left_source") != F.col("r.right_source"), F.struct(F.col("l2.left_id").alias("x"), F.col("r.right_id").alias("y"))).when(
+        F.col("l.left_source") != F.col("r2.right_source"), F.struct(F.col("l.left_id").alias("x"), F.col("r2.right_id").alias("y"))
+    )
+    found = met.withColumn("p", a).where("p is not null").select("kind", F.least("p.x", "p.y").alias("left_id"), F.greatest("p.x", "p.y").alias("right_id")).distinct()
+    return found.select(_conflict_id("left_id", "right_id"), "kind", "left_id", "right_id")
+
+
+def _conflict_id(left: str, right: str) -> Column:
+    return F.concat(F.lit("conflict:"), F.substring(F.sha2(F.concat_ws("\u001f", left, right), 256), 1, 16)).alias("conflict_id")
+
+
+def united_conflicts(declared: DataFrame, opposed: DataFrame, mapped: DataFrame) -> DataFrame:
+    """(conflict_id, origin, kind, members): declared, cross-source and mapping conflicts with unique identifiers.
+
+    A declared conflict that repeats an identifier gets one of its own; another
+    conflict with an identifier that is taken is the same one and is left out.
+    """
+    base = declared.select("conflict_id", F.lit("declared").alias("origin"), "kind", F.array_join("claim_ids", " ").alias("members"), F.lit(0).alias("turn"))
+    cross = opposed.select("conflict_id", F.lit("cross_source").alias("origin"), "kind", F.concat_ws(" ", "left_id", "right_id").alias("members"), F.lit(1).alias("turn"))
+    terms = mapped.where("kind = 'conflicting'").select(_conflict_id("left_id", "right_id"), F.lit("mapping").alias("origin"), F.lit("terminological").alias("kind"), F.concat_ws(" ", "left_id", "right_id").alias("members"), F.lit(2).alias("turn"))
+    n = F.row_number().over(W.partitionBy("conflict_id").orderBy("turn", "members"))
+    rows = base.unionByName(cross).unionByName(terms).withColumn("n", n).where("n = 1 or turn = 0")
+    return rows.select(F.when(F.col("n") > 1, F.concat("conflict_id", F.lit("-"), F.col("n").cast("string"))).otherwise(F.col("conflict_id")).alias("conflict_id"), "origin", "kind", "members")

@@ -98,17 +98,22 @@ def tail(parts: list[str], budget: int) -> str:
     return joined[starts[max(0, len(starts) - budget)] :].strip()
 
 
-def pack(blocks: list[tuple[str, int, str, tuple[str, ...]]], limit: int = MAX_TOKENS, overlap: int = OVERLAP) -> list[tuple[str, tuple[str, ...], list[str]]]:
-    """(text, heading path, labels) of the chunks; chunks never cross a change of heading."""
-    chunks: list[tuple[str, tuple[str, ...], list[str]]] = []
-    held: list[tuple[str, str]] = []
+def pack(blocks: list[tuple], limit: int = MAX_TOKENS, overlap: int = OVERLAP, with_pages: bool = False) -> list[tuple]:
+    """(text, heading path, labels), and with_pages the pages, of the chunks; chunks never cross a change of heading.
+
+    A block is (label, level, text, heading path) and may end with its pages.
+    """
+    chunks: list[tuple] = []
+    held: list[tuple[str, str, tuple[int, ...]]] = []
     size = 0
     where: tuple[str, ...] | None = None
 
-    def emit(parts: list[tuple[str, str]]) -> None:
-        chunks.append(("\n\n".join(t for _, t in parts).strip(), where or (), list(dict.fromkeys(label for label, _ in parts))))
+    def emit(parts: list[tuple[str, str, tuple[int, ...]]]) -> None:
+        made = ("\n\n".join(t for _, t, _ in parts).strip(), where or (), list(dict.fromkeys(label for label, _, _ in parts)))
+        chunks.append((*made, tuple(sorted({n for _, _, p in parts for n in p}))) if with_pages else made)
 
-    for label, _, text, path in blocks:
+    for label, _, text, path, *more in blocks:
+        pages = more[0] if more else ()
         if path != where:
             if held:
                 emit(held)
@@ -118,14 +123,14 @@ def pack(blocks: list[tuple[str, int, str, tuple[str, ...]]], limit: int = MAX_T
             n = tokens_in(part)
             if held and size + n > limit:
                 emit(held)
-                rest = tail([t for _, t in held], min(overlap, max(0, limit - n)))
-                held = [("overlap", rest)] if rest else []
+                rest = tail([t for _, t, _ in held], min(overlap, max(0, limit - n)))
+                held = [("overlap", rest, held[-1][2])] if rest else []
                 size = tokens_in(rest)
             if whole and n > limit:
-                emit([(label, part)])
+                emit([(label, part, pages)])
                 held, size = [], 0
                 continue
-            held.append((label, part))
+            held.append((label, part, pages))
             size += n
     if held:
         emit(held)
@@ -199,3 +204,16 @@ def heading_counts(chunks: DataFrame) -> DataFrame:
     """(source_id, heading, n) over the heading paths of distinct chunk rows."""
     rows = chunks.where("source_id is not null").select("source_id", "chunk_id", "heading_path").distinct()
     return rows.select("source_id", F.explode("heading_path").alias("heading")).groupBy("source_id", "heading").agg(F.count("*").alias("n"))
+
+
+def foreign(chunks: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_id, n_chunks) of chunks whose source isn't known."""
+    rows = chunks.where("source_id is not null").select("source_id", "chunk_id").distinct()
+    return rows.join(sources.select("source_id").distinct(), "source_id", "left_anti").groupBy("source_id").agg(F.count("*").alias("n_chunks"))
+
+
+def merged_metadata(chunks: DataFrame) -> DataFrame:
+    """(source_id, key, found): the distinct values of each metadata key of a source in order of their first chunk."""
+    each = chunks.where("source_id is not null and metadata is not null").select("source_id", "ordinal", "chunk_id", F.explode("metadata").alias("key", "value")).where("value is not null")
+    first = each.groupBy("source_id", "key", "value").agg(F.min(F.struct("ordinal", "chunk_id")).alias("at"))
+    return first.groupBy("source_id", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("found"))

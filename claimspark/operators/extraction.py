@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from claimspark.functions.columns import fold_label
+from claimspark.operators.claims import LISTS, Fragments, signature
 
 SENTENCE_CAP = 80
 CONFIDENCE = {"term": 0.66, "definition": 0.64, "relation": 0.62, "statement": 0.61, "model": 0.58}
@@ -32,11 +33,11 @@ def sentence_list(text: Column | str) -> Column:
     return F.filter(F.transform(F.split(prose, r"(?<=[.!?])(?:[ \t]+|\r?\n+)"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), lambda s: s != "")
 
 
-def sentences(chunks: DataFrame, key: str = "chunk_id", text: str = "text", cap: int | None = SENTENCE_CAP) -> DataFrame:
-    """(key, source_id, sentence_no, quote, sentence); sentence is the quote with single spaces."""
-    rows = chunks.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), "source_id", F.col(text).alias("text")).distinct()
-    found = rows.select("key", "source_id", F.posexplode(sentence_list("text") if cap is None else F.slice(sentence_list("text"), 1, cap)).alias("at", "quote"))
-    return found.select(F.col("key").alias(key), "source_id", (F.col("at") + 1).alias("sentence_no"), "quote", F.trim(F.regexp_replace("quote", r"\s+", " ")).alias("sentence"))
+def sentences(chunks: DataFrame, key: str = "chunk_id", text: str = "text", cap: int | None = SENTENCE_CAP, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, source_id, carried columns, sentence_no, quote, sentence); sentence is the quote with single spaces."""
+    rows = chunks.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), "source_id", *carry, F.col(text).alias("text")).distinct()
+    found = rows.select("key", "source_id", *carry, F.posexplode(sentence_list("text") if cap is None else F.slice(sentence_list("text"), 1, cap)).alias("at", "quote"))
+    return found.select(F.col("key").alias(key), "source_id", *carry, (F.col("at") + 1).alias("sentence_no"), "quote", F.trim(F.regexp_replace("quote", r"\s+", " ")).alias("sentence"))
 
 
 def definitions(sents: DataFrame) -> DataFrame:
@@ -80,6 +81,35 @@ def axioms(sents: DataFrame, key: str = "chunk_id") -> DataFrame:
     return d.unionByName(r)
 
 
+def _proof() -> Column:
+    """Evidence of a sentence: it is a part of its chunk, so it is verified."""
+    none = F.lit(None)
+    one = F.struct("source_id", "chunk_id", none.cast("array<string>").alias("heading_path"), none.cast("int").alias("page_start"), none.cast("int").alias("page_end"), "quote", F.sha2("quote", 256).alias("quote_sha256"), F.lit(True).alias("verified"))
+    return F.array(one).alias("evidence")
+
+
+def fragments(chunks: DataFrame, cap: int | None = SENTENCE_CAP) -> Fragments:
+    """The draft claims of every chunk; a chunk is a fragment of its source at its ordinal."""
+    sents = sentences(chunks.where("source_id is not null and ordinal is not null"), cap=cap, carry=("ordinal",))
+    place = [F.col("ordinal").cast("bigint").alias("fragment_index"), F.col("sentence_no").alias("item_index")]
+    none = F.array().cast("array<string>")
+    d, r, m = definitions(sents), relations(sents), models(sents)
+    bare = lambda c: F.regexp_replace(c, EDGES, "")
+    at = lambda turn: (F.col("sentence_no") * 4 + turn).alias("term_index")
+    base = ["source_id", "chunk_id", F.col("ordinal").cast("bigint").alias("fragment_index")]
+    mention = d.select(*base, at(0), "label", "definition", "quote").unionByName(r.select(*base, at(1), bare("subject").alias("label"), F.lit("").alias("definition"), "quote")).unionByName(r.select(*base, at(2), bare("object").alias("label"), F.lit("").alias("definition"), "quote")).where("label <> ''")
+    first = W.partitionBy("source_id", "chunk_id", "fragment_index", F.lower("label")).orderBy("term_index")
+    terms = mention.withColumn("turn", F.row_number().over(first)).where("turn = 1").select(
+        F.lit(None).cast("bigint").alias("term_id"), "source_id", "fragment_index", "term_index", "label", none.alias("aliases"), F.lit("concept").alias("kind"), "definition", none.alias("broader_labels"), none.alias("narrower_labels"), none.alias("related_labels"), F.lit(CONFIDENCE["term"]).alias("confidence"), _proof()
+    )
+    rel = r.select("source_id", *place, bare("subject").alias("subject_label"), "predicate", bare("object").alias("object_label"), F.create_map().cast("map<string,string>").alias("qualifiers"), F.lit(CONFIDENCE["relation"]).alias("confidence"), _proof())
+    claim = lambda df, modality, c: df.select("source_id", *place, F.col("sentence").alias("statement"), modality.alias("modality"), F.lit("asserted").alias("epistemic_status"), F.lit("author").alias("attribution"), none.alias("conditions"), none.alias("exceptions"), F.lit(c).alias("confidence"), _proof())
+    axs = claim(d, F.lit("definitional"), CONFIDENCE["definition"]).unionByName(claim(r, F.when(F.col("predicate").isin(*CAUSAL), "causal").otherwise("descriptive"), CONFIDENCE["statement"]))
+    named = m.select("source_id", *place, "name", "purpose", *[none.alias(c) for c in LISTS], F.lit(CONFIDENCE["model"]).alias("confidence"), _proof())
+    asked = sents.where(F.endswith("sentence", F.lit("?"))).select("source_id", F.col("ordinal").cast("bigint").alias("fragment_index"), F.col("quote").alias("question"))
+    return Fragments(terms, rel, axs, named, asked)
+
+
 def reduced_axioms(found: DataFrame) -> DataFrame:
     """(source_id, statement_key, modality, statement, confidence, n_evidence): equal statements of a source as one."""
     keyed = found.withColumn("statement_key", fold_label("statement"))
@@ -90,11 +120,8 @@ def reduced_axioms(found: DataFrame) -> DataFrame:
 
 def contradictions(axs: DataFrame) -> DataFrame:
     """(source_id, signature, n_affirmed, n_negated, kind): statements of a source that differ by a negation only."""
-    words = F.split(fold_label("statement"), " ")
-    base = F.filter(words, lambda w: ~w.isin("no", "not", "never", "cannot", "do", "does", "did"))
-    stem = F.transform(base, lambda w: F.when((F.length(w) > 3) & w.endswith("s") & ~(w.endswith("ss") | w.endswith("is") | w.endswith("us")), F.left(w, F.length(w) - 1)).otherwise(w))
-    negated = F.exists(words, lambda w: w.isin("no", "not", "never", "cannot"))
-    rows = axs.select("source_id", F.array_join(stem, " ").alias("signature"), negated.alias("negated"), "modality")
+    sign, negated = signature(F.col("statement"))
+    rows = axs.select("source_id", sign.alias("signature"), negated.alias("negated"), "modality")
     return (
         rows.groupBy("source_id", "signature")
         .agg(F.sum((~F.col("negated")).cast("int")).alias("n_affirmed"), F.sum(F.col("negated").cast("int")).alias("n_negated"), F.when(F.max(F.col("modality") == "causal"), "causal").otherwise("empirical").alias("kind"))
@@ -148,3 +175,11 @@ def reduced_models(found: DataFrame, budget: int = 60) -> DataFrame:
     merged = keyed.groupBy("source_id", "name_key").agg(F.min("name").alias("name"), F.min_by("purpose", F.struct(-F.length("purpose"), F.col("purpose"))).alias("purpose"), F.count_distinct("chunk_id", F.sha2("quote", 256)).alias("n_evidence"))
     rank = F.row_number().over(W.partitionBy("source_id").orderBy(F.desc("n_evidence"), "name_key"))
     return merged.withColumn("rank", rank).where(F.col("rank") <= budget)
+
+
+def unpaired(terms: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(source_id, chunk_id, missing): fragments without a chunk and chunks without a fragment; empty where both pair one to one."""
+    f = terms.where("source_id is not null and chunk_id is not null").select("source_id", "chunk_id").distinct()
+    c = chunks.where("source_id is not null and chunk_id is not null").select("source_id", "chunk_id").distinct()
+    both = f.withColumn("f", F.lit(1)).join(c.withColumn("c", F.lit(1)), ["source_id", "chunk_id"], "full")
+    return both.where("f is null or c is null").select("source_id", "chunk_id", F.when(F.col("f").isNull(), "fragment").otherwise("chunk").alias("missing"))

@@ -1,9 +1,8 @@
 """Named-graph triples and declarative shape checks, as plain DataFrames.
 
 A graph is a set of rows (graph, subject, predicate, object, object_kind); each
-source is one named graph, so sources are never collapsed.  A shape is a row
-(target class, path, least, most, node kind, message) of a small constant table;
-its check is a count per subject.
+source is one named graph, so sources are never collapsed.  Shapes are rows of a
+small constant table; all of them are checked in one pass over the triples.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimspark.functions.text import stable_id
+from claimspark.operators.claims import LISTS, SEPARATOR, Ontology
 from claimspark.operators.reduction import merged_evidence
 from claimspark.runtime import cut
 
@@ -28,13 +27,16 @@ RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 SKOS = "http://www.w3.org/2004/02/skos/core#"
 PROV = "http://www.w3.org/ns/prov#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
+RDFS = "http://www.w3.org/2000/01/rdf-schema#"
+OWL = "http://www.w3.org/2002/07/owl#"
+DCTERMS = "http://purl.org/dc/terms/"
 LINKS = {"broader": SKOS + "broader", "narrower": SKOS + "narrower", "related": SKOS + "related"}
 MAPPINGS = {"exact_equivalent": SKOS + "exactMatch", "broader": SKOS + "narrowMatch", "narrower": SKOS + "broadMatch", "related_or_analogous": SKOS + "relatedMatch"}
 
 
-@F.pandas_udf(T.StringType())
-def percent(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else quote(x, safe=""))
+def percent(c: Column) -> Column:
+    """Percent-encoding of everything but letters, digits and "_.-~"."""
+    return F.replace(F.replace(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def uri(kind: str, *parts: Column | str) -> Column:
@@ -63,6 +65,70 @@ def term_quads(reduced: DataFrame, links: DataFrame, rows: DataFrame) -> DataFra
     return t.unionByName(l).unionByName(e).unionByName(d).unionByName(c).distinct()
 
 
+# --- the whole ontology ----------------------------------------------------------------------------------------------
+
+_LIST_NAMES = dict(zip(LISTS, ("applicableWhen", "assumption", "variable", "mechanismStep", "procedureStep", "prediction", "failureMode")))
+
+
+def relation_uri(predicate: Column) -> Column:
+    """Absolute predicates as they are, others under the relation namespace by their slug."""
+    slugged = F.regexp_replace(F.regexp_replace(F.lower(predicate), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
+    return F.when(F.regexp_like(predicate, F.lit("^(https?://|urn:)")), predicate).otherwise(F.concat(F.lit(BASE + "relation:"), F.when(slugged == "", "item").otherwise(F.left(slugged, F.lit(64)))))
+
+
+def _claim(c: str = "claim_id") -> Column:
+    return F.concat(F.lit(BASE + "claim:"), F.col(c))
+
+
+def _each(df: DataFrame, subject: Column, predicate: str, values: str) -> DataFrame:
+    """One triple for each string of an array column."""
+    return df.select(uri("source", "source_id").alias("graph"), subject.alias("subject"), F.lit(predicate).alias("predicate"), F.explode(values).alias("object"), F.lit("literal").alias("object_kind"))
+
+
+def ontology_quads(o: Ontology) -> DataFrame:
+    """Every claim of an ontology: concepts, reified relations with their direct triples, axioms, models, conflicts, and the chain evidence -> chunk -> source."""
+    text, node = "literal", "uri"
+    decimal = F.format_number("confidence", 4)
+    onto = uri("ontology", "source_id")
+    kind = lambda df, type_, has, *more: _rows(
+        df, _claim(), (RDF + "type", F.lit(type_), node), (DCTERMS + "identifier", F.col("claim_id"), text), (BASE + "confidence", decimal, XSD + "decimal"), *more
+    ).unionByName(_rows(df, onto, (BASE + has, _claim(), node)))
+    step = F.coalesce(*[F.when(F.col("link") == k, F.lit(v)) for k, v in LINKS.items()])
+    terms = kind(o.terms, SKOS + "Concept", "hasTerm", (SKOS + "prefLabel", F.col("label"), text), (SKOS + "definition", F.col("definition"), text), (BASE + "kind", F.col("kind"), text)).unionByName(_each(o.terms, _claim(), SKOS + "altLabel", "aliases"))
+    links = o.links.select(uri("source", "source_id").alias("graph"), _claim().alias("subject"), step.alias("predicate"), _claim("other_id").alias("object"), F.lit(node).alias("object_kind"))
+    pred = relation_uri(F.col("predicate"))
+    relations = kind(o.relations, BASE + "Relation", "hasRelation", (RDF + "type", F.lit(RDF + "Statement"), node), (RDF + "subject", _claim("subject_id"), node), (RDF + "predicate", pred, node), (RDF + "object", _claim("object_id"), node), (BASE + "predicateLabel", F.col("predicate"), text))
+    direct = o.relations.select(uri("source", "source_id").alias("graph"), _claim("subject_id").alias("subject"), pred.alias("predicate"), _claim("object_id").alias("object"), F.lit(node).alias("object_kind"))
+    names = _rows(o.relations, pred, (RDF + "type", F.lit(RDF + "Property"), node), (RDFS + "label", F.col("predicate"), text))
+    pair = o.relations.where("qualifier_key <> ''").select("source_id", "claim_id", F.explode(F.split("qualifier_key", "\u001e")).alias("q"))
+    pair = pair.withColumn("at", F.concat(_claim(), F.lit("/qualifier/"), F.left(F.sha2("q", 256), F.lit(16))))
+    qualifiers = _rows(pair, _claim(), (BASE + "qualifier", F.col("at"), node)).unionByName(_rows(pair, F.col("at"), (BASE + "qualifierKey", F.substring_index("q", "=", 1), text), (BASE + "qualifierValue", F.regexp_replace("q", "^[^=]*=", ""), text)))
+    axioms = kind(o.axioms, BASE + "Axiom", "hasAxiom", *[(BASE + n, F.col(c), text) for c, n in (("statement", "statement"), ("modality", "modality"), ("epistemic_status", "epistemicStatus"), ("attribution", "attribution"))])
+    axioms = axioms.unionByName(_each(o.axioms, _claim(), BASE + "condition", "conditions")).unionByName(_each(o.axioms, _claim(), BASE + "exception", "exceptions"))
+    models = kind(o.models, BASE + "MentalModel", "hasMentalModel", (RDFS + "label", F.col("name"), text), (BASE + "purpose", F.col("purpose"), text))
+    for c, n in _LIST_NAMES.items():
+        models = models.unionByName(_each(o.models, _claim(), BASE + n, c))
+    c = o.conflicts.withColumnRenamed("conflict_id", "claim_id")
+    conflicts = _rows(c, _claim(), (RDF + "type", F.lit(BASE + "Conflict"), node), (DCTERMS + "identifier", F.col("claim_id"), text), (BASE + "conflictKind", F.col("kind"), text), (BASE + "resolution", F.lit("unresolved"), text))
+    sides = c.select(uri("source", "source_id").alias("graph"), _claim().alias("subject"), F.lit(BASE + "conflictingClaim").alias("predicate"), F.explode("claim_ids").alias("o")).select("graph", "subject", "predicate", F.concat(F.lit(BASE + "claim:"), "o").alias("object"), F.lit(node).alias("object_kind"))
+    top = _rows(o.abstracts, onto, (RDF + "type", F.lit(OWL + "Ontology"), node), (DCTERMS + "identifier", F.col("source_id"), text), (DCTERMS + "title", F.col("source_id"), text), (DCTERMS + "abstract", F.col("abstract"), text), (PROV + "wasDerivedFrom", uri("source", "source_id"), node))
+    support = o.abstracts.select(uri("source", "source_id").alias("graph"), onto.alias("subject"), F.lit(BASE + "abstractSupport").alias("predicate"), F.explode("support_ids").alias("o")).select("graph", "subject", "predicate", F.concat(F.lit(BASE + "claim:"), "o").alias("object"), F.lit(node).alias("object_kind"))
+    asked = _rows(o.questions, onto, (BASE + "openQuestion", F.col("question"), text))
+    e = o.evidence.where("evidence_source is not null and chunk_id is not null and quote_sha256 is not null and quote is not null")
+    proof, chunk, source = uri("evidence", "evidence_source", "chunk_id", "quote_sha256"), uri("chunk", "evidence_source", "chunk_id"), uri("source", "evidence_source")
+    positive = XSD + "positiveInteger"
+    evidence = _rows(
+        e, proof, (RDF + "type", F.lit(BASE + "Evidence"), node), (RDF + "type", F.lit(PROV + "Entity"), node), (BASE + "sourceId", F.col("evidence_source"), text), (BASE + "chunkId", F.col("chunk_id"), text), (BASE + "quote", F.col("quote"), text), (BASE + "quoteSha256", F.col("quote_sha256"), text),
+        (BASE + "verified", F.lit("true"), XSD + "boolean"), (BASE + "pageStart", F.when(F.col("page_start") > 0, F.col("page_start")), positive), (BASE + "pageEnd", F.when(F.col("page_end") > 0, F.col("page_end")), positive), (PROV + "wasDerivedFrom", chunk, node),
+    )
+    chain = _rows(e, _claim(), (PROV + "wasDerivedFrom", proof, node)).unionByName(_rows(e, chunk, (RDF + "type", F.lit(PROV + "Entity"), node), (DCTERMS + "identifier", F.col("chunk_id"), text), (PROV + "wasDerivedFrom", source, node)))
+    chain = chain.unionByName(_rows(e, source, (RDF + "type", F.lit(PROV + "Entity"), node), (DCTERMS + "identifier", F.col("evidence_source"), text)))
+    every = terms
+    for part in (links, relations, direct, names, qualifiers, axioms, models, conflicts, sides, top, support, asked, evidence, chain):
+        every = every.unionByName(part)
+    return every.distinct()
+
+
 def mapping_quads(mapped: DataFrame) -> DataFrame:
     """The integration graph: one match statement for each related pair of classes."""
     step = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v)) for k, v in MAPPINGS.items()])
@@ -71,12 +137,19 @@ def mapping_quads(mapped: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Shape:
+    """What the values of one path of a class must be; None asks for nothing."""
+
     target: str
     path: str
     least: int = 0
     most: int | None = None
     node_kind: str | None = None
     target_class: str | None = None
+    min_length: int | None = None
+    max_length: int | None = None
+    low: float | None = None
+    high: float | None = None
+    value: str | None = None
 
 
 SHAPES = (
@@ -87,30 +160,63 @@ SHAPES = (
     Shape(PROV + "Entity", PROV + "value", 1, 1, "literal"),
     Shape(PROV + "Entity", PROV + "wasQuotedFrom", 1, 1, "uri"),
 )
+_GROUNDED = (SKOS + "Concept", BASE + "Relation", BASE + "Axiom", BASE + "MentalModel")
+#: What every node of ontology_quads() must be.
+ONTOLOGY_SHAPES = (
+    Shape(OWL + "Ontology", DCTERMS + "identifier", 1, 1, "literal"),
+    Shape(OWL + "Ontology", DCTERMS + "title", 1, 1, "literal"),
+    Shape(OWL + "Ontology", PROV + "wasDerivedFrom", 1, None, "uri", PROV + "Entity"),
+    *[Shape(t, DCTERMS + "identifier", 1, 1, "literal") for t in _GROUNDED],
+    *[Shape(t, BASE + "confidence", 1, 1, low=0.0, high=1.0) for t in _GROUNDED],
+    *[Shape(t, PROV + "wasDerivedFrom", 1, None, "uri", BASE + "Evidence") for t in _GROUNDED],
+    Shape(SKOS + "Concept", SKOS + "prefLabel", 1, 1, min_length=1),
+    Shape(SKOS + "Concept", SKOS + "definition", 1, 1),
+    *[Shape(SKOS + "Concept", SKOS + n, target_class=SKOS + "Concept") for n in ("broader", "narrower", "related")],
+    *[Shape(BASE + "Relation", RDF + n, 1, 1, "uri", SKOS + "Concept") for n in ("subject", "object")],
+    Shape(BASE + "Relation", RDF + "predicate", 1, 1, "uri"),
+    Shape(BASE + "Relation", RDF + "type", 2, None, "uri"),
+    Shape(BASE + "Axiom", BASE + "statement", 1, 1, min_length=1),
+    *[Shape(BASE + "Axiom", BASE + n, 1, 1) for n in ("modality", "epistemicStatus", "attribution")],
+    Shape(BASE + "MentalModel", RDFS + "label", 1, 1),
+    Shape(BASE + "MentalModel", BASE + "purpose", 1, 1),
+    *[Shape(BASE + "Evidence", BASE + n, 1, 1, min_length=1) for n in ("sourceId", "chunkId", "quote")],
+    Shape(BASE + "Evidence", BASE + "quoteSha256", 1, 1, min_length=64, max_length=64),
+    Shape(BASE + "Evidence", BASE + "verified", 1, 1, XSD + "boolean", value="true"),
+    Shape(BASE + "Evidence", PROV + "wasDerivedFrom", 1, None, "uri", PROV + "Entity"),
+    Shape(BASE + "Conflict", BASE + "conflictingClaim", 2, None, "uri"),
+    Shape(BASE + "Conflict", BASE + "resolution", 1, 1),
+)
+_SHAPE_ROW = "shape int, target string, path string, least int, most int, node_kind string, target_class string, min_length int, max_length int, low double, high double, value string"
 
 
 def violations(quads: DataFrame, shapes: tuple[Shape, ...] = SHAPES) -> DataFrame:
-    """(graph, subject, path, constraint) of every broken shape."""
-    quads = cut(quads.where(F.col("predicate").isin(sorted({RDF + "type", *(s.path for s in shapes)}))))  # read once for each shape
-    types = quads.where(F.col("predicate") == RDF + "type").select("graph", "subject", F.col("object").alias("target"))
-    paths = quads
-    out = None
-    for s in shapes:
-        focus = types.where(F.col("target") == s.target).select("graph", "subject")
-        values = paths.where(F.col("predicate") == s.path)
-        counts = focus.join(values.groupBy("graph", "subject").agg(F.count("*").alias("n"), F.sum((F.col("object_kind") != F.lit(s.node_kind or "")).cast("int")).alias("other")), ["graph", "subject"], "left").select("graph", "subject", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("other", F.lit(0)).alias("other"))
-        broken = F.when(F.col("n") < s.least, "least")
-        if s.most is not None:
-            broken = broken.when(F.col("n") > s.most, "most")
-        if s.node_kind:
-            broken = broken.when(F.col("other") > 0, "node_kind")
-        part = counts.withColumn("constraint", broken).where("constraint is not null").select("graph", "subject", F.lit(s.path).alias("path"), "constraint")
-        if s.target_class:
-            members = types.where(F.col("target") == s.target_class).select(F.col("subject").alias("object")).distinct()
-            bad = focus.join(values, ["graph", "subject"]).join(members, "object", "left_anti").select("graph", "subject", F.lit(s.path).alias("path"), F.lit("class").alias("constraint")).distinct()
-            part = part.unionByName(bad)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(graph, subject, path, constraint) of every broken shape, all shapes in one pass.
+
+    Nodes meet the shapes of their classes, then the values of the shapes' paths;
+    a class constraint looks the value's classes up in the same graph.
+    """
+    from dataclasses import astuple
+
+    spark = quads.sparkSession
+    rules = F.broadcast(spark.createDataFrame([(i, *astuple(x)) for i, x in enumerate(shapes)], _SHAPE_ROW))  # a constant table
+    known = cut(quads.where(F.col("predicate").isin(sorted({RDF + "type", *(x.path for x in shapes)}))))
+    types = known.where(F.col("predicate") == RDF + "type").select("graph", "subject", F.col("object").alias("target")).distinct()
+    focus = types.join(rules, "target")
+    values = known.select("graph", "subject", F.col("predicate").alias("path"), "object", "object_kind")
+    met = focus.join(values, ["graph", "subject", "path"], "left")
+    classed = met.where("target_class is not null and object is not null").join(types.select("graph", F.col("subject").alias("object"), F.col("target").alias("target_class")), ["graph", "object", "target_class"], "left_anti").select("graph", "subject", "path", F.lit("class").alias("constraint"))
+    size, number = F.length("object"), F.try_to_number("object", F.lit("999.9999"))
+    some = lambda bad: F.max(F.coalesce(F.col("object").isNotNull() & bad, F.lit(False)))
+    checked = met.groupBy("graph", "subject", "shape", "path", "least", "most").agg(
+        F.count("object").alias("n"),
+        some(F.col("node_kind").isNotNull() & (F.col("object_kind") != F.col("node_kind"))).alias("node_kind"),
+        some(size < F.col("min_length")).alias("min_length"),
+        some(size > F.col("max_length")).alias("max_length"),
+        some((F.col("low").isNotNull() | F.col("high").isNotNull()) & (number.isNull() | (number < F.col("low")) | (number > F.col("high")))).alias("range"),
+        some(F.col("value").isNotNull() & (F.col("object") != F.col("value"))).alias("value"),
+    )
+    broken = F.array_compact(F.array(F.when(F.col("n") < F.col("least"), "least"), F.when(F.col("n") > F.col("most"), "most"), *[F.when(F.col(c), c) for c in ("node_kind", "min_length", "max_length", "range", "value")]))
+    return checked.select("graph", "subject", "path", F.explode(broken).alias("constraint")).unionByName(classed).distinct()
 
 
 def nquads(quads: DataFrame) -> DataFrame:
@@ -140,9 +246,9 @@ def parse_nquad(line: str) -> tuple[str, str, str, str, str]:
 def _blocks(quads: DataFrame, most: int, render) -> DataFrame:
     """(graph, value): the triples of each subject in blocks of at most ``most``, rendered one by one.
 
-    The rows are sorted in ranges and streamed, so a subject of any size is
-    written in bounded memory; a subject may stand in several blocks, which both
-    formats read as one node.
+    The rows are sorted in ranges of subjects and streamed, so a subject of any
+    size is written in bounded memory; one of more triples stands in several
+    blocks, which both formats read as one node.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,7 +266,7 @@ def _blocks(quads: DataFrame, most: int, render) -> DataFrame:
             yield pd.DataFrame([(key[0], render(key[1], held))], columns=["graph", "value"])
 
     columns = ["graph", "subject", "predicate", "object", "object_kind"]
-    return quads.select(*columns).repartitionByRange("graph", "subject", "predicate", "object").sortWithinPartitions(*columns).mapInPandas(run, "graph string, value string")
+    return quads.select(*columns).repartitionByRange("graph", "subject").sortWithinPartitions(*columns).mapInPandas(run, "graph string, value string")
 
 
 def _turtle_block(subject: str, triples: list[tuple[str, str, str]]) -> str:

@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from claimspark.functions.columns import fold_label
-from claimspark.functions.text import definition_similarity, fold, name_score_udf
+from claimspark.functions.text import definitions_apart, fold, name_score_udf
 from claimspark.operators.hierarchy import forest
 from claimspark.runtime import cut
 
-LEXICAL, AMBIGUOUS, DEFINITIONS = 90.0, 78.0, 0.25
+LEXICAL, AMBIGUOUS = 90.0, 78.0
 ANALOGY = re.compile(r"\b(?:analog(?:y|ous)|metaphor|resembles|like but|compared with)\b")
 
 
@@ -51,7 +51,8 @@ def occurrences(terms: DataFrame) -> DataFrame:
     return keyed.withColumn("rep", F.sha2(F.concat_ws("\u0001", "source_id", F.array_join("names", "\u0002"), F.coalesce(fold_label("definition"), F.lit("")), F.coalesce("kind", F.lit("")), F.when(F.size("names") == 0, F.col("key")).otherwise("")), 256))
 
 
-Adjudicator = Callable[[dict, dict, float], bool]
+#: (one member, the other, score) -> whatever verdict() reads
+Adjudicator = Callable[[dict, dict, float], object]
 
 
 def similar_names(names: DataFrame, threshold: float = AMBIGUOUS) -> DataFrame:
@@ -138,7 +139,23 @@ def _components(pairs: DataFrame) -> DataFrame:
         label = cut(label.join(roots, ["source_id", "component"], "left").select("source_id", "rep", F.coalesce("root_node", "component").alias("component")))
 
 
-def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked: set[tuple[str, str]], lexical: float, adjudicator: Adjudicator | None = None) -> tuple[list[int], list[tuple[int, int, str, str, float]]]:
+def verdict(answer) -> bool:
+    """What an adjudicator says: a boolean, yes or no in words, or a mapping or object with ``merge`` or ``decision``."""
+    if isinstance(answer, dict):
+        answer = answer.get("merge", answer.get("decision"))
+    elif not isinstance(answer, (bool, str)) and answer is not None:
+        answer = getattr(answer, "merge", getattr(answer, "decision", None))
+    return answer.strip().lower() in ("merge", "same", "yes", "true") if isinstance(answer, str) else bool(answer)
+
+
+def _resolve(members: pd.DataFrame, close: dict[int, dict[int, float]], at: dict[str, list[int]], linked: set[tuple[str, str]], lexical: float, adjudicator: Adjudicator | None = None) -> tuple[list[int], list[tuple[int, int, str, str, float]]]:
+    """(the root of each member, decisions): a fold over the pairs in the order of their members.
+
+    close: member -> {later member: score}; at: name -> its members.  Pairs of one
+    name are walked, not stored, and a member is reported once for each name and
+    outcome, with the first member it met, so a name of k meanings gives no more
+    than 2k rows.  An adjudicator is asked once for each pair of names.
+    """
     root = list(range(len(members)))
     group = {i: [i] for i in root}
     names, definitions = members["names"].tolist(), members["definition"].tolist()
@@ -155,10 +172,8 @@ def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked:
         key = (a, b) if a < b else (b, a)
         if key not in memo:
             text = f"{definitions[a] or ''} {definitions[b] or ''}".casefold()
-            likeness = definition_similarity(definitions[a], definitions[b])
-            memo[key] = (
-                "hierarchy" if any((min(x, y), max(x, y)) in linked for x in names[a] for y in names[b]) else "analogy" if ANALOGY.search(text) else "definition" if likeness is not None and likeness < DEFINITIONS else ""
-            )
+            hierarchy = any((min(x, y), max(x, y)) in linked for x in names[a] for y in names[b])
+            memo[key] = "hierarchy" if hierarchy else "analogy" if ANALOGY.search(text) else "definition" if definitions_apart(definitions[a], definitions[b]) else ""
         return memo[key]
 
     def merge(ra: int, rb: int) -> None:
@@ -168,24 +183,35 @@ def _resolve(members: pd.DataFrame, pairs: list[tuple[int, int, float]], linked:
             group[low] += group.pop(high)
 
     shown = lambda i: {"names": list(names[i]), "definition": definitions[i]}
+    asked: dict[tuple, bool] = {}
+    told: set[tuple[int, str]] = set()
     decisions = []
-    for a, b, score in pairs:
-        ra, rb = find(a), find(b)
-        why = forbidden(a, b)
-        if not why and ra != rb:
-            why = next((w for x in group[ra] for y in group[rb] if (w := forbidden(x, y))), "")
-        if why:
-            decisions.append((a, b, "distinct", why, score))
-        elif score >= lexical:
-            merge(ra, rb)
-            decisions.append((a, b, "merge", "exact" if score >= 100 else "lexical", score))
-        elif adjudicator is not None:
-            same = adjudicator(shown(a), shown(b), score)
-            if same:
+    for a in range(len(members)):
+        same = {j for n in names[a] for j in at[n] if j > a}
+        for b in sorted(same | close.get(a, {}).keys()):
+            score = 100.0 if b in same else close[a][b]
+            ra, rb = find(a), find(b)
+            why = forbidden(a, b)
+            if not why and ra != rb:
+                why = next((w for x in group[ra] for y in group[rb] if (w := forbidden(x, y))), "")
+            if why:
+                found = (a, b, "distinct", why, score)
+            elif score >= lexical:
                 merge(ra, rb)
-            decisions.append((a, b, "merge" if same else "distinct", "adjudicated", score))
-        else:
-            decisions.append((a, b, "ambiguous", "lexical", score))
+                found = (a, b, "merge", "exact" if b in same else "lexical", score)
+            elif adjudicator is not None:
+                key = tuple(sorted((tuple(names[a]), tuple(names[b]))))
+                if key not in asked:
+                    asked[key] = verdict(adjudicator(shown(a), shown(b), score))
+                if asked[key]:
+                    merge(ra, rb)
+                found = (a, b, "merge" if asked[key] else "distinct", "adjudicated", score)
+            else:
+                found = (a, b, "ambiguous", "lexical", score)
+            if b not in same or (b, found[2]) not in told:
+                decisions.append(found)
+                if b in same:
+                    told.add((b, found[2]))
     return [find(i) for i in range(len(members))], decisions
 
 
@@ -219,20 +245,15 @@ def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float = AMBIG
         for i, names in enumerate(members["names"]):
             for n in names:
                 at.setdefault(n, []).append(i)
-        scores: dict[tuple[int, int], float] = {}
+        close: dict[int, dict[int, float]] = {}
         for x, y, score in pdf.loc[pdf["kind"] == "p", ["rep", "other", "score"]].itertuples(index=False):
             for i in at.get(x, ()):
                 for j in at.get(y, ()):
                     if i != j:
-                        pair = (i, j) if i < j else (j, i)
-                        scores[pair] = max(scores.get(pair, 0.0), float(score))
-        for same in at.values():
-            for k, i in enumerate(same):
-                for j in same[k + 1 :]:
-                    scores[(i, j)] = 100.0
-        found = [(i, j, score) for (i, j), score in scores.items()]
+                        later = close.setdefault(min(i, j), {})
+                        later[max(i, j)] = max(later.get(max(i, j), 0.0), float(score))
         linked = {(x, y) for x, y in pdf.loc[pdf["kind"] == "l", ["rep", "other"]].itertuples(index=False)}
-        roots, decisions = _resolve(members, sorted(found), linked, lexical, adjudicator)
+        roots, decisions = _resolve(members, close, at, linked, lexical, adjudicator)
         keys = [f"{int(f)}:{int(t)}" for f, t in zip(members["fragment_index"], members["term_index"])]
         out = [(source, "r", rep, None, keys[roots[i]], None, None) for i, rep in enumerate(members["rep"])]
         out += [(source, "d", keys[a], keys[b], d, s, score) for a, b, d, s, score in decisions]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import codecs
+import hashlib
 import io
+import mimetypes
 import posixpath
 import re
 import zipfile
@@ -40,12 +42,19 @@ def route(path: Column | str) -> Column:
     return backend
 
 
+def media_type_of(path: Column | str) -> Column:
+    """The routed media type, else that of the standard table of extensions, else application/octet-stream."""
+    ext = F.concat(F.lit("."), extension_of(path))
+    table = F.create_map(*[F.lit(x) for pair in sorted(mimetypes.types_map.items()) for x in pair])
+    return F.coalesce(route(path)["media_type"], F.try_element_at(table, ext), F.lit("application/octet-stream"))
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, title, source_id, extension, backend, media_type, content_sha256, size_bytes, content) of the files under a path."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     title = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     rows = raw.select("path", title.alias("title"), extension_of("path").alias("extension"), route("path").alias("r"), F.sha2("content", 256).alias("content_sha256"), F.col("length").alias("size_bytes"), "content")
-    return rows.select("path", "title", F.concat_ws("-", slug_udf("title"), F.substring("content_sha256", 1, 12)).alias("source_id"), "extension", "r.backend", "r.media_type", "content_sha256", "size_bytes", "content")
+    return rows.select("path", "title", F.concat_ws("-", slug_udf("title"), F.substring("content_sha256", 1, 12)).alias("source_id"), "extension", "r.backend", media_type_of("path").alias("media_type"), "content_sha256", "size_bytes", "content")
 
 
 def decode(raw: bytes) -> str:
@@ -143,32 +152,86 @@ def html_to_markdown(raw: bytes | str) -> tuple[str, str]:
     parser = _Markdown()
     parser.feed(decode(raw) if isinstance(raw, bytes) else raw)
     parser.close()
-    text = "".join(parser.out).replace("\r\n", "\n")
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text)).strip(), parser.title
-
-
-def _inside(name: str) -> str | None:
-    clean = posixpath.normpath(name.replace("\\", "/")).lstrip("/")
-    return None if clean in ("", ".", "..") or clean.startswith("../") else clean
+    return tidy("".join(parser.out)), parser.title
+
+
+def tidy(markdown: str) -> str:
+    """Lines without blanks at their ends, single empty lines between blocks, none around the text."""
+    kept: list[str] = []
+    for line in markdown.splitlines():
+        bare = line.rstrip(" \t")
+        if bare or (kept and kept[-1]):
+            kept.append(bare)
+    while kept and not kept[-1]:
+        kept.pop()
+    return "\n".join(kept).strip()
+
+
+def member_path(*parts: str) -> str | None:
+    """A path inside an archive, resolved part by part; None where it leaves the archive or names nothing."""
+    kept: list[str] = []
+    for step in "/".join(parts).replace("\\", "/").split("/"):
+        if step == "..":
+            if not kept:
+                return None
+            kept.pop()
+        elif step not in ("", "."):
+            kept.append(step)
+    return "/".join(kept) or None
+
+
+IMAGES = ("image/",)
+
+
+def _book(z: zipfile.ZipFile) -> tuple[str, dict[str, tuple[str, str]], list[str]]:
+    """(folder of the package, id -> (member, media type), ids in spine order, then the documents the spine leaves out)."""
+    container = ElementTree.fromstring(z.read("META-INF/container.xml"))
+    opf = container.find(".//{*}rootfile").get("full-path")
+    package = ElementTree.fromstring(z.read(opf))
+    base = posixpath.dirname(opf)
+    items = {i.get("id"): (member_path(base, unquote(urlsplit(i.get("href")).path)) or "", i.get("media-type") or "") for i in package.iterfind(".//{*}manifest/{*}item")}
+    order = [i.get("idref") for i in package.iterfind(".//{*}spine/{*}itemref")]
+    order += [k for k, (_, kind) in items.items() if k not in order and "html" in kind]
+    return base, items, list(dict.fromkeys(order))
+
+
+def epub_assets(raw: bytes) -> list[tuple[str, str, bytes]]:
+    """(member, asset name, content) of the images of a book; a name that is taken by other content gets a part of its hash."""
+    found: list[tuple[str, str, bytes]] = []
+    taken: dict[str, bytes] = {}
+    with zipfile.ZipFile(io.BytesIO(raw)) as z:
+        names = set(z.namelist())
+        for member, kind in _book(z)[1].values():
+            if not kind.startswith(IMAGES) or member not in names:
+                continue
+            content, name = z.read(member), posixpath.basename(member)
+            if taken.get(name, content) != content:
+                stem, dot, suffix = name.rpartition(".")
+                name = f"{stem or suffix}-{hashlib.sha256(content).hexdigest()[:8]}{dot + suffix if stem else ''}"
+            taken[name] = content
+            found.append((member, name, content))
+    return found
 
 
 def epub_chapters(raw: bytes) -> list[tuple[str, str, str]]:
-    """(href, chapter title, Markdown) in spine order, then the documents the spine leaves out; each once."""
+    """(href, chapter title, Markdown) in spine order, then the documents the spine leaves out; each once; images as assets/name."""
+    images = {member: name for member, name, _ in epub_assets(raw)}
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        names = {n for n in z.namelist() if _inside(n)}
-        container = ElementTree.fromstring(z.read("META-INF/container.xml"))
-        opf = container.find(".//{*}rootfile").get("full-path")
-        package = ElementTree.fromstring(z.read(opf))
-        base = posixpath.dirname(opf)
-        items = {i.get("id"): (posixpath.normpath(posixpath.join(base, unquote(urlsplit(i.get("href")).path))), i.get("media-type") or "") for i in package.iterfind(".//{*}manifest/{*}item")}
-        order = [i.get("idref") for i in package.iterfind(".//{*}spine/{*}itemref")]
-        order += [k for k, (_, kind) in items.items() if k not in order and "html" in kind]
+        names = set(z.namelist())
+        _, items, order = _book(z)
         out = []
-        for k in dict.fromkeys(order):
+        for k in order:
             href, kind = items.get(k, ("", ""))
             if "html" not in kind or href not in names:
                 continue
             text, title = html_to_markdown(z.read(href))
+
+            def asset(m: re.Match, href: str = href) -> str:
+                at = urlsplit(m.group(2))
+                member = None if at.scheme or not at.path else member_path(unquote(at.path)) if at.path.startswith("/") else member_path(posixpath.dirname(href), unquote(at.path))
+                return f"![{m.group(1)}](assets/{images[member]})" if member in images else m.group()
+
+            text = re.sub(r"!\[([^\]]*)\]\(([^()\s]*)\)", asset, text)
             if text:
                 if title and not re.search(r"(?m)^#{1,6} ", text):
                     text = f"## {title}\n\n{text}"
@@ -178,6 +241,17 @@ def epub_chapters(raw: bytes) -> list[tuple[str, str, str]]:
     return out
 
 
+def epub_asset_rows(files: DataFrame) -> DataFrame:
+    """(source_id, name, content, content_sha256) of the images of all books."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(s, name, content, hashlib.sha256(content).hexdigest()) for s, c in zip(pdf["source_id"], pdf["content"]) for _, name, content in epub_assets(c)]
+            yield pd.DataFrame(rows, columns=["source_id", "name", "content", "content_sha256"])
+
+    return files.where("backend = 'ebooklib'").select("source_id", "content").mapInPandas(run, "source_id string, name string, content binary, content_sha256 string").distinct()
+
+
 def convert(raw: bytes, backend: str | None) -> tuple[str | None, str | None]:
     """(Markdown, error) of one file; PDF and DOCX need an injected converter."""
     try:
@@ -215,8 +289,3 @@ def read_chunks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("token_count") > 0, F.col("token_count")).otherwise(token_count("text")).alias("token_count"), F.when(F.col("content_sha256") != "", F.col("content_sha256")).otherwise(F.sha2("text", 256)).alias("content_sha256"), "metadata", "schema_version",
     )
     return good, raw.where(~F.coalesce(sound, F.lit(False)))
-
-
-def read_ontologies(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=True)
-

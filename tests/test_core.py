@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimspark.functions import text
-from claimspark.operators import alignment, chunking, evidence_query, extraction, frame, graph, grounding, reduction, resolution
+from claimspark.operators import alignment, chunking, evidence_query, extraction, graph, grounding, reduction, resolution
 from claimspark.sources import readers, writers
 
 CHUNK = "chunk_id string, source_id string, text string"
@@ -41,7 +41,14 @@ def test_text_functions():
     assert text.slug("Über  den Wert!") == "uber-den-wert" and text.slug("???") == "item"
     assert text.stable_id("term", "A b", {"x": None}) == text.stable_id("term", "A b", {"x": None}) != text.stable_id("term", "A b", {"x": 1})
     assert text.fold("ＡＢ—Straße") == "ab strasse"
-    assert text.definition_similarity("", "x y") is None and text.definition_similarity("river edge land", "money house loans") < 0.25
+    assert not text.definitions_apart("", "x y") and text.definitions_apart("river edge land", "money house loans") and not text.definitions_apart("a river edge", "the edge of a river bank")
+    import difflib
+
+    for _ in range(200):
+        a, b = (" ".join(rng.choice(["land", "edge", "river", "bank", "money", "loan", "of"]) for _ in range(rng.randrange(6))) for _ in "ab")
+        x, y = (set(v.split()) - {"of"} for v in (a, b))
+        like = max(len(x & y) / len(x | y), 0.5 * difflib.SequenceMatcher(None, a, b).ratio()) if x and y else 1.0
+        assert text.definitions_apart(a, b) == (like < 0.25), (a, b)
     assert text.name_score("data model", "model data") == 100.0
 
 
@@ -223,20 +230,6 @@ def test_ask_claims_and_conflicts(spark):
     assert [r.ambiguous for r in evidence_query.mental_model(models, "Review-Model").collect()] == [True, True]
 
 
-def test_frame(spark):
-    reduced = spark.createDataFrame([("s", "a", "A", "d", 0.9)], "source_id string, label_key string, label string, definition string, confidence double")
-    axioms = spark.createDataFrame([("s", "k", "K is.", 0.8)], "source_id string, statement_key string, statement string, confidence double")
-    b = frame.beliefs(reduced, axioms, spark.createDataFrame([("s", "k")], "source_id string, support string"))
-    assert {r.support: r.status for r in b.collect()} == {"a": "accepted", "k": "contested"}
-    d = frame.desires(spark, "Be conscious of costs")
-    none = spark.createDataFrame([], "intention_id string, kind string, source_id string, subject string")
-    codes = {r.code for r in frame.findings(b, d, none, spark.createDataFrame([("s", "a")], "source_id string, support string")).collect()}
-    assert codes == {"ungrounded_source_belief", "stance_not_instrumental"}
-    with pytest.raises(ValueError):
-        frame.desires(spark, " ")
-    assert not frame.claims_inner_state("It does not claim consciousness") and frame.claims_inner_state("not only a tool but conscious")
-
-
 def test_files_to_chunks(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
