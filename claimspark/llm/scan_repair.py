@@ -153,6 +153,8 @@ class Lexicon:
 
 def folded(token: str) -> str:
     """Lower case, without invisible characters, widths and letters of other scripts in a Latin word."""
+    if token.isascii():
+        return token.lower()
     t = _UNSEEN.sub("", token)
     if not t.isascii():
         t = "".join(unicodedata.normalize("NFKC", c) if "！" <= c <= "ﾟ" else c for c in t)
@@ -176,6 +178,9 @@ def title_key(line: str) -> str:
     return t
 
 
+_PAUSE = regex.compile(r"[.,;:!?]\s")
+_COLUMNS = regex.compile(r"\S\s{2,}\d")
+_TABLE = regex.compile(r"\s*(?:Table|Tabelle|Tableau|Tabla)\s+\d+\.")
 _PIPES = regex.compile(r"(?m)^[ \t]*\|.*\|[ \t\r]*$")
 
 
@@ -213,9 +218,9 @@ def blocks(lines: list[str]) -> list[list[int]]:
 
 
 def _title_like(line: str) -> bool:
-    words = regex.findall(r"[^\s]+", line.strip())
+    words = line.split()
     # a title is no sentence: it neither ends nor pauses with a mark
-    if not 1 <= len(words) <= 14 or line.strip()[-1] in ".,;:!?-‐¬" or regex.search(r"[.,;:!?]\s", line):
+    if not 1 <= len(words) <= 14 or words[-1][-1] in ".,;:!?-‐¬" or _PAUSE.search(line):
         return False
     letters = [w for w in words if any(c.isalpha() for c in w)]
     if not letters:
@@ -286,7 +291,7 @@ def furniture(lines: list[str], headers: set[str]) -> set[int]:
 
 
 def _is_table(line: str) -> bool:
-    return bool(_PIPES.match(line)) or len(regex.findall(r"\S\s{2,}\d", line)) > 0 or bool(regex.match(r"^\s*(?:Table|Tabelle|Tableau|Tabla)\s+\d+\.", line))
+    return bool(_PIPES.match(line) or _COLUMNS.search(line) or _TABLE.match(line))
 
 
 def _layout(text: str, headers: set[str]) -> tuple[list[str], set[int], list[int]]:
@@ -309,17 +314,16 @@ def _broken(lines: list[str], running: list[int], k: int, words: list[tuple[int,
     return nxt, _WORD.match(lines[nxt].lstrip()) if nxt is not None else None
 
 
-def _asked(words: list[tuple[int, int, str]], j: int) -> tuple[str, str, str, str] | None:
+def _asked(words: list[tuple[int, int, str]], folds: list[str], j: int) -> tuple[str, str, str, str] | None:
     """(the token without marks, its folded form, the folded words before and after it on the line)."""
-    token = words[j][2]
-    if not any(c.isalpha() or c in "€!|" for c in token):
+    token, word = words[j][2], folds[j]
+    if token[-1] in "!|":
+        # an exclamation mark at the end is a mark
+        token = token.rstrip("!|")
+        word = folded(token)
+    if (len(word) < 2 and word != "€") or not any(c.isalpha() or c in "€!|" for c in words[j][2]):
         return None
-    # an exclamation mark at the end is a mark
-    bare = token.rstrip("!|")
-    word = folded(bare)
-    if not word or (len(word) < 2 and word != "€"):
-        return None
-    return bare, word, folded(words[j - 1][2]) if j else "", folded(words[j + 1][2]) if j + 1 < len(words) else ""
+    return token, word, folds[j - 1] if j else "", folds[j + 1] if j + 1 < len(words) else ""
 
 
 def _tail(word: str) -> tuple[str, str, str]:
@@ -337,8 +341,9 @@ def questions(text: str, headers: set[str], frequent: dict[str, int]) -> set[tup
 
     for k, i in enumerate(running):
         words = _words_of(lines[i])
+        folds = [folded(t) for _, _, t in words]
         if cut_at := _broken(lines, running, k, words):
-            lw = folded(words[-1][2])
+            lw = folds[-1]
             out.add((lw, "", ""))  # as the beginning of a compound, too
             if cut_at[1]:
                 rw = folded(cut_at[1].group())
@@ -347,7 +352,7 @@ def questions(text: str, headers: set[str], frequent: dict[str, int]) -> set[tup
                 ask(rw)
                 ask(rw, lw)
         for j in range(len(words)):
-            if not (found := _asked(words, j)):
+            if not (found := _asked(words, folds, j)):
                 continue
             bare, word, before, after = found
             ask(word, before, after)
@@ -377,11 +382,12 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
     for k, i in enumerate(running):
         line = lines[i].rstrip()
         words = _words_of(lines[i])
+        folds = [folded(t) for _, _, t in words]
         skip_last = False
         if cut_at := _broken(lines, running, k, words):
             nxt, m = cut_at
             s, e, left = words[-1]
-            lw = folded(left)
+            lw = folds[-1]
             if m and (m.group()[0].isalpha() or m.group()[0] in "€!|ſ1056"):
                 lead = len(lines[nxt]) - len(lines[nxt].lstrip())
                 rw = folded(m.group())
@@ -417,7 +423,7 @@ def inspect(text: str, headers: set[str], lexicon: Lexicon) -> tuple[list[tuple[
         first = taken.get(i, 0)
         for j in range(len(words) - skip_last):
             s = words[j][0]
-            if s < first or not (found := _asked(words, j)):
+            if s < first or not (found := _asked(words, folds, j)):
                 continue
             bare, word, before, after = found
             ligature = "ﬁ" in bare or "ﬂ" in bare
