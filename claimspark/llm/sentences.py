@@ -40,7 +40,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.runtime import cut, parallelism
+from claimspark.runtime import cut, parallelism, partitions
 
 TRAIN_ROWS, TRAIN_CHARS, EPOCHS = 2_000, 20_000, 30
 LEAST_COUNT = 5
@@ -138,15 +138,16 @@ def _before(unit: str, at: int, learned: frozenset) -> tuple[str, str]:
 
 def _places(unit: str, learned: frozenset) -> list[tuple[int, dict]]:
     """(end, properties) of every place where a sentence may end; end is just after its closing marks."""
-    thai = len(_THAI.findall(unit)) * 2 > len(_LETTER.findall(unit))
+    thai = not unit.isascii() and len(_THAI.findall(unit)) * 2 > len(_LETTER.findall(unit))
     quotes = _quoted(unit)
+    shuts_at = {e for _, e, _ in quotes}
     out: list[tuple[int, dict]] = []
     for m in _RUN.finditer(unit):
         end = m.end()
         # a mark that opens the next quotation isn't a closing one
         while end > m.start() + 1 and unit[end - 1] in "“\"'’([{":
             c = unit[end - 1]
-            shut = any(e == end - 1 for _, e, _ in quotes)
+            shut = end - 1 in shuts_at
             if c in "([{" or (c in '“"' and not shut) or (c in "'’" and end < len(unit) and unit[end : end + 1].isalpha()):
                 end -= 1
                 if unit[end - 1 : end].isspace():
@@ -157,7 +158,8 @@ def _places(unit: str, learned: frozenset) -> list[tuple[int, dict]]:
             continue
         run = unit[m.start() : end]
         closed = run[-1] not in STOPS
-        depth = sum(1 for s, e, _ in quotes if s < m.start() and e >= end)
+        begin = m.start()
+        depth = any(s < begin and e >= end for s, e, _ in quotes)
         nxt = _NEXT.match(unit, end)
         dash, opener, word = nxt.group(1).strip() != "", nxt.group(2).strip() != "", nxt.group(3)
         follow = unit[nxt.end(2) : nxt.end(2) + 1]
@@ -174,7 +176,7 @@ def _places(unit: str, learned: frozenset) -> list[tuple[int, dict]]:
                 {
                     "mark": mark,
                     "closed": closed,
-                    "deep": depth > 0,
+                    "deep": depth,
                     "before": before if mark == "dot" else "any",
                     "next": kind,
                     "space": space,
@@ -379,7 +381,7 @@ def with_abbreviations(documents: DataFrame) -> DataFrame:
     held = rows.select("doc_id", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{M}\p{N}.])([\p{L}\p{M}]{1,6})\."), F.lit(1)), F.lower))).alias("word"))
     own = held.join(cut(learned_abbreviations(documents)), "word").groupBy("doc_id").agg(F.collect_set("word").alias("learned"))  # bounded by the document's own words
     # one exchange by doc_id serves the distinct rows, the join and the spread over all cores
-    n = max(parallelism(documents.sparkSession), rows.rdd.getNumPartitions())
+    n = max(parallelism(documents.sparkSession), partitions(rows))
     return rows.repartition(n, "doc_id").distinct().join(own, "doc_id", "left").select("doc_id", "text", F.coalesce("learned", F.array().cast("array<string>")).alias("learned"))
 
 
