@@ -37,7 +37,7 @@ INVISIBLE = r"[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u2
 CYRILLIC, CYRILLIC_AS = "аеорсухіјѕһԁԛԝАВЕКМНОРСТУХІЈЅԌԚԜӀ", "aeopcyxijshdqwABEKMHOPCTYXIJSGQWI"
 GREEK, GREEK_AS = "οναιρυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovaipuABEZHIKMNOPTYX"
 ARMENIAN, ARMENIAN_AS = "ՕօսԼ", "OouL"
-LIGATURES = (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬆ", "st"))
+LIGATURES = (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬅ", "st"), ("ﬆ", "st"))
 # Half-width kana stand in the order of the code table from U+FF61; voiced marks become combining ones.
 KANA = "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン゙゚"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,15 +151,24 @@ def _quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# The twin's own tables: code points of letters of other scripts with the Latin letter each looks like, and widths and
+# ligatures as Unicode's compatibility forms give them.
+_LIKE = (
+    "0430a 0435e 043eo 0440p 0441c 0443y 0445x 0456i 0458j 0455s 04bbh 0501d 051bq 051dw 0410A 0412B 0415E 041aK 041cM 041dH 041eO 0420P 0421C 0422T 0423Y 0425X 0406I 0408J 0405S 050cG 051aQ 051cW 04c0I "
+    "03bfo 03bdv 03b1a 03b9i 03c1p 03c5u 0391A 0392B 0395E 0396Z 0397H 0399I 039aK 039cM 039dN 039fO 03a1P 03a4T 03a5Y 03a7X "
+    "0555O 0585o 057du 053cL"
+).split()
+_WIDE = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFF01, 0xFF5F), *range(0xFF61, 0xFFA0))}
+_JOINED = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFB00, 0xFB07)}
+
+
 def _plain(c: str) -> str:
-    full, half = lookalike._widths()
     out = rf"regexp_replace({c}, '[\x{{ad}}\x{{34f}}\x{{61c}}\x{{115f}}\x{{1160}}\x{{17b4}}\x{{17b5}}\x{{180b}}-\x{{180e}}\x{{200b}}-\x{{200f}}\x{{202a}}-\x{{202e}}\x{{2060}}-\x{{206f}}\x{{3164}}\x{{fe00}}-\x{{fe0f}}\x{{feff}}\x{{ffa0}}]', '', 'g')"
-    out = f"translate({out}, {_quote(full + chr(0x2010) + chr(0x2011))}, {_quote(half + '--')})"
-    for lig, letters in lookalike.LIGATURES:
-        out = f"replace({out}, '{lig}', '{letters}')"
+    out = f"translate({out}, {_quote(''.join(_WIDE) + chr(0x2010) + chr(0x2011))}, {_quote(''.join(_WIDE.values()) + '--')})"
+    for joined, letters in _JOINED.items():
+        out = f"replace({out}, '{joined}', '{letters}')"
     out = rf"trim(regexp_replace({out}, '[\s\p{{Z}}\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}]+', ' ', 'g'))"
-    look, letters = lookalike.CYRILLIC + lookalike.GREEK + lookalike.ARMENIAN, lookalike.CYRILLIC_AS + lookalike.GREEK_AS + lookalike.ARMENIAN_AS
-    return f"translate(nfc_normalize({out}), {_quote(look)}, {_quote(letters)})"
+    return f"translate(nfc_normalize({out}), {_quote(''.join(chr(int(x[:4], 16)) for x in _LIKE))}, {_quote(''.join(x[4:] for x in _LIKE))})"
 
 
 _LOOKS = f"""
