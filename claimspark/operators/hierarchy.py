@@ -32,8 +32,10 @@ from claimspark.runtime import cut, parallelism
 #: Rows that one task may contract: a quotient of at most so many rows is solved in one task.
 FRAGMENT_ROWS = 100_000
 
-_NODE = "grp string, node string, parent string, frag array<string>"
-_STATE = "grp string, node string, exit string, root string, depth bigint, frag array<string>, members array<string>"
+#: Hot groups that are passed to all tasks at most; more of them are joined.
+MOST_HOT = 100_000
+
+_STATE = "grp string, node string, exit string, root string, depth bigint, steps bigint, least string, frag array<string>, members array<string>"
 
 
 def label_links(terms: DataFrame) -> DataFrame:
@@ -51,13 +53,17 @@ def label_links(terms: DataFrame) -> DataFrame:
 
 
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Follow parents inside the partition; one row per node with its exit, root or cycle."""
-    up: dict[tuple[str, str], tuple[str | None, list[str]]] = {}
+    """Follow parents inside the partition; one row per node with its exit, root or cycle.
+
+    What is kept for a node is a few numbers; its path, where paths are asked
+    for, is put together from the fragments only when its row is written.
+    """
+    up: dict[tuple[str, str], tuple[str | None, int, str, list[str] | None]] = {}
     for pdf in batches:
-        for g, n, p, f in zip(pdf["grp"], pdf["node"], pdf["parent"], pdf["frag"]):
-            up[(g, n)] = (p, list(f))
-    # done: key -> (exit, root, depth, frag); exit None where solved, depth -1 on or below a cycle
-    done: dict[tuple[str, str], tuple[str | None, str | None, int, list[str]]] = {}
+        for g, n, p, k, least, f in zip(pdf["grp"], pdf["node"], pdf["parent"], pdf["steps"], pdf["least"], pdf["frag"]):
+            up[(g, n)] = (p, int(k), least, None if f is None else list(f))
+    # key -> (exit, root, depth, smallest label of the chain); exit None where solved, depth -1 on or below a cycle
+    done: dict[tuple[str, str], tuple[str | None, str | None, int, str]] = {}
     members: dict[tuple[str, str], list[str]] = {}
     for start in up:
         walk: list[tuple[str, str]] = []
@@ -72,42 +78,61 @@ def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = (at[0], parent)
         if walk and up[walk[-1]][0] is None and walk[-1] not in done:
             last = walk.pop()
-            done[last] = (None, last[1], 0, up[last][1])
-            at = last
+            done[last] = (None, last[1], 0, up[last][2])
         elif at in place and at not in done:
             ring = walk[place[at] :]
-            nodes = [x for k in ring for x in up[k][1]]
-            root = min(nodes)
+            root = min(up[k][2] for k in ring)
             for k in ring:
-                done[k] = (None, root, -1, [])
-            members[min(ring)] = nodes
+                done[k] = (None, root, -1, root)
+            if all(up[k][3] is not None for k in ring):
+                members[min(ring)] = [x for k in ring for x in up[k][3]]
             walk = walk[: place[at]]
         for k in reversed(walk):
-            parent, frag = up[k]
+            parent, steps, least, _ = up[k]
             above = (k[0], parent)
             if above not in done:  # the parent lives in another partition
-                done[k] = (parent, None, len(frag), frag)
+                done[k] = (parent, None, steps, least)
                 continue
-            exit_, root, depth, tail = done[above]
-            if depth == -1:
-                done[k] = (None, root, -1, [])
-            else:
-                done[k] = (exit_, root, depth + len(frag), frag + tail)
-    rows = [(g, n, e, r, d, f, members.get((g, n))) for (g, n), (e, r, d, f) in done.items()]
-    for i in range(0, len(rows), 20_000):
-        yield pd.DataFrame(rows[i : i + 20_000], columns=["grp", "node", "exit", "root", "depth", "frag", "members"])
+            exit_, root, depth, low = done[above]
+            done[k] = (None, root, -1, root) if depth == -1 else (exit_, root, depth + steps, min(least, low) if exit_ is not None else least)
+
+    def path(k: tuple[str, str]) -> list[str] | None:
+        if up[k][3] is None or done[k][2] == -1:
+            return None if up[k][3] is None else []
+        out: list[str] = []
+        while k in up:
+            out += up[k][3]
+            if up[k][0] is None:
+                break
+            k = (k[0], up[k][0])
+        return out
+
+    rows, labels = [], 0
+    for (g, n), (e, r, d, low) in done.items():
+        f = path((g, n))
+        rows.append((g, n, e, r, d, d, low, f, members.get((g, n))))
+        labels += 1 + len(f or ())
+        if labels >= 100_000:
+            yield pd.DataFrame(rows, columns=["grp", "node", "exit", "root", "depth", "steps", "least", "frag", "members"])
+            rows, labels = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["grp", "node", "exit", "root", "depth", "steps", "least", "frag", "members"])
 
 
 def _solve(nodes: DataFrame, level: int, fragment_rows: int) -> DataFrame:
-    """nodes: _NODE, where frag runs from the node to just below its parent (a root's frag is itself)."""
+    """nodes: (grp, node, parent, steps, least, frag), where frag runs from the node to just below its parent (a root's frag is itself).
+
+    steps is its length and least its smallest label; frag is null where no paths are asked for.
+    """
     spark = nodes.sparkSession
     total = nodes.count()
     parts = max(-(-total // fragment_rows), 1)
     if level == 0:
         size = nodes.groupBy("grp").agg(F.count("*").alias("n"))
-        # At most total / fragment_rows groups can be hot, so this side is bounded by the number of partitions.
-        hot = size.where(F.col("n") > fragment_rows).select("grp", F.ceil(F.col("n") / fragment_rows).alias("splits"))
-        keyed = nodes.join(F.broadcast(hot), "grp", "left").withColumn("bucket", F.when(F.col("splits").isNotNull(), F.pmod(F.xxhash64("node"), F.col("splits"))).otherwise(F.lit(0).cast("bigint")))
+        hot = cut(size.where(F.col("n") > fragment_rows).select("grp", F.ceil(F.col("n") / fragment_rows).alias("splits")))
+        # few groups are hot; should they be many, they are joined, and a large partition is split by AQE
+        few = hot.count() <= MOST_HOT
+        keyed = nodes.join(F.broadcast(hot) if few else hot, "grp", "left").withColumn("bucket", F.when(F.col("splits").isNotNull(), F.pmod(F.xxhash64("node"), F.col("splits"))).otherwise(F.lit(0).cast("bigint")))
         parts = max(parts, min(parallelism(spark), total // 2_000 + 1))
         placed = keyed.repartition(parts, "grp", "bucket")
     elif parts == 1:
@@ -116,15 +141,15 @@ def _solve(nodes: DataFrame, level: int, fragment_rows: int) -> DataFrame:
         head = lambda c: F.pmod(F.xxhash64("grp", c, F.lit(level)), F.lit(2)) == 1
         mate = F.when(F.col("parent").isNotNull() & ~head("node") & head("parent"), F.col("parent")).otherwise(F.col("node"))
         placed = nodes.withColumn("mate", mate).repartition(parts, "grp", "mate")
-    state = cut(placed.select("grp", "node", "parent", "frag").mapInPandas(_contract, _STATE))
+    state = cut(placed.select("grp", "node", "parent", "steps", "least", "frag").mapInPandas(_contract, _STATE))
     open_ = state.where(F.col("exit").isNotNull())
     if open_.isEmpty():
-        return state.drop("exit")
+        return state.drop("exit", "steps", "least")
     targets = open_.select("grp", F.col("exit").alias("node")).distinct()
     quotient = (
         state.join(targets, ["grp", "node"], "left_semi")
         # a solved target is a root of the quotient that keeps its own path
-        .select("grp", "node", F.col("exit").alias("parent"), "frag", "root", "depth")
+        .select("grp", "node", F.col("exit").alias("parent"), "steps", "least", "frag", "root", "depth")
     )
     solved = quotient.where(F.col("parent").isNull()).select("grp", F.col("node").alias("exit"), F.col("root").alias("x_root"), F.col("depth").alias("x_depth"), F.col("frag").alias("x_frag"))
     pending = quotient.where(F.col("parent").isNotNull())
@@ -132,7 +157,8 @@ def _solve(nodes: DataFrame, level: int, fragment_rows: int) -> DataFrame:
         above, rings = solved, None
     else:
         # targets that are solved already end their chains as roots of the quotient
-        nodes_q = pending.select("grp", "node", "parent", "frag").unionByName(quotient.where(F.col("parent").isNull()).select("grp", "node", "parent", F.array("node").alias("frag")))
+        own = F.when(F.col("frag").isNotNull(), F.array("node")).alias("frag")
+        nodes_q = pending.select("grp", "node", "parent", "steps", "least", "frag").unionByName(quotient.where(F.col("parent").isNull()).select("grp", "node", "parent", F.lit(1).cast("bigint").alias("steps"), F.col("node").alias("least"), own))
         deep = _solve(nodes_q, level + 1, fragment_rows)
         base = solved.select("grp", F.col("exit").alias("root"), "x_root", "x_depth", "x_frag")
         joined = deep.join(base, ["grp", "root"], "left")
@@ -161,13 +187,14 @@ def _solve(nodes: DataFrame, level: int, fragment_rows: int) -> DataFrame:
     return cut(out)
 
 
-def forest(links: DataFrame, group: str = "source_id", child: str = "child", parent: str = "parent", weight: str | None = "stated", fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
+def forest(links: DataFrame, group: str = "source_id", child: str = "child", parent: str = "parent", weight: str | None = "stated", fragment_rows: int = FRAGMENT_ROWS, paths: bool = True) -> DataFrame:
     """Full hierarchy of parent-child links.
 
     One row per node: (group, node, root, depth, path, parent, n_parents,
     cycle_members); path runs from the root to the node.  On or below a cycle depth
     is -1, path null and root the smallest node of the cycle; the cycle's
-    members stand on one of its rows.
+    members stand on one of its rows.  Without ``paths`` path and cycle_members
+    are null: a node then costs a few numbers, however deep it is.
     """
     w = F.col(weight) if weight else F.lit(1)
     clean = links.where(F.col(group).isNotNull() & F.col(child).isNotNull() & F.col(parent).isNotNull() & (F.col(child) != F.col(parent)))
@@ -181,7 +208,8 @@ def forest(links: DataFrame, group: str = "source_id", child: str = "child", par
             F.count("parent").alias("n_parents"),
         )
     )
-    solved = _solve(nodes.select("grp", "node", "parent", F.array("node").alias("frag")), 0, fragment_rows)
+    frag = F.array("node") if paths else F.lit(None).cast("array<string>")
+    solved = _solve(nodes.select("grp", "node", "parent", F.lit(1).cast("bigint").alias("steps"), F.col("node").alias("least"), frag.alias("frag")), 0, fragment_rows)
     return solved.join(nodes, ["grp", "node"]).select(
         F.col("grp").alias(group),
         "node",

@@ -135,7 +135,7 @@ def _components(pairs: DataFrame) -> DataFrame:
         hook = cut(hook)
         if hook.isEmpty():
             return label
-        roots = forest(hook, weight=None).select("source_id", F.col("node").alias("component"), "root_node")
+        roots = forest(hook, weight=None, paths=False).select("source_id", F.col("node").alias("component"), "root_node")
         label = cut(label.join(roots, ["source_id", "component"], "left").select("source_id", "rep", F.coalesce("root_node", "component").alias("component")))
 
 

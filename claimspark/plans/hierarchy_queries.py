@@ -9,12 +9,12 @@ from claimspark.operators import hierarchy
 from claimspark.runtime import load
 
 
-def _tree(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.forest(hierarchy.label_links(load(spark, d, "draft_terms")))
+def _tree(spark: SparkSession, d: str, paths: bool = True) -> DataFrame:
+    return hierarchy.forest(hierarchy.label_links(load(spark, d, "draft_terms")), paths=paths)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _tree(spark, d).select("source_id", "node", "root_node", "depth")
+    return _tree(spark, d, paths=False).select("source_id", "node", "root_node", "depth")
 
 
 def p7_paths(spark: SparkSession, d: str) -> DataFrame:

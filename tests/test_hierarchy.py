@@ -44,6 +44,8 @@ def test_random_forests(spark, fragment_rows):
             assert r.path[0] == r.root_node and r.path[-1] == r.node and len(r.path) == r.depth + 1
         else:
             assert r.path is None
+    bare = hierarchy.forest(df, fragment_rows=fragment_rows, paths=False).collect()
+    assert {(r.source_id, r.node): (r.root_node, r.depth) for r in bare} == walk(links) and all(r.path is None and r.cycle_members is None for r in bare)
     rings = {frozenset(r.cycle_members) for r in rows if r.cycle_members}
     assert rings == {frozenset({"c1", "c2", "c3"}), frozenset({"z1", "z2"})}
 
@@ -55,6 +57,31 @@ def test_chain_across_fragments(spark):
     assert depth == {f"n{i:03d}": i for i in range(n)}
 
 
+def test_deep_chain_is_linear_without_paths():
+    """One task's contraction of a chain keeps numbers, not paths."""
+    import tracemalloc
+
+    import pandas as pd
+
+    def peak(n):
+        rows = pd.DataFrame({"grp": "s", "node": [f"n{i:06d}" for i in range(n)], "parent": [None] + [f"n{i:06d}" for i in range(n - 1)], "steps": 1, "least": [f"n{i:06d}" for i in range(n)], "frag": None})
+        tracemalloc.start()
+        depths = [d for pdf in hierarchy._contract(iter([rows])) for d in pdf["depth"]]
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sorted(depths) == list(range(n))
+        return top
+
+    assert peak(20_000) < 3 * peak(10_000)
+
+
+def test_many_hot_groups_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "MOST_HOT", 0)
+    links = [(s, f"n{i:02d}", f"n{i // 2:02d}") for s in "abc" for i in range(1, 40)]
+    rows = hierarchy.forest(spark.createDataFrame([(*x, 1) for x in links], LINKS), fragment_rows=10).collect()
+    assert {(r.source_id, r.node): (r.root_node, r.depth) for r in rows} == walk(links)
+
+
 def test_nulls_ties_and_empty(spark):
     rows = [("s", "a", "p2", 1), ("s", "a", "p1", 1), ("s", "a", None, 1), ("s", None, "a", 1), (None, "x", "y", 1), ("s", "a", "a", 9), ("s", "a", "p3", 2)]
     got = {r.node: r for r in hierarchy.forest(spark.createDataFrame(rows, LINKS)).collect()}
