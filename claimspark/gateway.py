@@ -23,17 +23,22 @@ class Gateway(Protocol):
 
 
 class Scripted:
-    """Answers from queues by kind, then from a responder; an unscripted call is an error."""
+    """Answers from queues by kind, then the standing answer of a kind, then that of a name in the prompt, then a responder; an unscripted call is an error."""
 
-    def __init__(self, answers: dict[str, list] | None = None, responder: Callable[[str, str], Any] | None = None) -> None:
+    def __init__(self, answers: dict[str, list] | None = None, responder: Callable[[str, str], Any] | None = None, standing: dict[str, Any] | None = None, named: dict[str, Any] | None = None) -> None:
         self.queues = defaultdict(deque, {k: deque(v) for k, v in (answers or {}).items()})
-        self.responder = responder
+        self.standing, self.named, self.responder = standing or {}, named or {}, responder
         self.calls: list[tuple[str, str]] = []
 
     def structured(self, prompt: str, kind: str, *, model: str = "", system: str = "") -> Any:
         self.calls.append((kind, prompt))
         if self.queues[kind]:
             return self.queues[kind].popleft()
+        if kind in self.standing:
+            return self.standing[kind]
+        for name, answer in self.named.items():
+            if name in prompt:
+                return answer
         if self.responder:
             return self.responder(prompt, kind)
         raise LookupError(f"no answer is scripted for {kind}")

@@ -186,6 +186,23 @@ def compose(o: Ontology, name: str, objective: str, conflicts: DataFrame | None
     return Frame(b, d, i, intention_links(i, b, against), o.models.select("source_id", F.col("claim_id").alias("model_id")), spark.createDataFrame([tuple(row[c.split()[0]] for c in _POLICY.split(", "))], _POLICY))
 
 
+def compose_with(o: Ontology, name: str, objective: str, proposed: Callable[[dict], dict], conflicts: DataFrame | None = None) -> Frame:
+    """A frame whose policy someone else words: ``proposed`` gets the policy row and returns what it changes.
+
+    Name, objective, stance and identifier stay those of the composition.
+    """
+    f = compose(o, name, objective, conflicts)
+    row = f.policy.first().asDict()
+    change = proposed(dict(row))
+    kept = {"name", "objective", "stance", "sentience_claim"}
+    if unknown := set(change) - set(row):
+        raise ValueError(f"unknown parts of a policy: {sorted(unknown)}")
+    if lost := [k for k in kept if k in change and change[k] != row[k]]:
+        raise ValueError(f"must be preserved: {sorted(lost)}")
+    row |= {k: v for k, v in change.items() if k != "frame_id"}
+    return replace(f, policy=f.policy.sparkSession.createDataFrame([tuple(row[c.split()[0]] for c in _POLICY.split(", "))], _POLICY))
+
+
 def ledger(f: Frame) -> DataFrame:
     """(object_id, kind, origin, support) of every ascription."""
     b = f.beliefs.select(F.col("belief_id").alias("object_id"), F.lit("belief").alias("kind"), "origin", "support")

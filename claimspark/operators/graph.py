@@ -291,6 +291,47 @@ def turtle(quads: DataFrame, most: int = 1_000) -> DataFrame:
     return _blocks(quads, most, _turtle_block)
 
 
+def trig(quads: DataFrame, most: int = 1_000) -> DataFrame:
+    """(value): TriG statements, each in the braces of its graph."""
+    return turtle(quads, most).select(F.concat(F.lit("GRAPH <"), "graph", F.lit("> { "), "value", F.lit(" }")).alias("value"))
+
+
+def dataset_id(quads: DataFrame) -> str:
+    """Identifier of the set of named graphs, whatever their order."""
+    one = F.conv(F.substring(F.sha2("graph", 256), 1, 15), 16, 10).cast("bigint")
+    got = quads.select("graph").distinct().agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(one), F.lit(0)).alias("x")).first()
+    return f"dataset-{got['n']}-{got['x']:x}"
+
+
+def named_graphs(quads: DataFrame, expected: DataFrame) -> DataFrame:
+    """quads, if their graphs are exactly those of ``expected`` (graph); else an error."""
+    have = quads.select("graph").distinct()
+    apart = have.join(expected, "graph", "left_anti").unionByName(expected.select("graph").join(have, "graph", "left_anti"))
+    if not apart.isEmpty():
+        raise ValueError(f"graphs don't match, for example {apart.first()['graph']}")
+    return quads
+
+
+def derived_quads(beliefs: DataFrame, claims: DataFrame) -> DataFrame:
+    """The integration graph's statements of derived beliefs; each must rest on a claim (source_id, claim_id) and have an identifier of its own."""
+    made = beliefs.where("origin = 'derived' or status = 'synthesized'")
+    known = claims.select("source_id", F.col("claim_id").alias("support"))
+    bad = made.join(known, ["source_id", "support"], "left_anti").select("belief_id").unionByName(made.join(claims.select(F.col("claim_id").alias("belief_id")), "belief_id", "left_semi").select("belief_id"))
+    if not bad.isEmpty():
+        raise ValueError(f"derived belief without support or with a claim's identifier: {bad.first()['belief_id']}")
+    each = F.array(F.struct(F.lit(RDF + "type").alias("predicate"), F.lit(BASE + "SynthesizedClaim").alias("object"), F.lit("uri").alias("object_kind")), F.struct(F.lit(BASE + "statement").alias("predicate"), F.col("proposition").alias("object"), F.lit("literal").alias("object_kind")), F.struct(F.lit(PROV + "wasDerivedFrom").alias("predicate"), _claim("support").alias("object"), F.lit("uri").alias("object_kind")))
+    return made.select(F.lit(BASE + "integration").alias("graph"), F.concat(F.lit(BASE + "belief:"), "belief_id").alias("subject"), F.explode(each).alias("t")).select("graph", "subject", "t.*")
+
+
+def conflict_quads(united: DataFrame) -> DataFrame:
+    """The integration graph's conflicts of alignment.united_conflicts()."""
+    each = united.withColumn("m", F.explode(F.split("members", " ")))
+    node = F.concat(F.lit(BASE), F.col("conflict_id"))
+    return each.select(F.lit(BASE + "integration").alias("graph"), node.alias("subject"), F.lit(BASE + "conflictingClaim").alias("predicate"), F.concat(F.lit(BASE + "claim:"), "m").alias("object"), F.lit("uri").alias("object_kind")).unionByName(
+        united.select(F.lit(BASE + "integration").alias("graph"), node.alias("subject"), F.lit(BASE + "conflictKind").alias("predicate"), F.col("kind").alias("object"), F.lit("literal").alias("object_kind"))
+    )
+
+
 def jsonld(quads: DataFrame, most: int = 1_000) -> DataFrame:
     """(graph, value): JSON-LD node objects as JSON lines, one for each subject of a graph (or block of it)."""
     return _blocks(quads, most, _json_block)

@@ -62,3 +62,19 @@ def fully_grounded(terms: DataFrame) -> DataFrame:
     """(term_id, grounded): all evidence verified and at least one."""
     some = F.size("evidence") > 0
     return terms.select("term_id", F.coalesce(some & F.forall("evidence", lambda e: F.coalesce(e["verified"], F.lit(False))), F.lit(False)).alias("grounded")).distinct()
+
+
+class Ungrounded(ValueError):
+    """Evidence that its chunk doesn't hold."""
+
+
+def ground(evidence: DataFrame, chunks: DataFrame, strict: bool = False, loose: bool = False) -> DataFrame:
+    """evidence rows that their chunk verifies, exactly or (loose) with white space set aside; strict: any other row is an error."""
+    status = verify(evidence, chunks)
+    good = ("exact", "whitespace") if loose else ("exact",)
+    if strict:
+        bad = status.where(~F.col("status").isin(*good))
+        if not bad.isEmpty():
+            worst = bad.first()
+            raise Ungrounded(f"evidence {worst['evidence_id']}: {worst['status']}")
+    return evidence.distinct().join(status.where(F.col("status").isin(*good)).select("evidence_id"), "evidence_id", "left_semi")

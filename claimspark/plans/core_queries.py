@@ -16,6 +16,7 @@ QUESTION = "Which audit qualifies the consensus?"
 CONCEPT = "Vertical Relevance Model"
 #: A concept of the planted rows that has a neighbour and a conflict.
 CONTESTED = "Shared Trust"
+MODEL_NAME = "Review Cycle Model"
 OBJECTIVE = "Compare what the sources claim and keep their conflicts visible."
 
 
@@ -273,11 +274,14 @@ def ask_claims(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ask_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return evidence_query.ask_conflicts(evidence_index(spark, d), evidence_claims(spark, d), axiom_contradictions(spark, d), term_links(spark, d), QUESTION)
+    terms = planted.with_terms(spark, load(spark, d, "draft_terms"))
+    links = reduction.term_links(terms, reduction.reduced_terms(terms))
+    return evidence_query.ask_conflicts(evidence_query.evidence_index(terms), evidence_query.evidence_claims(terms), axiom_contradictions(spark, d), links, QUESTION)
 
 
 def mental_model(spark: SparkSession, d: str) -> DataFrame:
-    return evidence_query.mental_model(reduced_models(spark, d), CONCEPT)
+    found = extraction.models(extraction.sentences(planted.with_chunks(spark, load(spark, d, "chunks")), cap=None))
+    return evidence_query.mental_model(extraction.reduced_models(found), MODEL_NAME)
 
 
 def lookup_concept(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ from claimspark.operators.alignment import EFFECT_DOWN, EFFECT_UP, NEGATIONS, OP
 from claimspark.operators.extraction import DEFINITION, EDGES, MODEL, QUOTED_DEFINITION, RELATION
 from claimspark.operators import graph
 from claimspark.plans import planted
-from claimspark.plans.core_queries import BROKEN, CONCEPT, CONTESTED, OBJECTIVE, QUESTION
+from claimspark.plans.core_queries import BROKEN, CONCEPT, CONTESTED, MODEL_NAME, OBJECTIVE, QUESTION
 from claimspark.sources.readers import ROUTES
 
 TOKENS = r"len(regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\x0B]'))"
@@ -464,6 +464,22 @@ join (select distinct chunk_id, source_id, text from chunks where chunk_id is no
     "evidence_claims": _DR + " select distinct e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, label_key from (select label_key, unnest(evidence) e from drafts) where e.quote is not null",
     "retrieve_evidence": _DR + "," + INDEX + "," + RETRIEVED + " select * from retrieved",
     "ask_evidence": _DR + "," + INDEX + "," + RETRIEVED + " select * from retrieved order by score desc, source_id, chunk_id, quote_sha256 limit 10",
+    "ask_claims": _DR + "," + INDEX + "," + RETRIEVED + ", shown as (select * from retrieved order by score desc, source_id, chunk_id, quote_sha256 limit 10), said as (select distinct e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, label_key from (select label_key, unnest(evidence) e from drafts) where e.quote is not null) select source_id, chunk_id, quote_sha256, score, label_key from shown join said using (source_id, chunk_id, quote_sha256)",
+    "ask_conflicts": _AXP + "," + CONTRADICTIONS + "," + planted.terms_sql() + "," + DRAFTS.replace("from draft_terms", "from all_terms") + "," + INDEX + "," + RETRIEVED + """, said as (select distinct e.source_id source_id, e.chunk_id chunk_id, e.quote_sha256 quote_sha256, label_key from (select label_key, unnest(evidence) e from drafts) where e.quote is not null),
+matched as (select distinct source_id, label_key from retrieved join said using (source_id, chunk_id, quote_sha256)),
+near as (select * from matched union select l.source_id, l.other_key from links l join matched m on m.source_id = l.source_id and m.label_key = l.label_key)
+select distinct c.* from contradicting c join near using (source_id) where contains(' ' || signature || ' ', ' ' || label_key || ' ')""",
+    "mental_model": _EXP + f""", merged as (select source_id, {fold("name")} name_key, min(name) as name, arg_min(purpose, (-len(purpose), purpose)) purpose, count(distinct (chunk_id, sha256(quote))) n_evidence from models where source_id is not null group by 1, 2),
+ranked as (select *, (row_number() over (partition by source_id order by n_evidence desc, name_key))::int as rank from merged qualify rank <= 60)
+select *, count(*) over (partition by name_key) > 1 ambiguous from ranked where name_key = {fold(quoted(MODEL_NAME))}""",
+    "cross_source_conflicts": _O + "," + OPPOSED_ST.replace("from axioms group by statement", "from axiom_claims group by statement") + f""",
+sides as (select statement, min((source_id, claim_id)) a, max((source_id, claim_id)) b from axiom_claims group by statement),
+met as (
+  select kind, case when l.a[1] <> r.a[1] then [l.a[2], r.a[2]] when l.b[1] <> r.a[1] then [l.b[2], r.a[2]] when l.a[1] <> r.b[1] then [l.a[2], r.b[2]] end p
+  from opposing o join sides l on l.statement = o.left_statement join sides r on r.statement = o.right_statement
+),
+found as (select distinct kind, list_sort(p)[1] left_id, list_sort(p)[2] right_id from met where p is not null)
+select {_hash("conflict:", "left_id", "right_id")} conflict_id, kind, left_id, right_id from found""",
     "lookup_concept": _DR + f" select source_id, label_key, label, kind, definition, confidence, count(*) over () > 1 ambiguous from salient where label_key = {_KEY}",
     "trace_claim": _DR + f" select source_id, label_key, chunk_id, quote_sha256, quote from proofs where label_key = {_KEY}",
     "concept_neighbourhood": _DR + f" select source_id, label_key from links where label_key = {_KEY} or other_key = {_KEY} union select source_id, other_key from links where label_key = {_KEY} or other_key = {_KEY}",
@@ -491,6 +507,11 @@ l as (select chunk_id, text, heading_path, string_split(text, chr(10)) ls, list_
 f as (select chunk_id, text, ls, ex, list_transform(ls, lambda x: trim(x) = '' or list_contains(ex, lower(trim(regexp_replace(regexp_replace(regexp_replace(x, '^[\\s\\x0B]+|[\\s\\x0B]+$', '', 'g'), '^#{1,6}[\\s\\x0B]+', ''), '[\\s\\x0B]+', ' ', 'g'))))) ok from l)
 select chunk_id, sha256(case when len(ex) > 0 then array_to_string(ls[coalesce(list_position(ok, false), len(ls) + 1):], chr(10)) else text end) text_sha256 from f""",
     "nquad_lines": _DR + "," + QUADS + """ select '<' || subject || '> <' || predicate || '> ' || case when object_kind = 'uri' then '<' || object || '>' else '"' || replace(replace(replace(replace(replace(object, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't') || '"' || case when object_kind = 'literal' then '' else '^^<' || object_kind || '>' end end || ' <' || graph || '> .' as value from quads""",
+    "turtle_statements": _DR + "," + QUADS + """, placed as (select *, (row_number() over (partition by graph, subject order by predicate, object, object_kind) - 1) // 1000 part from quads)
+select graph, '<' || subject || '> ' || string_agg('<' || predicate || '> ' || case object_kind when 'uri' then '<' || object || '>' when 'literal' then to_json(object)::varchar else to_json(object)::varchar || '^^<' || object_kind || '>' end, ' ;' || chr(10) || '    ' order by predicate, object, object_kind) || ' .' as value from placed group by graph, subject, part""",
+    "jsonld_nodes": _DR + "," + QUADS + """, placed as (select *, (row_number() over (partition by graph, subject order by predicate, object, object_kind) - 1) // 1000 part from quads),
+lists as (select graph, subject, part, predicate, '[' || string_agg(case object_kind when 'uri' then '{"@id": ' || to_json(object)::varchar || '}' when 'literal' then '{"@value": ' || to_json(object)::varchar || '}' else '{"@value": ' || to_json(object)::varchar || ', "@type": ' || to_json(object_kind)::varchar || '}' end, ', ' order by object, object_kind) || ']' found from placed group by all)
+select graph, '{"@id": ' || to_json(subject)::varchar || ', ' || string_agg(to_json(predicate)::varchar || ': ' || found, ', ' order by predicate) || '}' as value from lists group by graph, subject, part""",
     "term_identifiers": _DR + """ select source_id, label_key, 'term:' || coalesce(nullif(rtrim(left(trim(regexp_replace(lower(regexp_replace(strip_accents(label), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), 64), '-'), ''), 'item') || '-' || left(sha256('{"label":' || to_json(label) || ',"payload":{"definition":' || to_json(definition) || ',"kind":' || coalesce(to_json(kind), 'null') || ',"label_key":' || to_json(label_key) || '}}'), 12) term_id from salient""",
     "fragment_gaps": "with f as (select distinct source_id, chunk_id from draft_terms where source_id is not null and chunk_id is not null), c as (select distinct source_id, chunk_id from chunks where source_id is not null and chunk_id is not null) select *, 'chunk' missing from (select * from f except select * from c) union all select *, 'fragment' from (select * from c except select * from f)",
     "foreign_chunks": "with " + planted.chunks_sql() + " select source_id, count(*) n_chunks from (select distinct source_id, chunk_id from all_chunks where source_id is not null) where source_id not in (select source_id from sources where source_id is not null) group by 1",

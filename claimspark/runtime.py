@@ -58,6 +58,10 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.sparkContext.defaultParallelism), 1)
 
 
+def partitions(df: DataFrame) -> int:
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan that has fewer partitions than there are cores one for each core.
 
@@ -65,8 +69,7 @@ def spread(df: DataFrame) -> DataFrame:
     splits as cores or more the frame is returned as it is, without a shuffle.
     """
     n = parallelism(df.sparkSession)
-    have = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(n) if have < n else df
+    return df.repartition(n) if partitions(df) < n else df
 
 
 _SHIPPED = "_claimspark_shipped"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import io
+import json
 import mimetypes
 import posixpath
 import re
@@ -289,3 +290,63 @@ def read_chunks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("token_count") > 0, F.col("token_count")).otherwise(token_count("text")).alias("token_count"), F.when(F.col("content_sha256") != "", F.col("content_sha256")).otherwise(F.sha2("text", 256)).alias("content_sha256"), "metadata", "schema_version",
     )
     return good, raw.where(~F.coalesce(sound, F.lit(False)))
+
+
+def coerced_chunks(rows: DataFrame, source_id: str | None = None) -> DataFrame:
+    """Rows of any chunk-like table as chunks: text from text, markdown, content or body, an id from the text where there is none, the last page that of the first."""
+    have = set(rows.columns)
+    given = [F.col(c) for c in ("text", "markdown", "content", "body") if c in have]
+    if not given:
+        raise ValueError("chunks need a text, markdown, content or body")
+    col = lambda c, kind: F.col(c).cast(kind) if c in have else F.lit(None).cast(kind)
+    page = lambda c: F.when(col(c, "int") == 0, 1).when(col(c, "int") > 0, col(c, "int"))
+    text = F.coalesce(*given)
+    made = rows.select(
+        F.coalesce(col("chunk_id", "string"), F.concat(F.lit("chunk-"), F.substring(F.sha2(text, 256), 1, 16))).alias("chunk_id"), F.coalesce(col("source_id", "string"), F.lit(source_id)).alias("source_id"), col("ordinal", "int").alias("ordinal"), text.alias("text"),
+        F.coalesce(col("heading_path", "array<string>"), F.array().cast("array<string>")).alias("heading_path"), page("page_start").alias("page_start"), F.coalesce(page("page_end"), page("page_start")).alias("page_end"),
+    )
+    return made.where("text is not null").distinct()
+
+
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, problem) of the lines of JSON Lines files that aren't chunks; a file is read in order by one task."""
+    wanted = ("chunk_id", "source_id", "ordinal", "text")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for file, content in zip(pdf["path"], pdf["content"]):
+                for n, line in enumerate(content.decode("utf-8", "replace").splitlines(), 1):
+                    if not line.strip():
+                        continue
+                    try:
+                        found = json.loads(line)
+                        missing = [w for w in wanted if found.get(w) in (None, "")] if isinstance(found, dict) else list(wanted)
+                    except ValueError as e:
+                        rows.append((file, n, f"not JSON: {e}"))
+                        continue
+                    if missing:
+                        rows.append((file, n, "missing " + ", ".join(missing)))
+            yield pd.DataFrame(rows, columns=["file", "line_no", "problem"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInPandas(run, "file string, line_no int, problem string")
+
+
+def read_canonical(spark: SparkSession, path: str) -> DataFrame:
+    """(conversion_id, source_id, canonical): files as canonical documents; JSON that is one stays, everything else is converted and wrapped."""
+    from claimspark.operators.layout import canonical_document
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for source, backend, ext, content in zip(pdf["source_id"], pdf["backend"], pdf["extension"], pdf["content"]):
+                if ext == "json":
+                    rows.append((source, source, decode(content)))
+                    continue
+                text, _ = convert(content, backend)
+                if text is not None:
+                    rows.append((source, source, json.dumps(canonical_document(text, source), ensure_ascii=False)))
+            yield pd.DataFrame(rows, columns=["conversion_id", "source_id", "canonical"])
+
+    return read_files(spark, path).select("source_id", "backend", "extension", "content").mapInPandas(run, "conversion_id string, source_id string, canonical string")

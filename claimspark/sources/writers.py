@@ -76,6 +76,38 @@ def publish(target: str | Path, fill, **facts) -> Path:
     return target
 
 
+def store(path: str | Path, value, kind: str = "json") -> Path:
+    """A small file that is whole or not there: written beside its place, flushed to the disk and renamed.
+
+    kind: json (indented), canonical (one line, sorted), jsonl, yaml (flat), text or bytes.  A file with the same content is left alone.
+    """
+    render = {
+        "json": lambda v: json.dumps(v, indent=2, sort_keys=True, ensure_ascii=False) + "\n",
+        "canonical": canonical_json,
+        "jsonl": lambda v: "".join(canonical_json(x) + "\n" for x in v),
+        "yaml": lambda v: "".join(f"{k}: {json.dumps(x, ensure_ascii=False)}\n" for k, x in v.items()),
+        "text": str,
+    }
+    raw = bytes(value) if kind == "bytes" else render[kind](value).encode()
+    path = Path(path)
+    if ".." in path.parts or path.is_symlink() or any(p.is_symlink() for p in path.parents if p.exists() and p != Path(p.anchor)):
+        raise ValueError(f"{path} leaves its folder or is a link")
+    if path.exists() and path.read_bytes() == raw:
+        return path
+    path.parent.mkdir(parents=True, exist_ok=True)
+    handle, beside = tempfile.mkstemp(dir=path.parent, prefix=f".{path.name}-")
+    try:
+        with os.fdopen(handle, "wb") as f:
+            f.write(raw)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(beside, path)
+    except BaseException:
+        os.unlink(beside)
+        raise
+    return path
+
+
 def cache_key(**parts) -> str:
     """Content address of a step: equal inputs and settings give the same key."""
     return hashlib.sha256(canonical_json(parts).encode()).hexdigest()

@@ -288,3 +288,74 @@ def test_question_anchors(spark):
 
 def test_reduction_constants():
     assert set(reduction.BUDGETS) == {"terms", "relations", "axioms", "mental_models"}
+
+
+def test_strict_grounding_and_coercion(spark, tmp_path):
+    import hashlib
+
+    from claimspark.operators import grounding
+
+    h = lambda q: hashlib.sha256(q.encode()).hexdigest()
+    chunks = spark.createDataFrame([("c", "s", "one two\nthree")], "chunk_id string, source_id string, text string")
+    rows = spark.createDataFrame([(1, "c", "two", h("two")), (2, "c", "two three", None), (3, "zz", "two", None)], "evidence_id bigint, chunk_id string, quote string, quote_sha256 string")
+    assert {r.evidence_id for r in grounding.ground(rows, chunks).collect()} == {1} and {r.evidence_id for r in grounding.ground(rows, chunks, loose=True).collect()} == {1, 2}
+    assert grounding.ground(rows.where("evidence_id < 3"), chunks, strict=True, loose=True).count() == 2
+    with pytest.raises(grounding.Ungrounded):
+        grounding.ground(rows, chunks, strict=True)
+    given = spark.createDataFrame([(None, "body text", 0, None), ("own", None, 3, None), (None, "body text", 0, None)], "chunk_id string, body string, page_start int, page_end int")
+    got = readers.coerced_chunks(given, "src").collect()
+    assert [(r.chunk_id, r.source_id, r.page_start, r.page_end, r.heading_path) for r in got] == [("chunk-" + h("body text")[:16], "src", 1, 1, [])]
+    with pytest.raises(ValueError):
+        readers.coerced_chunks(given.drop("body"))
+    (tmp_path / "c.jsonl").write_text('{"chunk_id": "a", "source_id": "s", "ordinal": 1, "text": "x"}\n\n{bad\n{"chunk_id": "b"}\n[]\n')
+    assert [(r.line_no, r.problem.split(":")[0]) for r in readers.bad_lines(spark, str(tmp_path / "c.jsonl")).orderBy("line_no").collect()] == [(3, "not JSON"), (4, "missing source_id, ordinal, text"), (5, "missing chunk_id, source_id, ordinal, text")]
+
+
+def test_canonical_files_and_small_files(spark, tmp_path):
+    from claimspark import gateway
+    from claimspark.functions import text
+    from claimspark.sources import writers
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text(planted.LAYOUT)
+    (src / "b.md").write_text("# T\n\nx")
+    (src / "c.pdf").write_bytes(b"%PDF")
+    got = {r.source_id.rsplit("-", 1)[0]: r.label for r in layout.layout_blocks(readers.read_canonical(spark, str(src))).where("block_no = 1").collect()}
+    assert got == {"a": "title", "b": "section_header"}
+    for kind, value, want in (("json", {"b": 1}, '{\n  "b": 1\n}\n'), ("canonical", {"b": 1, "a": None}, '{"a":null,"b":1}'), ("jsonl", [{"a": 1}, 2], '{"a":1}\n2\n'), ("yaml", {"a": "x"}, 'a: "x"\n'), ("text", "t", "t"), ("bytes", b"z", "z")):
+        path = writers.store(tmp_path / "d" / kind, value, kind)
+        before = path.stat().st_mtime_ns
+        assert path.read_text() == want and writers.store(path, value, kind).stat().st_mtime_ns == before
+    (tmp_path / "link").symlink_to(tmp_path / "d" / "text")
+    for bad in (tmp_path / "link", tmp_path / "d" / ".." / "x"):
+        with pytest.raises(ValueError):
+            writers.store(bad, "x", "text")
+    g = gateway.Scripted({"k": [1]}, standing={"k": 2}, named={"Ann": 3})
+    assert [g.structured("p", "k"), g.structured("p", "k"), g.structured("for Ann", "x")] == [1, 2, 3]
+    assert text.ontology_id("A b", ["y", "x"]) == text.ontology_id("A b", ["x", "y", "x"]) and text.frame_id("n", "o", ["a"]) != text.frame_id("n", "p", ["a"])
+    assert text.without_nulls({"a": None, "b": {"c": None, "d": [None]}}) == {"b": {"d": [None]}}
+
+
+def test_integration_graph(spark):
+    o = sample(spark)
+    q = graph.ontology_quads(o)
+    expected = q.select("graph").distinct()
+    assert graph.named_graphs(q, expected) is q and graph.dataset_id(q) == graph.dataset_id(q.repartition(7))
+    with pytest.raises(ValueError):
+        graph.named_graphs(q, expected.limit(1))
+    lines = [r.value for r in graph.trig(q).collect()]
+    assert lines and all(x.startswith("GRAPH <urn:claimspark:source:planted-") and x.endswith(" . }") for x in lines)
+    claim = o.axioms.first()
+    made = spark.createDataFrame([("b1", claim.source_id, "axiom", claim.claim_id, "both", "synthesized", "derived", 0.5)], "belief_id string, source_id string, kind string, support string, proposition string, status string, origin string, confidence double")
+    assert graph.derived_quads(made, o.axioms).count() == 3
+    for bad in (made.withColumn("support", F.lit("none")), made.withColumn("belief_id", F.lit(claim.claim_id))):
+        with pytest.raises(ValueError):
+            graph.derived_quads(bad, o.axioms)
+    united = alignment.united_conflicts(o.conflicts, alignment.opposed_claims(o.axioms), alignment.mappings(alignment.classes(o.terms.select("source_id", "label_key", "definition"))))
+    assert graph.conflict_quads(united).where(F.col("predicate") == graph.BASE + "conflictKind").count() == united.count()
+    f = frame.compose_with(o, "Readers", "Compare.", lambda p: {"role": "Another.", "frame_id": "x"})
+    assert f.policy.first().role == "Another." and f.policy.first().frame_id != "x"
+    for change in ({"objective": "Other."}, {"nonsense": 1}):
+        with pytest.raises(ValueError):
+            frame.compose_with(o, "Readers", "Compare.", lambda p, change=change: change)
