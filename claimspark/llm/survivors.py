@@ -318,7 +318,7 @@ def labelled(terms: DataFrame) -> DataFrame:
 def checked(terms: DataFrame) -> DataFrame:
     """Distinct rows with label_key, intact, n_quotes and the usable confidence."""
     verified = F.filter("evidence", lambda e: e["verified"] & (e["quote_sha256"] == F.sha2(e["quote"], 256)))
-    rows = terms.select("term_id", "source_id", "chunk_id", "dup_group", "label", "kind", "definition", "confidence", "extracted_at", "loaded_at", F.coalesce(F.size(F.array_distinct(F.transform(verified, lambda e: e["quote"]))), F.lit(0)).alias("n_quotes"), F.md5(F.to_json(F.struct("evidence"))).alias("evidence_id")).distinct()
+    rows = terms.select("term_id", "source_id", "chunk_id", "dup_group", "label", "kind", "confidence", "extracted_at", "loaded_at", F.coalesce(F.size(F.array_distinct(F.transform(verified, lambda e: e["quote"]))), F.lit(0)).alias("n_quotes"), F.md5(F.to_json(F.struct("evidence"))).alias("evidence_id")).distinct()
     return labelled(cut(rows))
 
 
@@ -327,13 +327,13 @@ CONFIDENCE = Bundle("confidence", "confidence", "confidence between 0 and 1 and
 EVIDENCE = Bundle("evidence", "evidence_id", "n_quotes > 0", "n_quotes")
 #: Fields that depend on those: a label has one kind, evidence one origin (a chunk with its source).
 KIND = Bundle("kind", "kind", "kind is not null and trim(kind) <> ''", "coalesce(case when confidence between 0 and 1 then confidence end, 0)", 1)
-ORIGIN = Bundle("origin", "concat_ws('|', source_id, chunk_id)", "source_id is not null and chunk_id is not null", "n_quotes", 1)
+ORIGIN = Bundle("origin", "chunk_id", "source_id is not null and chunk_id is not null", "n_quotes", 1)
 DEPENDENCIES = (Dependency("label", "kind"), Dependency("evidence", "origin"))
 
 
 def consistent_survivors(terms: DataFrame) -> DataFrame:
     """(dup_group, bundle, term_id, value): the row that supplies each bundle of every group's surviving term."""
-    rows = survivors(cut(checked(terms)), "dup_group", "term_id", [LABEL, CONFIDENCE, EVIDENCE, KIND, ORIGIN], DEPENDENCIES, newest=["extracted_at", "loaded_at"])
+    rows = survivors(cut(checked(terms).where("dup_group is not null")), "dup_group", "term_id", [LABEL, CONFIDENCE, EVIDENCE, KIND, ORIGIN], DEPENDENCIES, newest=["extracted_at", "loaded_at"])
     return rows.select(F.col("grp").alias("dup_group"), "bundle", F.col("id").alias("term_id"), "value")
 
 
