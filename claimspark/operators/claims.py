@@ -22,11 +22,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from claimspark.functions.columns import collapse, fold_label, is_blank
+from claimspark.functions.text import datalog_rule_is_safe
 from claimspark.operators.reduction import ABSTRACT_SIZE, BUDGETS, LEAST_CONFIDENCE, clustered, resolved_terms, trusted
 from claimspark.runtime import cut
 
@@ -233,56 +236,77 @@ def referenced(rows: DataFrame, label: str, names: DataFrame, to: str) -> DataFr
 # --- reduction -----------------------------------------------------------------------------------------------------------
 
 
-def build(fragments: Fragments, keyed: DataFrame | None = None, least: float = LEAST_CONFIDENCE, budgets: dict[str, int] = BUDGETS) -> Ontology:
-    """The ontology of every source; ``keyed`` is the first result of resolution.resolve(), without it equal labels are one term."""
+def terms_of(fragments: Fragments, keyed: DataFrame | None = None, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["terms"]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clustered draft rows, terms, their evidence)."""
     if keyed is None:
         keyed = fragments.terms.sparkSession.createDataFrame([], "source_id string, key string, cluster_key string")
     rows = cut(clustered(fragments.terms, keyed))
-    kept = cut(resolved_terms(fragments.terms, keyed, least, budgets["terms"]))
+    kept = cut(resolved_terms(fragments.terms, keyed, least, budget))
     alive = rows.join(kept.select("source_id", "cluster_key"), ["source_id", "cluster_key"], "left_semi")
-    terms, proof_t = _with_evidence(alive, kept.drop("n_evidence"), ["source_id", "cluster_key"], "term", ["label_key", "kind", "definition"])
-    ids = terms.select("source_id", "cluster_key", "claim_id")
-    names = cut(named_clusters(rows))
-    end = lambda c: ids.select("source_id", F.col("cluster_key").alias(f"{c}_cluster"), F.col("claim_id").alias(f"{c}_id"))
+    return rows, *_with_evidence(alive, kept.drop("n_evidence"), ["source_id", "cluster_key"], "term", ["label_key", "kind", "definition"])
+
+
+def _end(terms: DataFrame, c: str) -> DataFrame:
+    return terms.select("source_id", F.col("cluster_key").alias(f"{c}_cluster"), F.col("claim_id").alias(f"{c}_id"))
 
+
+def links_of(rows: DataFrame, terms: DataFrame, names: DataFrame) -> DataFrame:
+    """(source_id, claim_id, link, other_id): stated links between terms with their inverses."""
     none = F.array().cast("array<string>")
     sides = F.array(*[F.struct(F.lit(n).alias("link"), F.lit(i).alias("inverse"), F.coalesce(c, none).alias("labels")) for n, i, c in (("broader", "narrower", "broader_labels"), ("narrower", "broader", "narrower_labels"), ("related", "related", "related_labels"))])
     stated = rows.select("source_id", "fragment_index", F.col("cluster_key").alias("from_cluster"), F.explode(sides).alias("s")).select("source_id", "fragment_index", "from_cluster", "s.link", "s.inverse", F.explode("s.labels").alias("other")).distinct()
-    ends = referenced(stated, "other", names, "to_cluster").where("to_cluster is not null").join(end("from"), ["source_id", "from_cluster"]).join(end("to"), ["source_id", "to_cluster"]).where("from_id <> to_id")
-    links = ends.select("source_id", F.col("from_id").alias("claim_id"), "link", F.col("to_id").alias("other_id")).unionByName(ends.select("source_id", F.col("to_id").alias("claim_id"), F.col("inverse").alias("link"), F.col("from_id").alias("other_id"))).distinct()
+    ends = referenced(stated, "other", names, "to_cluster").where("to_cluster is not null").join(_end(terms, "from"), ["source_id", "from_cluster"]).join(_end(terms, "to"), ["source_id", "to_cluster"]).where("from_id <> to_id")
+    return cut(ends.select("source_id", F.col("from_id").alias("claim_id"), "link", F.col("to_id").alias("other_id")).unionByName(ends.select("source_id", F.col("to_id").alias("claim_id"), F.col("inverse").alias("link"), F.col("from_id").alias("other_id"))).distinct())
+
 
-    r, _ = quarantine(fragments.relations.where("source_id is not null").withColumn("confidence", trusted("confidence")))
+def relations_of(drafts: DataFrame, terms: DataFrame, names: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["relations"]) -> tuple[DataFrame, DataFrame]:
+    """(relations between terms, their evidence); a relation with an end that means no term, or several, is left out."""
+    r, _ = quarantine(drafts.where("source_id is not null").withColumn("confidence", trusted("confidence")))
     r = referenced(referenced(r, "subject_label", names, "subject_cluster"), "object_label", names, "object_cluster").where("subject_cluster is not null and object_cluster is not null")
-    r = cut(r.join(end("subject"), ["source_id", "subject_cluster"]).join(end("object"), ["source_id", "object_cluster"]).withColumn("predicate_key", fold_label("predicate")).withColumn("qualifier_key", qualifier_key()).where("predicate_key <> ''"))
+    r = cut(r.join(_end(terms, "subject"), ["source_id", "subject_cluster"]).join(_end(terms, "object"), ["source_id", "object_cluster"]).withColumn("predicate_key", fold_label("predicate")).withColumn("qualifier_key", qualifier_key()).where("predicate_key <> ''"))
     keys = ["source_id", "subject_id", "predicate_key", "object_id", "qualifier_key"]
     text = F.trim("predicate")
     best = r.groupBy(*keys).agg(F.max("confidence").alias("confidence"), F.min_by(text, F.struct(F.length(text), F.lower(text), text)).alias("predicate")).where(F.col("confidence") >= least)
-    relations, proof_r = _with_evidence(r, best, keys, "relation", keys[1:])
-    relations = cut(_salient(relations, "predicate", budgets["relations"]))
+    found, proof = _with_evidence(r, best, keys, "relation", keys[1:])
+    return cut(_salient(found, "predicate", budget)), proof
+
 
-    a, _ = quarantine(fragments.axioms.where("source_id is not null").withColumn("confidence", trusted("confidence")))
+def axioms_of(drafts: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["axioms"]) -> tuple[DataFrame, DataFrame]:
+    """(axioms, their evidence): equal statements under equal modality, status, attribution, conditions and exceptions as one."""
+    a, _ = quarantine(drafts.where("source_id is not null").withColumn("confidence", trusted("confidence")))
     a = a.withColumns({"statement_key": fold_label("statement"), "attribution_key": F.coalesce(fold_label("attribution"), F.lit("")), "conditions_key": _list_key("conditions"), "exceptions_key": _list_key("exceptions")}).where("statement_key <> ''")
     keys = ["source_id", "statement_key", "modality", "epistemic_status", "attribution_key", "conditions_key", "exceptions_key"]
     a = cut(a.fillna("", ["modality", "epistemic_status"]))
     order = F.struct(-F.coalesce("confidence", F.lit(-1.0)), -F.size("evidence"), F.col("statement"), F.col("fragment_index"), F.col("item_index"))
     best = a.groupBy(*keys).agg(F.max("confidence").alias("confidence"), F.min_by(F.struct("statement", "attribution", "conditions", "exceptions"), order).alias("w")).where(F.col("confidence") >= least).select(*keys, "confidence", "w.*")
-    axioms, proof_a = _with_evidence(a, best, keys, "axiom", keys[1:])
-    axioms = cut(_salient(axioms, "statement", budgets["axioms"]))
+    found, proof = _with_evidence(a, best, keys, "axiom", keys[1:])
+    return cut(_salient(found, "statement", budget)), proof
 
-    m, _ = quarantine(fragments.models.where("source_id is not null").withColumn("confidence", trusted("confidence")))
+
+def models_of(drafts: DataFrame, least: float = LEAST_CONFIDENCE, budget: int = BUDGETS["mental_models"]) -> tuple[DataFrame, DataFrame]:
+    """(mental models, their evidence): equal names as one, with the union of each list."""
+    m, _ = quarantine(drafts.where("source_id is not null").withColumn("confidence", trusted("confidence")))
     m = cut(m.withColumn("name_key", fold_label("name")).where("name_key <> ''"))
     keys = ["source_id", "name_key"]
     conf = -F.coalesce("confidence", F.lit(-1.0))
     best = m.groupBy(*keys).agg(F.max("confidence").alias("confidence"), F.min_by(F.trim("name"), F.struct(conf, F.trim("name"))).alias("name"), F.min_by(F.trim("purpose"), F.struct(conf, -F.length(F.trim("purpose")), F.trim("purpose"))).alias("purpose")).where(F.col("confidence") >= least)
     for c in LISTS:
-        best = best.join(ordered_unique(m, keys, c, ["fragment_index", "item_index"]), keys, "left").withColumn(c, F.coalesce(c, none))
-    models, proof_m = _with_evidence(m, best, keys, "model", keys[1:] + ["purpose"])
-    models = cut(_salient(models, "name", budgets["mental_models"]))
+        best = best.join(ordered_unique(m, keys, c, ["fragment_index", "item_index"]), keys, "left").withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
+    found, proof = _with_evidence(m, best, keys, "model", keys[1:] + ["purpose"])
+    return cut(_salient(found, "name", budget)), proof
+
 
+def build(fragments: Fragments, keyed: DataFrame | None = None, least: float = LEAST_CONFIDENCE, budgets: dict[str, int] = BUDGETS) -> Ontology:
+    """The ontology of every source; ``keyed`` is the first result of resolution.resolve(), without it equal labels are one term."""
+    rows, terms, proof_t = terms_of(fragments, keyed, least, budgets["terms"])
+    names = cut(named_clusters(rows))
+    relations, proof_r = relations_of(fragments.relations, terms, names, least, budgets["relations"])
+    axioms, proof_a = axioms_of(fragments.axioms, least, budgets["axioms"])
+    models, proof_m = models_of(fragments.models, least, budgets["mental_models"])
     final = terms.select("source_id", "claim_id").unionByName(relations.select("source_id", "claim_id")).unionByName(axioms.select("source_id", "claim_id")).unionByName(models.select("source_id", "claim_id"))
     evidence = cut(proof_t.unionByName(proof_r).unionByName(proof_a).unionByName(proof_m).join(final, ["source_id", "claim_id"], "left_semi"))
     asked = fragments.questions.where("source_id is not null").select("source_id", collapse("question").alias("question")).where("question <> ''").distinct()
-    return Ontology(terms, cut(links), relations, axioms, models, contradictions(axioms), evidence, abstracts(terms, axioms, models), grounded_questions(asked, evidence))
+    return Ontology(terms, links_of(rows, terms, names), relations, axioms, models, contradictions(axioms), evidence, abstracts(terms, axioms, models), grounded_questions(asked, evidence))
 
 
 def signature(statement: Column) -> tuple[Column, Column]:
@@ -327,6 +351,28 @@ def grounded_questions(asked: DataFrame, evidence: DataFrame) -> DataFrame:
     return anchored.select("source_id", "question").unionByName(short.select("source_id", "question")).distinct()
 
 
+@F.pandas_udf(T.BooleanType())
+def _safe_rule(s: pd.Series) -> pd.Series:
+    return s.map(datalog_rule_is_safe)
+
+
+def formal_problems(axioms: DataFrame) -> DataFrame:
+    """(claim_id, problem) of axioms (claim_id, formalism, formal_expression) whose expression doesn't fit their formalism.
+
+    Without a formalism there is no expression; Datalog rules are well formed and
+    range restricted; no other formalism has a checker, so none is accepted.
+    """
+    some = ~is_blank("formal_expression")
+    rules = axioms.withColumn("safe", F.when((F.col("formalism") == "datalog") & some, _safe_rule("formal_expression")))
+    problem = (
+        F.when(F.coalesce(F.col("formalism"), F.lit("none")) == "none", F.when(F.col("formal_expression").isNotNull(), "expression_without_formalism"))
+        .when(~some, "missing_expression")
+        .when(F.col("formalism") != "datalog", "unsupported_formalism")
+        .when(~F.col("safe"), "unsafe_rule")
+    )
+    return rules.select("claim_id", problem.alias("problem")).where("problem is not null")
+
+
 def broken_references(o: Ontology) -> DataFrame:
     """(source_id, claim_id, problem): what a canonical ontology must not hold."""
     ids = o.terms.select("source_id", "claim_id").unionByName(o.relations.select("source_id", "claim_id")).unionByName(o.axioms.select("source_id", "claim_id")).unionByName(o.models.select("source_id", "claim_id"))

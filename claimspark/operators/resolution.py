@@ -22,8 +22,6 @@ terms apart, whichever end states it.
 
 from __future__ import annotations
 
-import hashlib
-import json
 import re
 from collections.abc import Callable
 
@@ -33,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from claimspark.functions.columns import fold_label
-from claimspark.functions.text import definitions_apart, fold, name_score_udf
+from claimspark.functions.text import definitions_apart, name_score_udf
 from claimspark.operators.hierarchy import forest
 from claimspark.runtime import cut
 
@@ -269,17 +267,16 @@ def resolve(terms: DataFrame, lexical: float = LEXICAL, threshold: float = AMBIG
 
 
 def clusters(terms: DataFrame, keyed: DataFrame) -> DataFrame:
-    """(source_id, cluster_key, canonical_label, n_labels, n_occurrences) of resolved occurrences."""
-    occ = occurrences(terms).select("source_id", "key", F.trim("label").alias("label"), "confidence")
-    joined = keyed.join(occ, ["source_id", "key"])
+    """(source_id, cluster_key, cluster_id, canonical_label, n_labels, n_occurrences) of resolved occurrences.
+
+    cluster_id is derived from content: the exclusive or of the hashes of the
+    members' distinct (label, definition, kind), so no cluster is gathered.
+    """
+    occ = occurrences(terms).select("source_id", "key", F.trim("label").alias("label"), "definition", "kind", "confidence")
+    joined = cut(keyed.join(occ, ["source_id", "key"]))
     per = joined.where("label is not null and label <> ''").groupBy("source_id", "cluster_key", "label").agg(F.count("*").alias("n"), F.max("confidence").alias("c"))
     best = per.groupBy("source_id", "cluster_key").agg(F.min_by("label", F.struct(-F.col("n"), -F.coalesce("c", F.lit(-1.0)), F.length("label"), fold_label("label"), F.col("label"))).alias("canonical_label"), F.count("*").alias("n_labels"))
+    sign = F.sha2(F.concat_ws("\u001f", F.coalesce(fold_label("label"), F.lit("")), F.coalesce(fold_label("definition"), F.lit("")), F.coalesce("kind", F.lit(""))), 256)
+    signs = joined.select("source_id", "cluster_key", sign.alias("sign")).distinct().groupBy("source_id", "cluster_key").agg(F.bit_xor(F.conv(F.substring("sign", 1, 15), 16, 10).cast("bigint")).alias("x"))
     sizes = joined.groupBy("source_id", "cluster_key").agg(F.count("*").alias("n_occurrences"))
-    return sizes.join(best, ["source_id", "cluster_key"], "left")
-
-
-def cluster_id(members: list[dict]) -> str:
-    """Content identifier of a cluster: hash of its sorted (label, definition, kind) signatures."""
-    signs = [{"label": fold(m["label"]), "definition": fold(m.get("definition")), "kind": m.get("kind")} for m in members]
-    return "cluster-" + hashlib.sha256(json.dumps(sorted(signs, key=lambda s: json.dumps(s, sort_keys=True)), sort_keys=True).encode()).hexdigest()[:16]
-
+    return sizes.join(signs, ["source_id", "cluster_key"]).join(best, ["source_id", "cluster_key"], "left").select("source_id", "cluster_key", F.concat(F.lit("cluster-"), F.lpad(F.lower(F.hex("x")), 16, "0")).alias("cluster_id"), "canonical_label", "n_labels", "n_occurrences")

@@ -314,23 +314,25 @@ def _ontology(spark: SparkSession, d: str) -> claims.Ontology:
 
 
 def ontology_terms(spark: SparkSession, d: str) -> DataFrame:
-    return _ontology(spark, d).terms.select("source_id", "claim_id", "label_key", "label", "kind", "definition", "confidence", "n_evidence", "rank")
+    return claims.terms_of(_fragments(spark, d))[1].select("source_id", "claim_id", "label_key", "label", "kind", "definition", "confidence", "n_evidence", "rank")
 
 
 def ontology_relations(spark: SparkSession, d: str) -> DataFrame:
-    return _ontology(spark, d).relations.select("source_id", "claim_id", "subject_id", "predicate", "object_id", "confidence", "n_evidence", "rank")
+    f = _fragments(spark, d)
+    rows, terms, _ = claims.terms_of(f)
+    return claims.relations_of(f.relations, terms, cut(claims.named_clusters(rows)))[0].select("source_id", "claim_id", "subject_id", "predicate", "object_id", "confidence", "n_evidence", "rank")
 
 
 def ontology_axioms(spark: SparkSession, d: str) -> DataFrame:
-    return _ontology(spark, d).axioms.select("source_id", "claim_id", "statement", "modality", "epistemic_status", "attribution", "confidence", "n_evidence", "rank")
+    return claims.axioms_of(_fragments(spark, d).axioms)[0].select("source_id", "claim_id", "statement", "modality", "epistemic_status", "attribution", "confidence", "n_evidence", "rank")
 
 
 def ontology_models(spark: SparkSession, d: str) -> DataFrame:
-    return _ontology(spark, d).models.select("source_id", "claim_id", "name", "purpose", "confidence", "n_evidence", "rank")
+    return claims.models_of(_fragments(spark, d).models)[0].select("source_id", "claim_id", "name", "purpose", "confidence", "n_evidence", "rank")
 
 
 def ontology_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return _ontology(spark, d).conflicts.select("source_id", "conflict_id", "signature", F.array_join("claim_ids", " ").alias("claim_ids"), "kind")
+    return claims.contradictions(claims.axioms_of(_fragments(spark, d).axioms)[0]).select("source_id", "conflict_id", "signature", F.array_join("claim_ids", " ").alias("claim_ids"), "kind")
 
 
 def ontology_evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -453,6 +455,10 @@ def resolution_sample(spark: SparkSession, d: str) -> DataFrame:
     return resolution.resolve(terms)[1].select("left", "right", "decision", "stage", F.round("score", 2).alias("score"))
 
 
+def formal_sample(spark: SparkSession, d: str) -> DataFrame:
+    return claims.formal_problems(spark.createDataFrame([r[:3] for r in planted.RULES], "claim_id string, formalism string, formal_expression string"))
+
+
 def canonical_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Every conversion as a canonical document and back to blocks."""
     return layout.layout_blocks(layout.canonical_documents(load(spark, d, "converted_documents"))).select("conversion_id", "block_no", "label", "level", F.sha2("text", 256).alias("text_sha256"))
@@ -482,14 +488,14 @@ def united_conflicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cross_source_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return alignment.opposed_claims(_ontology(spark, d).axioms)
+    return alignment.opposed_claims(claims.axioms_of(_fragments(spark, d).axioms)[0])
 
 
 _ALL = (
     source_routes, document_fingerprints, duplicate_texts, chunk_token_counts, chunk_split_sizes, source_profiles, heading_counts, document_blocks, heading_groups, layout_chunks, chunk_sentences, definition_statements, relation_statements,
     named_models, extracted_terms, body_texts, known_terms, reduced_relations, reduced_models, reduced_axioms, axiom_contradictions, opposed_statements, quote_status, evidence_violations, grounded_quotes, term_grounding, evidence_counts, canonical_labels, best_definitions, best_kinds, salient_terms,
     source_abstracts, term_links, dangling_labels, similar_names, resolved_occurrences, resolution_audit, resolved_clusters, resolved_terms, resolved_links, concept_classes, class_membership, alignment_features, concept_mappings, concept_quads, quad_counts, nquad_lines, turtle_statements, jsonld_nodes, term_identifiers, mapping_quads,
-    shape_violations, ontology_terms, ontology_relations, ontology_axioms, ontology_models, ontology_conflicts, ontology_evidence, ontology_abstracts, ontology_questions, ontology_problems, ontology_quads, merged_terms, quarantined_terms, layout_sample, resolution_sample, canonical_blocks, fragment_gaps, foreign_chunks, source_metadata, cross_source_conflicts, united_conflicts, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, ask_claims, ask_conflicts, mental_model, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, intention_links, frame_findings,
+    shape_violations, ontology_terms, ontology_relations, ontology_axioms, ontology_models, ontology_conflicts, ontology_evidence, ontology_abstracts, ontology_questions, ontology_problems, ontology_quads, merged_terms, quarantined_terms, layout_sample, resolution_sample, formal_sample, canonical_blocks, fragment_gaps, foreign_chunks, source_metadata, cross_source_conflicts, united_conflicts, evidence_index, evidence_claims, retrieve_evidence, ask_evidence, ask_claims, ask_conflicts, mental_model, lookup_concept, trace_claim, concept_neighbourhood, list_conflicts, beliefs, stance_ledger, intention_links, frame_findings,
 )
 
 

@@ -513,6 +513,7 @@ select graph, '<' || subject || '> ' || string_agg('<' || predicate || '> ' || c
 lists as (select graph, subject, part, predicate, '[' || string_agg(case object_kind when 'uri' then '{"@id": ' || to_json(object)::varchar || '}' when 'literal' then '{"@value": ' || to_json(object)::varchar || '}' else '{"@value": ' || to_json(object)::varchar || ', "@type": ' || to_json(object_kind)::varchar || '}' end, ', ' order by object, object_kind) || ']' found from placed group by all)
 select graph, '{"@id": ' || to_json(subject)::varchar || ', ' || string_agg(to_json(predicate)::varchar || ': ' || found, ', ' order by predicate) || '}' as value from lists group by graph, subject, part""",
     "term_identifiers": _DR + """ select source_id, label_key, 'term:' || coalesce(nullif(rtrim(left(trim(regexp_replace(lower(regexp_replace(strip_accents(label), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), 64), '-'), ''), 'item') || '-' || left(sha256('{"label":' || to_json(label) || ',"payload":{"definition":' || to_json(definition) || ',"kind":' || coalesce(to_json(kind), 'null') || ',"label_key":' || to_json(label_key) || '}}'), 12) term_id from salient""",
+    "formal_sample": f"select * from (values {_values([(r[0], r[3]) for r in planted.RULES if r[3]])}) v(claim_id, problem)",
     "fragment_gaps": "with f as (select distinct source_id, chunk_id from draft_terms where source_id is not null and chunk_id is not null), c as (select distinct source_id, chunk_id from chunks where source_id is not null and chunk_id is not null) select *, 'chunk' missing from (select * from f except select * from c) union all select *, 'fragment' from (select * from c except select * from f)",
     "foreign_chunks": "with " + planted.chunks_sql() + " select source_id, count(*) n_chunks from (select distinct source_id, chunk_id from all_chunks where source_id is not null) where source_id not in (select source_id from sources where source_id is not null) group by 1",
     "source_metadata": "with e as (select source_id, ordinal, chunk_id, unnest(map_entries(metadata)) m from chunks where source_id is not null and metadata is not null), v as (select source_id, m.key as key, m.value as value, min((ordinal, chunk_id)) first_at from e where m.value is not null group by all) select source_id, key, string_agg(value, chr(31) order by first_at, value) as found from v group by all",

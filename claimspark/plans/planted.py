@@ -19,6 +19,11 @@ LAYOUT = """{"body": {"children": [{"$ref": "#/texts/0"}, {"$ref": "#/groups/0"}
 "texts": [{"label": "title", "text": "Report"}, {"label": "section_header", "level": 2, "text": " Scope ", "prov": [{"page_no": 0}]}, {"label": "text", "orig": "First.", "text": "", "prov": [{"page_no": 1}, {"page_no": -3}]}, {"label": "caption", "text": "Figure 1."}],
 "tables": [{"label": "table", "data": {"grid": [[{"text": "a"}, {"text": "b|c"}], [{"text": "1"}]]}, "prov": [{"page_no": 2}, {"page_no": 3}]}],
 "pictures": [{"label": "picture", "captions": [{"$ref": "#/texts/3"}], "prov": [{"page_no": 4}]}]}"""
+#: (claim_id, formalism, formal_expression, what is wrong with it)
+RULES = (
+    ("r1", "datalog", "trusted(X) :- audited(X, Y), team(Y).", None), ("r2", "datalog", "trusted(X) :- audited(Y, Y).", "unsafe_rule"), ("r3", "datalog", "open(X) :- team(X), not closed(X).", None), ("r4", "datalog", "open(X) :- not closed(X).", "unsafe_rule"),
+    ("r5", "datalog", " ", "missing_expression"), ("r6", "none", None, None), ("r7", "none", "p(a).", "expression_without_formalism"), ("r8", "fol", "forall x", "unsupported_formalism"), ("r9", "datalog", "p(a).", None), ("r10", "datalog", "p(a)", "unsafe_rule"), ("r11", None, None, None),
+)
 #: (label, definition) of terms to be resolved, one fragment each.
 NAMES = (("Bank", "land at the edge of a river"), ("bank", " "), ("BANK", "institution that lends money"), ("Shared Resource", None), ("Shared Resouce", None), ("cautious autonomy", None), ("cautious autonomy veto", None))
 #: (chunk_id, source_id, ordinal, text)

@@ -189,6 +189,15 @@ def test_adjudicator_answers(spark):
     assert len(set(roots)) > 20 and len(decisions) <= 78 and {d[1] for d in decisions} == set(range(1, 40))
 
 
+def test_cluster_ids(spark):
+    rows = [term(0, 0, "Audit", definition="d"), term(1, 0, "audit", definition="D"), term(0, 0, "Audit", source="t", definition="d"), term(1, 0, "Audits", source="t", definition="d")]
+    df = spark.createDataFrame(rows, TERM)
+    got = {r.source_id: r for r in resolution.clusters(df, resolution.resolve(df)[0]).collect()}
+    assert (got["s"].canonical_label, got["s"].n_labels, got["s"].n_occurrences) == ("Audit", 2, 2) and got["s"].cluster_id != got["t"].cluster_id
+    one = spark.createDataFrame([term(5, 3, "AUDIT", definition="d")], TERM)
+    assert resolution.clusters(one, resolution.resolve(one)[0]).first().cluster_id == got["s"].cluster_id
+
+
 def test_fold_label_widths(spark):
     from claimspark.functions.columns import fold_label
     from claimspark.functions.text import fold
