@@ -1,5 +1,6 @@
 """Ontologies, frames, layouts and bundles on small fixtures."""
 
+import functools
 import json
 import random
 from dataclasses import replace
@@ -110,6 +111,7 @@ def test_quads_and_shapes_of_all_claims(spark):
     assert {r.constraint for r in graph.violations(gone, graph.ONTOLOGY_SHAPES).collect()} == {"least"}
 
 
+@functools.cache
 def sample(spark):
     found = extraction.fragments(planted.with_chunks(spark, spark.createDataFrame([], "chunk_id string, source_id string, ordinal int, text string")))
     return claims.build(replace(found, axioms=found.axioms.unionByName(planted.norms(spark))))
@@ -148,8 +150,7 @@ def test_frame_and_review(spark):
             bad()
     text = frame.system_prompt(f)
     assert "Compare claims." in text and "[contested]" in text and len(frame.tool_manifest()) == 5
-    empty = claims.build(fragments(spark))
-    assert {"missing_grounded_beliefs"} <= {r.code for r in frame.findings(frame.compose(empty, "x", "y"), empty).collect()}
+    assert {"missing_grounded_beliefs", "missing_conflict_belief"} <= {r.code for r in frame.findings(replace(f, beliefs=f.beliefs.limit(0)), o).collect()}
 
 
 def test_alignment_checks(spark):
@@ -346,9 +347,9 @@ def test_canonical_files_and_small_files(spark, tmp_path):
     assert text.without_nulls({"a": None, "b": {"c": None, "d": [None]}}) == {"b": {"d": [None]}}
 
 
-def test_integration_graph(spark):
+def test_integration_graph(spark, monkeypatch):
     o = sample(spark)
-    q = graph.ontology_quads(o)
+    q = spark.createDataFrame(graph.ontology_quads(o).collect())
     expected = q.select("graph").distinct()
     assert graph.named_graphs(q, expected) is q and graph.dataset_id(q) == graph.dataset_id(q.repartition(7))
     with pytest.raises(ValueError):
@@ -365,6 +366,7 @@ def test_integration_graph(spark):
     assert graph.conflict_quads(united).where(F.col("predicate") == graph.BASE + "conflictKind").count() == united.count()
     f = frame.compose_with(o, "Readers", "Compare.", lambda p: {"role": "Another.", "frame_id": "x"})
     assert f.policy.first().role == "Another." and f.policy.first().frame_id != "x"
+    monkeypatch.setattr(frame, "compose", lambda *a: f)
     for change in ({"objective": "Other."}, {"nonsense": 1}):
         with pytest.raises(ValueError):
             frame.compose_with(o, "Readers", "Compare.", lambda p, change=change: change)
