@@ -217,14 +217,13 @@ def share_report(documents: DataFrame, targets: DataFrame, budget: int | None =
     """For every target: its share, the weight it was given, the actual share, tokens, uses and the highest number of repeats."""
     sizes, rows, natural, found = _setup(documents, targets, budget, tokenizer)
     used = _mixture(sizes, rows, natural, found, seed)
-    per = used.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("uses"), F.max("copy").alias("most_repeats"))
-    total = per.agg(F.sum("tokens").alias("total"))
+    per = cut(used.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("uses"), F.max("copy").alias("most_repeats")))
+    total = F.lit(per.agg(F.sum("tokens").alias("total")).first()["total"])
     plan_rows = sizes.sparkSession.createDataFrame([(r["source"], float(r["target_share"] or 0), float(found.weights.get(r["source"], 0.0)), natural[r["source"]], int(r["max_repeats"])) for r in rows], "source string, target_share double, weight double, available_tokens bigint, max_repeats int")
     zero = F.lit(0).cast("bigint")
     return (
         plan_rows.join(per, "source", "left")
-        .crossJoin(F.broadcast(total))  # one row
-        .select("source", "target_share", "weight", F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)).alias("actual_share"), F.coalesce("tokens", zero).alias("tokens"), "available_tokens", F.coalesce("uses", zero).alias("uses"), "max_repeats", F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.lit(found.exponent).alias("exponent"))
+        .select("source", "target_share", "weight", F.coalesce(F.col("tokens") / total, F.lit(0.0)).alias("actual_share"), F.coalesce("tokens", zero).alias("tokens"), "available_tokens", F.coalesce("uses", zero).alias("uses"), "max_repeats", F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.lit(found.exponent).alias("exponent"))
     )
 
 
