@@ -137,7 +137,7 @@ def intention_links(rows: DataFrame, belief_rows: DataFrame, conflicts: DataFram
     """(intention_id, kind, target): the beliefs, desires and models that an intention rests on; deliberation starts from the first twelve beliefs."""
     order = F.when(F.col("kind") == "term", 0).when(F.col("kind") == "axiom", 1).when(F.col("kind") == "relation", 2).otherwise(3)
     first = belief_rows.orderBy("source_id", order, "belief_id").limit(FIRST_BELIEFS).select("belief_id")
-    deliberate = rows.where("kind = 'deliberate'").select("intention_id").join(F.broadcast(first)).select("intention_id", F.lit("belief").alias("kind"), F.col("belief_id").alias("target"))  # one row by twelve
+    deliberate = first.select(_id("deliberate", F.lit(None).cast("string"), F.lit(OBJECTIVE_ID)).alias("intention_id"), F.lit("belief").alias("kind"), F.col("belief_id").alias("target")).join(rows.select("intention_id").distinct(), "intention_id", "left_semi")
     by = belief_rows.select("source_id", F.col("support").alias("claim_id"), "belief_id")
     models = rows.where("kind = 'apply'").select("intention_id", "source_id", F.col("subject").alias("claim_id"))
     sides = rows.where("kind = 'surface'").select("intention_id", "source_id", F.col("subject").alias("conflict_id")).join(conflicts.select("source_id", "conflict_id", F.explode("claim_ids").alias("claim_id")), ["source_id", "conflict_id"])
@@ -230,7 +230,8 @@ def findings(f: Frame, o: Ontology, conflicts: DataFrame | None = None, canonica
     against = o.conflicts if conflicts is None else conflicts
     claims = cut(o.terms.select("source_id", "claim_id").unionByName(o.relations.select("source_id", "claim_id")).unionByName(o.axioms.select("source_id", "claim_id")).unionByName(o.models.select("source_id", "claim_id")))
     b, d, i, links = cut(f.beliefs), cut(f.desires), cut(f.intentions), cut(f.links)
-    frame_id = f.policy.select("frame_id")
+    policy = f.policy.first()
+    frame_id = F.lit(policy["frame_id"]).alias("frame_id")
     out = spark.createDataFrame([], _FINDING)
 
     def add(rows: DataFrame, code: str, key: str, repairable: bool) -> None:
@@ -238,11 +239,12 @@ def findings(f: Frame, o: Ontology, conflicts: DataFrame | None = None, canonica
         out = out.unionByName(rows.select(F.lit(code).alias("code"), F.lit("error").alias("severity"), F.col(key).alias("object_id"), F.lit(repairable).alias("repairable")))
 
     def when_empty(rows: DataFrame, code: str, repairable: bool = False) -> None:
-        add(rows.limit(1).agg(F.count("*").alias("n")).where("n = 0").join(F.broadcast(frame_id)), code, "frame_id", repairable)  # one row by one
+        add(rows.limit(1).agg(F.count("*").alias("n")).where("n = 0").select(frame_id), code, "frame_id", repairable)
 
     add(f.policy.where("objective is null or trim(objective) = ''"), "objective_missing", "frame_id", False)
     objective = d.where("origin = 'operator_objective'").agg(F.count("*").alias("n"), F.max("goal").alias("goal"))
-    add(f.policy.join(F.broadcast(objective)).where("n <> 1 or trim(goal) <> trim(objective)"), "operator_objective_invalid", "frame_id", False)
+    stated = F.trim(F.lit(policy["objective"] or ""))
+    add(objective.where((F.col("n") != 1) | (F.trim("goal") != stated)).select(frame_id), "operator_objective_invalid", "frame_id", False)
     parents = d.where("origin = 'operator_objective'").select(F.col("desire_id").alias("p"))
     add(d.where("origin = 'synthesized_subgoal'").join(parents, F.col("parent") == F.col("p"), "left_anti"), "unlinked_synthesized_subgoal", "desire_id", False)
     add(d.where("origin <> 'synthesized_subgoal' and parent is not null"), "invalid_desire_parentage", "desire_id", False)
@@ -285,7 +287,7 @@ def findings(f: Frame, o: Ontology, conflicts: DataFrame | None = None, canonica
         every = None
         for part in PARTS:
             mine, theirs = getattr(f, part), getattr(canonical, part).select(*getattr(f, part).columns)
-            apart = mine.exceptAll(theirs).select(F.lit(1).alias("x")).unionByName(theirs.exceptAll(mine).select(F.lit(1).alias("x"))).limit(1).join(F.broadcast(frame_id))  # at most one row
+            apart = mine.exceptAll(theirs).select(F.lit(1).alias("x")).unionByName(theirs.exceptAll(mine).select(F.lit(1).alias("x"))).limit(1).select(frame_id)
             add(apart, f"noncanonical_{part}" if part != "models" else "noncanonical_adopted_mental_models", "frame_id", True)
             every = apart if every is None else every.unionByName(apart)
         add(every.select("frame_id").distinct(), "noncanonical_frame_semantics", "frame_id", True)
@@ -294,9 +296,7 @@ def findings(f: Frame, o: Ontology, conflicts: DataFrame | None = None, canonica
 
 def repair(f: Frame, canonical: Frame) -> Frame:
     """The canonical composition under the frame's own identifier."""
-    ident = f.policy.select(F.col("frame_id").alias("own"))
-    policy = canonical.policy.join(F.broadcast(ident)).withColumn("frame_id", F.col("own")).drop("own")  # one row by one
-    return replace(canonical, policy=policy)
+    return replace(canonical, policy=canonical.policy.withColumn("frame_id", F.lit(f.policy.first()["frame_id"])))
 
 
 def review(f: Frame, o: Ontology, conflicts: DataFrame | None = None, max_repairs: int = 1, critic: Callable[[Frame], tuple[bool, list[tuple[str, str, str, bool]]]] | None = None) -> tuple[Frame, DataFrame, bool]:
