@@ -121,6 +121,21 @@ def test_similar_names_are_complete(spark):
         assert {(r.left, r.right) for r in resolution.similar_names(df, threshold).collect()} == brute and brute
 
 
+def test_similar_names_of_any_letters(spark):
+    # low thresholds, more letters than codes, names longer than a word of the machine, one letter many times, several sources
+    rng = random.Random(4)
+    words = ["shared", "model", "a", "ab", "été", "模型", "a" * 14, "x" * 40, "y" * 30 + "z" * 40, *(chr(0x4E00 + k) for k in range(300))]
+    rows = {(rng.choice("st"), " ".join(rng.choice(words[: rng.choice((5, 9, 309))]) for _ in range(rng.randrange(1, 4)))) for _ in range(160)}
+    df = spark.createDataFrame(sorted(rows), "source_id string, name string")
+    for threshold in (78.0, 60.0):
+        brute = {(s, a, b): text.name_score(a, b) for s, a in rows for t, b in rows if s == t and a < b and text.name_score(a, b) >= threshold}
+        got = resolution.similar_names(df, threshold).collect()
+        assert {(r.source_id, r.left, r.right): r.score for r in got} == brute and len(got) == len(brute)
+        half = sorted(rows)[::2], sorted(rows)[1::2]
+        between = {(s, min(a, b), max(a, b)) for s, a in half[0] for t, b in half[1] if s == t and text.name_score(a, b) >= threshold}
+        assert {x[:3] for x in text.close_names(*half, threshold)} == between and between
+
+
 def test_resolution_guards(spark):
     rows = [
         term(0, "Bank", definition="land at the edge of a river"), term(1, "bank", definition=" "), term(2, "BANK", definition="institution that lends money"),
