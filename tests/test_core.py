@@ -163,6 +163,42 @@ def test_resolution_ambiguous(spark):
     assert ("merge", "adjudicated") in {(r.decision, r.stage) for r in decisions.collect()}
 
 
+def test_resolution_in_parts(spark):
+    # clusters and decisions of the components without ambiguous pairs are those of one fold over all pairs
+    rng = random.Random(8)
+    words, said = ["shared", "resource", "model", "trust", "audit", "cycle", "ledger"], ["land at the edge of a river", "institution that lends money", "a bank of a river", "money of a river bank", None, "see", "it resembles a bank", "lends money to the edge"]
+    rows = []
+    for i in range(90):
+        name = " ".join(rng.choice(words) for _ in range(rng.randrange(2, 4)))
+        at = rng.randrange(len(name))
+        name = name[:at] + rng.choice(["", "x", "xy", name[at]]) + name[at + 1 :]
+        rows.append(term(i, name, aliases=[rows[rng.randrange(i)][5] if i and rng.random() < 0.2 else name.upper()], definition=rng.choice(said), broader=[r[5] for r in rng.sample(rows, min(i, 6))]))
+    df = spark.createDataFrame(rows, TERM)
+    keyed, decisions = resolution.resolve(df)
+    occ = resolution.occurrences(df)
+    reps = sorted(occ.groupBy("rep").agg(F.min("ord").alias("ord"), F.first("names").alias("names"), F.min("definition").alias("definition")).collect(), key=lambda r: r.ord)
+    key = [f"{r.ord[0]}:{r.ord[1]}" for r in reps]
+    at, close = {}, {}
+    for i, r in enumerate(reps):
+        for n in r.names:
+            at.setdefault(n, []).append(i)
+    for j in range(len(reps)):
+        for i in range(j):
+            score = max(text.name_score(x, y) for x in reps[i].names for y in reps[j].names)
+            if score >= 78 and not set(reps[i].names) & set(reps[j].names):
+                close.setdefault(i, {})[j] = score
+    linked = {(r.x, r.y) for r in resolution.linked_names(df).collect()}
+    roots, expected = resolution._resolve({"names": [r.names for r in reps], "definition": [r.definition for r in reps]}, close, at, linked, 90.0)
+    got = [tuple(r)[1:] for r in decisions.collect()]
+    assert sorted(got) == sorted((key[a], key[b], *rest) for a, b, *rest in expected) and {(r[2], r[3]) for r in got} >= {("ambiguous", "lexical"), ("distinct", "definition"), ("distinct", "analogy"), ("distinct", "hierarchy"), ("merge", "lexical")}
+    of = {r.rep: key[roots[i]] for i, r in enumerate(reps)}
+    assert {r.key: r.cluster_key for r in keyed.collect()} == {r.key: of[r.rep] for r in occ.collect()}
+    # a guard between other members of the clusters stands in the way only once these have merged
+    members = {"1:0": (["a"], None), "2:0": (["b"], None), "3:0": (["c"], None), "4:0": (["d"], None)}
+    assert resolution._standing([("1:0", "2:0"), ("2:0", "3:0")], members, [("1:0", "4:0")], {("b", "d")}) == {("1:0", "2:0"): "", ("2:0", "3:0"): ""}
+    assert resolution._standing([("1:0", "3:0"), ("3:0", "4:0")], members, [("1:0", "2:0")], {("b", "c")}) == {("1:0", "3:0"): "hierarchy", ("3:0", "4:0"): ""}
+
+
 def test_reduction(spark):
     rows = [term(0, "A-b", confidence=0.9, definition="longer text"), term(1, "a b", confidence=0.8, definition="x", kind="role"), term(2, "a b", confidence=7.0), term(3, "weak", confidence=0.2), term(4, "unproven", verified=False), term(5, None), term(6, "other", broader=["A b", "other", "gone"])]
     df = spark.createDataFrame(rows, TERM)
