@@ -230,6 +230,19 @@ def test_alignment(spark):
     assert kinds[frozenset({"audit"})] == "exact_equivalent" and kinds[frozenset({"audit", "formal audit"})] in ("broader", "narrower")
 
 
+def test_alignment_candidates_are_complete(spark):
+    rng = random.Random(6)
+    labels = sorted({" ".join(rng.choice("abcdefghijklm"[: rng.choice((4, 13))]) for _ in range(rng.choice((1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 11, 14)))) for _ in range(220)})
+    cls = alignment.classes(spark.createDataFrame([("s", x, "d") for x in labels], "source_id string, label_key string, definition string"))
+    of = {r.class_id: r.label_key for r in cls.collect()}
+    got = [tuple(sorted((of[r.left_id], of[r.right_id]))) for r in alignment.candidate_pairs(cls).collect()]
+    near = {(x, y) for x in labels for y in labels if x < y and len(set(x.split()) & set(y.split())) >= 0.66 * len(set(x.split()) | set(y.split()))}
+    within = {(x, y) for x in labels for y in labels if x < y and (f" {x} " in f" {y} " or f" {y} " in f" {x} ")}
+    assert len(set(got)) == len(got) and near | within <= set(got) and len(near) > 50
+    # short labels give no pair that no rule could relate
+    assert all(len(x.split()) > 8 or len(y.split()) > 8 for x, y in set(got) - near - within)
+
+
 def test_alignment_by_alias(spark):
     rows = [
         term(0, "Ledger", source="s", aliases=["Account Book"], definition="a record of payments"), term(1, "account book", source="t", definition="a record of payments"),
