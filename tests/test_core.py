@@ -243,6 +243,18 @@ def test_alignment_candidates_are_complete(spark):
     assert all(len(x.split()) > 8 or len(y.split()) > 8 for x, y in set(got) - near - within)
 
 
+def test_texts_compared_only_where_read(spark, monkeypatch):
+    seen = []
+    real = alignment._ratio
+    monkeypatch.setattr(alignment, "_ratio", lambda a, b: seen.append((a, b)) or real(a, b))
+    rows = [("s", "audit of records", "a check of records"), ("t", "records of audit", "a tally of all records"), ("u", "audit", "one thing or another"), ("v", "audit", "one thing or two")]
+    df = spark.createDataFrame(rows, "source_id string, label_key string, definition string")
+    mapped = alignment.mappings(alignment.classes(df)).collect()
+    assert {(frozenset((r.left_label, r.right_label)), r.kind) for r in mapped} >= {(frozenset(("audit of records", "records of audit")), "related_or_analogous"), (frozenset(("audit",)), "exact_equivalent")}
+    f = alignment.features(alignment.classes(df)).withColumn("a", seen[0][0])
+    assert {r.equal_label or r.contains or r.contained for r in f.where("a is not null").collect()} == {True} and f.where("a is null").count() == 1
+
+
 def test_alignment_by_alias(spark):
     rows = [
         term(0, "Ledger", source="s", aliases=["Account Book"], definition="a record of payments"), term(1, "account book", source="t", definition="a record of payments"),
