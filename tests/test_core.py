@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 import zipfile
 
 import pytest
@@ -272,6 +273,40 @@ def test_opposed_statements(spark):
     assert got[("Regular audits harm data quality", "Regular audits improve data quality")] == "causal" and len(got) == 3
 
 
+def test_opposed_statements_all_found(spark):
+    """Every pair that a comparison of all with all finds, whichever way it is opposed."""
+    rng = random.Random(5)
+    nouns = ["audit", "team", "office", "ledger", "norm", "margin", "zeal", "vote"]
+    words = [*nouns, "never", "not", "improves", "harms", "increases", "reduces", "harms"]
+    statements = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(2, 9))) for _ in range(400)})
+    df = spark.createDataFrame([(s, rng.choice(["causal", "normative", "empirical"])) for s in statements], "statement string, modality string")
+    sig = {r.statement: r for r in alignment.signatures(df).collect()}
+    want = set()
+    for i, a in enumerate(statements):
+        for b in statements[i + 1 :]:
+            x, y = sig[a], sig[b]
+            shared = len(set(x.content) & set(y.content))
+            if shared >= 2 and shared / len(set(x.content) | set(y.content)) >= 0.40 and (x.negated != y.negated or x.effect * y.effect == -1 or x.quantity * y.quantity == -1):
+                want.add((a, b))
+    got = [(r.left_statement, r.right_statement) for r in alignment.opposed_statements(df).collect()]
+    assert len(want) > 1000 and len(got) == len(set(got)) and set(got) == want
+
+
+def _one_pole(n: int) -> list[tuple[str, str]]:
+    """n different statements of few words, all with an effect in one direction, but for a pair that is opposed."""
+    nouns = [f"noun{i}x" for i in range(60)]
+    rng = random.Random(7)
+    rows = {" ".join([*rng.sample(nouns, 4), "improves", *rng.sample(nouns, 3)]) for _ in range(n)}
+    return [(s, "causal") for s in sorted(rows)] + [("Late audits harm thin data", "causal"), ("Late audits improve thin data", "causal")]
+
+
+def test_statements_of_one_pole_are_not_compared(spark):
+    df = spark.createDataFrame(_one_pole(12_000), "statement string, modality string")
+    began = time.monotonic()
+    assert alignment.opposed_statements(df).count() == 1
+    assert time.monotonic() - began < 40  # all with all are 70 million pairs
+
+
 def test_graph_round_trip(spark):
     df = spark.createDataFrame([term(0, 'Say "x"\n\\', definition="d"), term(1, "b", broader=["say x"])], TERM)
     reduced = reduction.reduced_terms(df)
