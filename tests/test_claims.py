@@ -3,6 +3,7 @@
 import functools
 import json
 import random
+import time
 from dataclasses import replace
 
 import pytest
@@ -153,6 +154,19 @@ def test_frame_and_review(spark):
     assert {"missing_grounded_beliefs", "missing_conflict_belief"} <= {r.code for r in frame.findings(replace(f, beliefs=f.beliefs.limit(0)), o).collect()}
 
 
+def test_cross_source_conflicts_of_many_sources(spark):
+    """Thousands of statements of one direction over many sources; the pairs that are opposed lie across sources, within one, or both."""
+    rng = random.Random(7)
+    nouns = [f"noun{i}x" for i in range(60)]
+    texts = sorted({" ".join([*rng.sample(nouns, 4), "improves", *rng.sample(nouns, 3)]) for _ in range(12_000)})
+    rows = [(f"s{i % 300}", f"axiom:{i:05}", s, "causal") for i, s in enumerate(texts)]
+    rows += [("s1", "axiom:a", "Late audits harm thin data", "causal"), ("s1", "axiom:b", "Late audits improve thin data", "causal"), ("s2", "axiom:c", "Late audits improve thin data", "causal"), ("s3", "axiom:d", "Dull votes never bind crews", "causal"), ("s3", "axiom:e", "Dull votes bind crews", "causal")]
+    df = spark.createDataFrame(rows, "source_id string, claim_id string, statement string, modality string")
+    began = time.monotonic()
+    assert [(r.left_id, r.right_id) for r in alignment.opposed_claims(df).collect()] == [("axiom:a", "axiom:c")]
+    assert time.monotonic() - began < 40  # all with all are 70 million pairs
+
+
 def test_alignment_checks(spark):
     o = sample(spark)
     cls = alignment.classes(o.terms.select("source_id", "label_key", "definition"))
