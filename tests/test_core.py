@@ -256,6 +256,19 @@ def test_texts_compared_only_where_read(spark, monkeypatch):
     assert {r.equal_label or r.contains or r.contained for r in f.where("a is not null").collect()} == {True} and f.where("a is null").count() == 1
 
 
+def test_conflicting_alone_is_what_mappings_say(spark, monkeypatch):
+    """The conflicting pairs without any comparison of texts or of other labels."""
+    rng = random.Random(3)
+    words = ["fair", "share", "of", "work", "never", "not", "increase", "decrease", "improves", "harms", "without", "team"]
+    rows = [(f"s{i % 7}", f"label {rng.randint(0, 5)}" + " x" * rng.randint(0, 1), " ".join(rng.choice(words) for _ in range(rng.randint(0, 5)))) for i in range(300)]
+    cls = alignment.classes(spark.createDataFrame([*rows, ("s", "", "never"), ("s", "label 1", None)], "source_id string, label_key string, definition string")).cache()
+    want = {tuple(r) for r in alignment.mappings(cls).where("kind = 'conflicting'").collect()}
+    monkeypatch.setattr(alignment, "_ratio", None)
+    monkeypatch.setattr(alignment, "candidate_pairs", None)
+    got = [tuple(r) for r in alignment.conflicting(cls).collect()]
+    assert len(want) > 100 and len(got) == len(want) and set(got) == want
+
+
 def test_alignment_by_alias(spark):
     rows = [
         term(0, "Ledger", source="s", aliases=["Account Book"], definition="a record of payments"), term(1, "account book", source="t", definition="a record of payments"),
