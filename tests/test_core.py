@@ -446,3 +446,26 @@ def test_gateway(spark, tmp_path):
     chunks = spark.createDataFrame([("c", "s", "Trust is good.")], CHUNK)
     rows = gateway.extract_with(chunks, lambda x: [{"label": "Trust", "quote": "Trust is good."}, {"label": "X", "quote": "invented"}]).collect()
     assert [r.label for r in rows] == ["Trust"]
+
+
+
+def test_resolution_audit_components_in_one_pass(spark, monkeypatch):
+    rng = random.Random(4)
+    pairs = [(s, *sorted(rng.sample([f"{s}{i:03}" for i in range(300)], 2))) for s in "st" for _ in range(170 if s == "s" else 60)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for _, a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    want = {(s, x, find(x)) for s, a, b in pairs for x in (a, b)}
+    df = spark.createDataFrame(pairs, "source_id string, a string, b string").distinct()
+    # a source of many pairs is split; the other one is not
+    assert sorted(map(tuple, resolution._components(df, edges=80).collect())) == sorted(want)
+    monkeypatch.setattr(resolution, "forest", None)
+    assert sorted(map(tuple, resolution._components(df).collect())) == sorted(want)
+    assert resolution._components(df.limit(0)).count() == 0
