@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from claimspark import runtime
 from claimspark.functions import text
 from claimspark.operators import alignment, chunking, evidence_query, extraction, graph, grounding, reduction, resolution
 from claimspark.sources import readers, writers
@@ -469,3 +470,38 @@ def test_resolution_audit_components_in_one_pass(spark, monkeypatch):
     monkeypatch.setattr(resolution, "forest", None)
     assert sorted(map(tuple, resolution._components(df).collect())) == sorted(want)
     assert resolution._components(df.limit(0)).count() == 0
+
+
+
+def drafts_of_names(spark):
+    rows = [term(i, label, definition="same words here") for i, label in enumerate(["shared trust model", "shared trust models", "shared trust mode", "central veto", "cental veto", "other thing"])]
+    return spark.createDataFrame([*rows, term(9, "broad thing", broader=["Central Veto"], aliases=["other thing"])], TERM)
+
+
+
+def test_resolved_clusters_looks_for_no_pair_that_cannot_merge(spark, monkeypatch):
+    df, asked, similar = drafts_of_names(spark), [], resolution.similar_names
+    monkeypatch.setattr(resolution, "similar_names", lambda names, threshold=resolution.AMBIGUOUS: asked.append(threshold) or similar(names, threshold))
+    want = {tuple(r) for r in resolution.resolve(df)[0].collect()}
+    occ = runtime.cut(resolution.occurrences(df))
+    keyed, decisions = resolution.resolved(df, occ=occ)
+    assert asked == [resolution.AMBIGUOUS, resolution.LEXICAL]
+    assert {tuple(r) for r in keyed.collect()} == want and len({r[2] for r in want}) < 7
+    assert {tuple(r) for r in decisions().collect()} == {tuple(r) for r in resolution.resolve(df)[1].collect()}
+    found = {tuple(r) for r in resolution.clusters(df, keyed).collect()}
+    monkeypatch.setattr(resolution, "occurrences", None)
+    assert {tuple(r) for r in resolution.clusters(df, keyed, occ).collect()} == found
+
+
+
+def test_folds_without_decisions_have_the_same_clusters(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(resolution, "definitions_apart", lambda x, y: {x, y} in ({"p", "q"}, {"q", "r"}))
+    for _ in range(200):
+        names = [rng.sample("abcdefg", rng.choice((1, 1, 2))) for _ in range(12)]
+        at = {n: [i for i, x in enumerate(names) if n in x] for n in "abcdefg"}
+        close = {i: {j: rng.choice((80.0, 95.0)) for j in range(i + 1, 12) if rng.random() < 0.1} for i in range(12)}
+        members = {"names": names, "definition": [rng.choice("pqrst") for _ in names]}
+        linked = {tuple(sorted(rng.sample("abcdefg", 2)))}
+        roots, decisions = resolution._resolve(members, close, at, linked, 90.0)
+        assert resolution._resolve(members, close, at, linked, 90.0, told=False) == (roots, []) and decisions
