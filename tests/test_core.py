@@ -505,3 +505,15 @@ def test_folds_without_decisions_have_the_same_clusters(monkeypatch):
         linked = {tuple(sorted(rng.sample("abcdefg", 2)))}
         roots, decisions = resolution._resolve(members, close, at, linked, 90.0)
         assert resolution._resolve(members, close, at, linked, 90.0, told=False) == (roots, []) and decisions
+
+
+
+def test_resolved_terms_and_links_read_the_drafts_once(spark, monkeypatch):
+    df = drafts_of_names(spark)
+    keyed = runtime.cut(resolution.resolved(df)[0])
+    terms, links = reduction.resolved_terms(df, keyed), reduction.resolved_links(df, keyed, reduction.resolved_terms(df, keyed))
+    want = {tuple(map(str, r)) for r in terms.collect()}, {tuple(r) for r in links.collect()}
+    rows = runtime.cut(reduction.clustered(df, keyed))
+    monkeypatch.setattr(reduction, "clustered", None)
+    again = reduction.resolved_terms(df, keyed, rows=rows)
+    assert ({tuple(map(str, r)) for r in again.collect()}, {tuple(r) for r in reduction.resolved_links(df, keyed, again, rows).collect()}) == want and all(want)
