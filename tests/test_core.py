@@ -555,3 +555,11 @@ def test_resolved_terms_and_links_read_the_drafts_once(spark, monkeypatch):
     monkeypatch.setattr(reduction, "clustered", None)
     again = reduction.resolved_terms(df, keyed, rows=rows)
     assert ({tuple(map(str, r)) for r in again.collect()}, {tuple(r) for r in reduction.resolved_links(df, keyed, again, rows).collect()}) == want and all(want)
+
+
+def test_axioms_read_sentences_once(spark):
+    text = "Audit is a check. Audit ENABLES trust. \"Fair share\" means equal work. Rules preventſ harm. Audits are checks that cause calm. Cats sleep."
+    axioms = extraction.fragments(spark.createDataFrame([("c", "s", 1, text)], "chunk_id string, source_id string, ordinal int, text string")).axioms
+    assert axioms._jdf.queryExecution().optimizedPlan().toString().count("posexplode") == 1
+    got = sorted((r.item_index, r.modality, r.statement, r.evidence[0].quote == r.statement) for r in axioms.collect())
+    assert [r[:2] for r in got] == [(1, "definitional"), (2, "descriptive"), (3, "definitional"), (4, "causal"), (5, "definitional")] and all(r[3] for r in got)
